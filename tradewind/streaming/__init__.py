@@ -1,0 +1 @@
+"""Empty on purpose: the query catalogue is batch only, it has no streams."""
