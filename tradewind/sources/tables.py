@@ -18,8 +18,16 @@ def write_table(df: DataFrame, folder: str, name: str, mode: str = "append") ->
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Headered CSV with doubled quotes, the form `read_staging` reads."""
-    df.write.mode(mode).option("header", True).option("escape", '"').option("lineSep", "\n").csv(path)
+    """Headered CSV with doubled quotes and unchanged blanks, the form `read_staging` reads."""
+    (
+        df.write.mode(mode)
+        .option("header", True)
+        .option("escape", '"')
+        .option("lineSep", "\n")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
 
 
 def row_counts(frames: Mapping[str, DataFrame], count_name: str = "rows_loaded") -> DataFrame:
