@@ -31,6 +31,18 @@ def _parse(spark: SparkSession, path: str | list[str], schema: T.StructType, mul
     return reader.csv(path)
 
 
+def _split(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(well-formed, malformed) lines.
+
+    Spark refuses a query that reads nothing but the malformed column, so the
+    always-true condition keeps a data column in every query, `count` too.
+    """
+    first = F.length(parsed.columns[0])
+    reads_data = F.coalesce(first >= 0, F.lit(True))
+    bad = F.col(_BAD).isNotNull()
+    return parsed.filter(~bad & reads_data), parsed.filter(bad & reads_data)
+
+
 def read_staging(
     spark: SparkSession,
     path: str | list[str],
@@ -44,7 +56,7 @@ def read_staging(
     left to `read_malformed`.
     """
     schema = raw_schema(table) if isinstance(table, str) else table
-    parsed = _parse(spark, path, schema, multi_line).filter(F.col(_BAD).isNull())
+    parsed, _ = _split(_parse(spark, path, schema, multi_line))
     last = schema.fieldNames()[-1]
     return parsed.select(*schema.fieldNames()[:-1], F.regexp_replace(last, "\r$", "").alias(last))
 
@@ -54,7 +66,7 @@ def read_malformed(
 ) -> DataFrame:
     """The lines `read_staging` leaves out, as text, with a reason."""
     schema = raw_schema(table) if isinstance(table, str) else table
-    bad = _parse(spark, path, schema, multi_line).filter(F.col(_BAD).isNotNull())
+    _, bad = _split(_parse(spark, path, schema, multi_line))
     return bad.select(F.col(_BAD).alias("line"), F.lit("wrong number of fields").alias("reject_reason"))
 
 
