@@ -115,8 +115,9 @@ def test_conflicts_with_unknown_attributes(spark, rows):
         ("u4", "a", None, "SP"), ("u4", "b", None, "RJ"),
         (None, "a", "x", "SP"), (None, "b", "y", "RJ"),
     )
-    got = rows(joins.conflicting_identities(df), "customer_unique_id", "customer_id_a", "customer_id_b")
-    assert got == [("u1", "a", "b"), ("u4", "a", "b")]
+    for large in (0, 1000):
+        got = rows(joins.conflicting_identities(df, large=large), "customer_unique_id", "customer_id_a", "customer_id_b")
+        assert got == [("u1", "a", "b"), ("u4", "a", "b")]
 
 
 def test_conflicts_equal_the_pairwise_definition(spark, rows):
@@ -130,13 +131,25 @@ def test_conflicts_equal_the_pairwise_definition(spark, rows):
         for a, b in itertools.permutations(data, 2)
         if a[0] == b[0] and a[1] < b[1] and (differ(a[2], b[2]) or differ(a[3], b[3]))
     )
-    got = joins.conflicting_identities(people(spark, *data))
-    assert rows(got, "customer_unique_id", "customer_id_a", "customer_id_b") == expected
+    for large in (0, 1000):
+        got = joins.conflicting_identities(people(spark, *data), large=large)
+        assert rows(got, "customer_unique_id", "customer_id_a", "customer_id_b") == expected
     assert got.columns == [
         "customer_unique_id", "customer_id_a", "city_a", "state_a", "customer_id_b", "city_b", "state_b"
     ]
 
 
+def test_agreeing_copies_are_not_paired(spark):
+    """A million copies of one identity would be half a trillion pairs."""
+    copies = spark.range(1_000_000).select(
+        F.lit("u").alias("customer_unique_id"), F.format_string("c%07d", "id").alias("customer_id"),
+        F.lit("rio").alias("customer_city"), F.lit("RJ").alias("customer_state"),
+    )
+    odd = people(spark, ("u", "c0000002x", "sao paulo", "RJ"))
+    got = joins.conflicting_identities(copies.unionByName(odd))
+    assert got.count() == 1_000_000
+
+
 def test_orphans_count_null_keys(spark, rows):
     i = items(spark, ("1", "p", "s", 1), ("2", "p", "s", 1), ("2", "q", "s", 1), (None, "p", "s", 1))
     o = orders(spark, ("1", "c", "2018-01-01"))

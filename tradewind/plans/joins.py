@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import cents, money, sum_cents
-from ..operators.skew import few
+from ..operators.skew import few, largest_group
 from ..session import checkpointed
 
 # Categories of the never-bought report, the tolerance of the
@@ -23,6 +23,9 @@ TOP_DELAYS = 50
 LATEST_ROWS = 100
 MIN_SUPPORT = 2
 
+# Identities with more rows than this are compared by value before by row.
+LARGE_IDENTITY = 1000
+
 # Baskets with more products than this never have their pairs written out.
 LARGE_BASKET = 1000
 
@@ -32,24 +35,35 @@ def conflicting_identities(
     identity: Sequence[str] = ("customer_unique_id",),
     id_column: str = "customer_id",
     attributes: Mapping[str, str] | None = None,
+    large: int = LARGE_IDENTITY,
 ) -> DataFrame:
     """Pairs a < b of one identity that differ in any attribute.
 
-    A comparison with a NULL is unknown and does not count. The identity's
-    distinct attribute values are compared first; rows are then matched only
-    between values that differ, so copies that agree are never paired with one
-    another, however many there are.
+    A comparison with a NULL is unknown and does not count. While every
+    identity has at most ``large`` rows these are paired directly. Beyond that
+    the identity's distinct attribute values are compared first and rows are
+    matched only between values that differ, so copies that agree are never
+    paired with one another, however many there are.
     """
     attributes = attributes or {"customer_city": "city", "customer_state": "state"}
     keys, shorts = list(identity), list(attributes.values())
     rows = customers.select(*keys, id_column, *[F.col(c).alias(short) for c, short in attributes.items()])
-    values = rows.select(*keys, *shorts).distinct()
 
     def suffixed(df: DataFrame, columns: Sequence[str], mark: str) -> DataFrame:
         return df.withColumnsRenamed({c: f"{c}{mark}" for c in columns})
 
-    differs = reduce(lambda x, y: x | y, [F.col(f"{c}_left") != F.col(f"{c}_right") for c in shorts])
-    conflicts = suffixed(values, shorts, "_left").join(suffixed(values, shorts, "_right"), keys).filter(differs)
+    def differ(left: str, right: str) -> Column:
+        return reduce(lambda x, y: x | y, [F.col(f"{c}{left}") != F.col(f"{c}{right}") for c in shorts])
+
+    ascending = F.col(f"{id_column}_a") < F.col(f"{id_column}_b")
+    result = [*keys, *[f"{c}_{s}" for s in "ab" for c in (id_column, *shorts)]]
+    if largest_group(rows, keys) <= large:
+        sides = [suffixed(rows, [id_column, *shorts], mark) for mark in ("_a", "_b")]
+        return sides[0].join(sides[1], keys).filter(ascending & differ("_a", "_b")).select(*result)
+
+    values = rows.select(*keys, *shorts).distinct()
+    conflicts = suffixed(values, shorts, "_left").join(suffixed(values, shorts, "_right"), keys)
+    conflicts = conflicts.filter(differ("_left", "_right"))
 
     def members(found: DataFrame, side: str, mark: str) -> DataFrame:
         named = suffixed(rows, [*keys, id_column, *shorts], mark)
@@ -59,8 +73,8 @@ def conflicting_identities(
 
     return (
         members(members(conflicts, "_left", "_a"), "_right", "_b")
-        .filter(F.col(f"{id_column}_a") < F.col(f"{id_column}_b"))
-        .select(*keys, *[f"{c}_{s}" for s in "ab" for c in (id_column, *shorts)])
+        .filter(ascending)
+        .select(*result)
     )
 
 
@@ -226,6 +240,15 @@ def _pairs(baskets: DataFrame) -> DataFrame:
     )
 
 
+def _most_frequent(pairs: DataFrame, min_support: int, n: int) -> DataFrame:
+    return (
+        pairs.withColumnRenamed("orders", "times_bought_together")
+        .filter(F.col("times_bought_together") >= min_support)
+        .orderBy(F.col("times_bought_together").desc(), "product_a", "product_b")
+        .limit(n)
+    )
+
+
 def market_basket(
     order_items: DataFrame,
     min_support: int = MIN_SUPPORT,
@@ -245,10 +268,16 @@ def market_basket(
       lowest ids of each can be among the first ``n``. A product also needs
       as many large baskets as the ``n``-th best regular pair has orders.
 
-    With no large basket these branches are empty and adaptive execution
-    drops them.
+    When a count shows that no order has more than ``large`` rows, only the
+    pairs are needed, and one shuffle by order serves to drop repeated
+    products and to pair the others.
     """
-    bought = order_items.select("order_id", "product_id").distinct()
+    sold = order_items.select("order_id", "product_id")
+    if largest_group(sold, ["order_id"]) <= large:
+        counted = _pairs(sold.repartition("order_id").distinct())
+        return _most_frequent(counted, min_support, n)
+
+    bought = sold.distinct()
     large_orders = bought.groupBy("order_id").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > large)
     regular = bought.join(large_orders.select("order_id"), "order_id", "left_anti")
     held = bought.join(large_orders.select("order_id"), "order_id", "left_semi")
@@ -283,14 +312,8 @@ def market_basket(
     )
     large_only = _pairs(held.join(chosen, "product_id", "left_semi"))
 
-    return (
-        counted.unionByName(large_only)
-        .groupBy("product_a", "product_b")
-        .agg(F.max("orders").alias("times_bought_together"))
-        .filter(F.col("times_bought_together") >= min_support)
-        .orderBy(F.col("times_bought_together").desc(), "product_a", "product_b")
-        .limit(n)
-    )
+    both = counted.unionByName(large_only).groupBy("product_a", "product_b").agg(F.max("orders").alias("orders"))
+    return _most_frequent(both, min_support, n)
 
 
 def shipping_delays(
