@@ -166,7 +166,7 @@ def test_gated_append_is_all_or_nothing(spark, parents, tmp_path):
 
 def test_half_written_batch_is_not_read(spark, parents, tmp_path):
     root = str(tmp_path / "gated")
-    gated_append({"orders": order(spark, "o1")}, parents, root, "done")
+    gated_append({"orders": order(spark, "o1")}, parents, root, "01")
     order(spark, "o9").write.parquet(f"{root}/orders/batch=crashed")
     assert [r.order_id for r in read_published(spark, root, "orders").collect()] == ["o1"]
 
@@ -182,8 +182,8 @@ def test_declared_tables():
 def test_layout_falls_back_when_one_key_fills_a_bucket(spark, tmp_path):
     even = spark.range(2000).select(F.col("id").alias("k"), F.col("id").alias("v"))
     hot = spark.range(2000).select(F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
-    assert tables.write_layout(even, "layout_even", str(tmp_path / "e"), "k", ["k", "v"], 16) == "bucketed"
-    assert tables.write_layout(hot, "layout_hot", str(tmp_path / "h"), "k", ["k", "v"], 16) == "clustered"
+    assert tables.write_layout(even, "layout_even", str(tmp_path / "e"), ["k", "v"], 16) == "bucketed"
+    assert tables.write_layout(hot, "layout_hot", str(tmp_path / "h"), ["k", "v"], 16) == "clustered"
     assert spark.table("layout_hot").count() == 2000
     plan = spark.table("layout_even").groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan

@@ -383,6 +383,8 @@ def test_discount_rules(spark):
 
 
 def test_dictionary(spark):
+    raw = {"stg_orders": spark.range(1), "stgx": spark.range(1)}
+    assert {r.table_name for r in dictionary.column_profile(raw).collect()} == {"stgx"}
     declared = dictionary.declared_dictionary(spark).collect()
     assert len(declared) == 55
     first = declared[0]
@@ -393,3 +395,15 @@ def test_dictionary(spark):
     frame = customers(spark, a=None, b="SP")
     got = {r.column_name: (r.row_count, r.null_count) for r in dictionary.data_dictionary({"customers": frame}).filter("table_name = 'customers'").collect()}
     assert got["customer_state"] == (2, 1) and got["created_at"] == (None, None)
+
+
+def test_two_ways_to_write_an_anti_join(spark, rows):
+    """LEFT JOIN ... IS NULL, NOT IN and left_anti agree on keys that are not NULL."""
+    c, o = customers(spark, a="SP", b="SP", d=None), orders(spark, ("1", "a", "2018-01-01"), ("2", "a", "2018-01-02"))
+    outer = c.join(o.select("customer_id", "order_id"), "customer_id", "left").filter("order_id IS NULL")
+    not_in = spark.sql("SELECT * FROM {c} WHERE customer_id NOT IN (SELECT customer_id FROM {o})", c=c, o=o)
+    assert rows(joins.never_ordered(c, o), "customer_id") == rows(outer, "customer_id") == rows(not_in, "customer_id")
+    # A NULL in the list makes NOT IN unknown for every row; the anti join has no such trap.
+    with_null = o.select("customer_id").unionByName(spark.createDataFrame([(None,)], "customer_id string"))
+    assert spark.sql("SELECT * FROM {c} WHERE customer_id NOT IN (SELECT customer_id FROM {o})", c=c, o=with_null).count() == 0
+    assert joins.never_ordered(c, with_null).count() == 2

@@ -124,13 +124,17 @@ def _staging(d: Dirty) -> dict[str, DataFrame]:
 
 @registered("rowcount_staging")
 def rowcount_staging(d: Dirty) -> DataFrame:
-    return tables.row_counts({f"stg_{n}": df for n, df in _staging(d).items()}, "cnt")
+    """All raw tables written as CSV files and loaded from them."""
+    root, loaded = scratch(d.spark, "staging"), {}
+    for name, df in _staging(d).items():
+        tables.write_csv(df, f"{root}/{name}")
+        loaded[f"stg_{name}"] = read_staging(d.spark, f"{root}/{name}", name, multi_line=name == "order_reviews")
+    return tables.row_counts(loaded, "cnt")
 
 
 @registered("rowcount_production")
 def rowcount_production(d: Dirty) -> DataFrame:
-    typed, _ = cleaning.clean_all(_staging(d))
-    return tables.row_counts(typed)
+    return tables.row_counts(cleaning.load_production(_staging(d), scratch(d.spark, "production")))
 
 
 @registered("sink_insert_select")
@@ -714,17 +718,32 @@ def q29_discount_unknown_orders(d: Dirty) -> DataFrame:
     return discount.discounts(asked, d.orders)
 
 
-def _layout(d: Dirty) -> DataFrame:
-    """Order items laid out by order, written once per source folder."""
+def _laid_out(d: Dirty, name: str, source: DataFrame) -> DataFrame:
+    """A table in one of the layouts, written once per session and source folder."""
     tag = hashlib.sha256(d.folder.encode()).hexdigest()[:12]
-    table = f"order_items_by_order_{tag}"
+    table = f"{name}_{tag}"
     if not d.spark.catalog.tableExists(table):
-        tables.write_layout(
-            d.order_items, table, scratch(d.spark, table), "order_id", ["order_id", "product_id"]
-        )
+        tables.write_layout(source, table, scratch(d.spark, table), tables.LAYOUTS[name])
     return d.spark.table(table)
 
 
 @registered("q30_layout")
 def q30_layout(d: Dirty) -> DataFrame:
-    return joins.market_basket(_layout(d))
+    return joins.market_basket(_laid_out(d, "items_order_product", d.order_items))
+
+
+@registered("q30_layout_bought_a_never_b")
+def q30_layout_bought_a_never_b(d: Dirty) -> DataFrame:
+    items = _laid_out(d, "items_order_product", d.order_items)
+    return joins.bought_but_never(d.customers, d.orders, items, d.products(), BOUGHT, NEVER)
+
+
+@registered("q30_layout_top_products")
+def q30_layout_top_products(d: Dirty) -> DataFrame:
+    items = _laid_out(d, "items_product_price", d.order_items)
+    return aggregates.top_products_per_category(items, d.products())
+
+
+@registered("q30_layout_order_gap")
+def q30_layout_order_gap(d: Dirty) -> DataFrame:
+    return windows.order_gaps(_laid_out(d, "orders_customer_purchase", d.orders))

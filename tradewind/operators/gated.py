@@ -32,7 +32,7 @@ def read_published(spark: SparkSession, root: str, table: str) -> DataFrame:
     """Rows of all published batches of a table."""
     rows = spark.read.option("basePath", f"{root}/{table}").parquet(f"{root}/{table}")
     visible = published_batches(spark, root).distinct()
-    return rows.withColumn("batch", F.col("batch").cast("string")).join(visible, "batch", "left_semi").drop("batch")
+    return rows.join(visible, "batch", "left_semi").drop("batch")
 
 
 def gated_append(
@@ -67,14 +67,22 @@ def gated_append(
     accepted = total == 0
     if accepted:
         for name, df in batch.items():
-            df.write.mode("overwrite").parquet(f"{root}/{name}/batch={batch_id}")
-        spark.createDataFrame([(batch_id,)], "batch string").coalesce(1).write.mode("append").json(
+            df.write.mode("overwrite").parquet(f"{root}/{name}/batch={_label(batch_id)}")
+        spark.createDataFrame([(_label(batch_id),)], "batch string").coalesce(1).write.mode("append").json(
             f"{root}/{_PUBLISHED}"
         )
     return findings.withColumn("accepted", F.lit(accepted))
 
 
+def _label(batch_id: str) -> str:
+    """Folder value of a batch; the letters keep ids such as 01 from being read as numbers."""
+    return f"id_{batch_id}"
+
+
 def _already_there(df: DataFrame, existing: DataFrame, table: str) -> DataFrame:
     key = TABLES[table].primary_key
-    clash = df.select(*key).join(existing.select(*key), key, "left_semi").agg(F.count(F.lit(1)).alias("violations"))
+    # The stored table is cut down to the batch's keys first; a batch that is
+    # small is broadcast for this and the stored rows do not move.
+    stored = existing.select(*key).join(df.select(*key), key, "left_semi")
+    clash = df.select(*key).join(stored, key, "left_semi").agg(F.count(F.lit(1)).alias("violations"))
     return clash.select(F.lit(table).alias("table"), F.lit("primary_key already stored").alias("rule"), "violations")

@@ -18,7 +18,8 @@ from ..functions.numbers import rounded_int, to_decimal, truncated_int
 from ..functions.text import blank_to_null, category_name, fold, has_text, lower_text, upper_text
 from ..functions.times import DAY_FIRST, YEAR_FIRST, parse_timestamp
 from ..operators.keys import with_surrogate_key
-from ..schemas import LOAD_ORDER, TABLES
+from ..schemas import TABLES
+from ..sources.tables import write_table
 
 REASON = "reject_reason"
 
@@ -251,29 +252,39 @@ def clean_geolocation(stg_geolocation: DataFrame, box: Mapping[str, tuple[float,
     return Cleaned(accepted, sifted.rejected)
 
 
-def clean_all(staging: Mapping[str, DataFrame], strict: bool = False) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-    """All typed tables and the rejected rows, in the order parents need.
+REJECTS = "_rejects"
 
-    Customers are not deduplicated here (`keep_last` does that as a job of its
-    own): on data with repeat buyers it would also take their orders away.
+
+def load_production(
+    staging: Mapping[str, DataFrame], folder: str, strict: bool = False, keep_rejects: bool = True
+) -> dict[str, DataFrame]:
+    """Writes all typed tables to ``folder``, parents first, and returns them read back.
+
+    Every table is computed once: its children join the written one. Rejected
+    rows go to ``folder/_rejects/<table>``. Customers are not deduplicated here
+    (`keep_last` does that as a job of its own): on data with repeat buyers it
+    would also take their orders away.
     """
-    tables: dict[str, DataFrame] = {}
-    rejects: dict[str, DataFrame] = {}
-
-    def put(name: str, cleaned: Cleaned) -> None:
-        tables[name], rejects[name] = cleaned
-
-    tables["customers"] = clean_customers(staging["orders"])
-    tables["product_category"] = clean_category_lookup(staging["products"])
-    put("products", clean_products(staging["products"], tables["product_category"], strict))
-    put("sellers", clean_sellers(staging["sellers"]))
-    put("orders", clean_orders(staging["orders"], tables["customers"], strict))
-    put(
+    spark = next(iter(staging.values())).sparkSession
+    loaded: dict[str, DataFrame] = {}
+
+    def load(name: str, accepted: DataFrame, rejected: DataFrame | None = None) -> None:
+        write_table(accepted, folder, name)
+        loaded[name] = spark.read.schema(accepted.schema).parquet(f"{folder}/{name}")
+        if rejected is not None and keep_rejects:
+            write_table(rejected, f"{folder}/{REJECTS}", name)
+
+    load("customers", clean_customers(staging["orders"]))
+    load("product_category", clean_category_lookup(staging["products"]))
+    load("products", *clean_products(staging["products"], loaded["product_category"], strict))
+    load("sellers", *clean_sellers(staging["sellers"]))
+    load("orders", *clean_orders(staging["orders"], loaded["customers"], strict))
+    load(
         "order_items",
-        clean_order_items(staging["order_items"], tables["orders"], tables["products"], tables["sellers"], strict),
+        *clean_order_items(staging["order_items"], loaded["orders"], loaded["products"], loaded["sellers"], strict),
     )
-    put("order_payments", clean_order_payments(staging["order_payments"], tables["orders"], strict))
-    put("order_reviews", clean_order_reviews(staging["order_reviews"], tables["orders"], strict))
-    put("geolocation", clean_geolocation(staging["geolocation"]))
-    tables["geolocation"] = with_surrogate_key(tables["geolocation"], "geo_id")
-    return {name: tables[name] for name in LOAD_ORDER}, rejects
+    load("order_payments", *clean_order_payments(staging["order_payments"], loaded["orders"], strict))
+    load("order_reviews", *clean_order_reviews(staging["order_reviews"], loaded["orders"], strict))
+    samples = clean_geolocation(staging["geolocation"])
+    load("geolocation", with_surrogate_key(samples.accepted, "geo_id"), samples.rejected)
+    return loaded

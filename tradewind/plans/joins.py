@@ -100,7 +100,8 @@ def orphans(
 
 def never_ordered(customers: DataFrame, orders: DataFrame) -> DataFrame:
     columns = ["customer_id", "customer_unique_id", "customer_city", "customer_state"]
-    return customers.select(*columns).join(orders.select("customer_id"), "customer_id", "left_anti")
+    buyers = orders.select("customer_id").distinct()
+    return customers.select(*columns).join(buyers, "customer_id", "left_anti")
 
 
 def payment_mismatch(
@@ -147,7 +148,7 @@ def customer_360(
     alone and checkpointed; only their rows then meet the wide columns, and
     review texts never move.
     """
-    sellable = order_items.join(products.select("product_id"), "product_id", "left_semi").select("order_id")
+    sellable = order_items.join(products.select("product_id"), "product_id", "left_semi").select("order_id").distinct()
     latest = checkpointed(
         orders.join(customers.select("customer_id"), "customer_id", "left_semi")
         .join(sellable, "order_id", "left_semi")
@@ -338,7 +339,7 @@ def shipping_delays(
         F.datediff(done, due).cast("bigint").alias("days_late"),
     )
     sold = order_items.select("order_id", "seller_id")
-    with_seller = sold.join(sellers.select("seller_id"), "seller_id", "left_semi").select("order_id")
+    with_seller = sold.join(sellers.select("seller_id"), "seller_id", "left_semi").select("order_id").distinct()
     worst = (
         late.join(customers.select("customer_id"), "customer_id", "left_semi")
         .join(with_seller, "order_id", "left_semi")

@@ -148,9 +148,12 @@ def consecutive_months(
     gathered per customer. ``identity`` names the customer column to follow.
     """
     month = month_start(F.col("order_purchase_timestamp")).alias("order_month")
-    by_id = orders.select("customer_id", month).distinct()
-    people = customers.select(*dict.fromkeys(["customer_id", identity]))
-    months = by_id.join(people, "customer_id").select(identity, "order_month").distinct()
+    months = orders.select("customer_id", month).distinct()
+    if identity == "customer_id":
+        months = months.join(customers.select("customer_id"), "customer_id", "left_semi")
+    else:
+        people = customers.select("customer_id", identity)
+        months = months.join(people, "customer_id").select(identity, "order_month").distinct()
     numbered = months.withColumn(
         "rn", F.row_number().over(Window.partitionBy(identity).orderBy("order_month"))
     )

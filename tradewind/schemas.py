@@ -232,12 +232,6 @@ def _table(name: str, text: str) -> TableDef:
 
 TABLES = {name: _table(name, text) for name, text in TYPED_COLUMNS.items()}
 
-# Parents come before children: the order to load in.
-LOAD_ORDER = (
-    "customers", "product_category", "products", "sellers", "orders",
-    "order_items", "order_payments", "order_reviews", "geolocation",
-)
-
 
 def raw_schema(table: str) -> T.StructType:
     """All-text schema of a raw file."""

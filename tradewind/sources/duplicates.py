@@ -57,9 +57,11 @@ def duplicate_files(lines: DataFrame) -> DataFrame:
 
 
 def _line_counts(lines: DataFrame, pairs: DataFrame, side: str) -> DataFrame:
-    """Occurrences of each line of one side of the (keep, file) pairs."""
-    counted = lines.groupBy(F.col("file").alias("_file"), "line").agg(F.count(F.lit(1)).alias("n"))
-    return counted.join(pairs, F.col("_file") == F.col(side)).select("keep", "file", "line", "n")
+    """Occurrences of each line of one side of the (keep, file) pairs; other files are not counted."""
+    of_pairs = lines.select(F.col("file").alias("_file"), "line").join(
+        pairs.select("keep", "file"), F.col("_file") == F.col(side)
+    )
+    return of_pairs.groupBy("keep", "file", "line").agg(F.count(F.lit(1)).alias("n"))
 
 
 def without_duplicate_files(lines: DataFrame) -> DataFrame:
