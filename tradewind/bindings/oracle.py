@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ..schemas import TABLES
+from ..schemas import MEANINGS, TABLES
 
 ORACLE: dict[str, str] = {}
 
@@ -374,8 +374,8 @@ _LINE_COUNT = "length(text) - length(replace(text, chr(10), '')) + 1"
 ORACLE["dq_duplicate_files"] = f"""
 SELECT 'part_3_copy' AS "check", CAST(sum({_LINE_COUNT}) AS BIGINT) AS rows_affected FROM documents WHERE lang = 'en'"""
 ORACLE["dq_duplicate_files_loaded_once"] = f"""
-SELECT CAST(sum({_LINE_COUNT}) AS BIGINT) AS lines, CAST(2 AS BIGINT) AS files
-FROM documents WHERE lang IN ('en', 'de', 'fr')"""
+SELECT CASE WHEN lang = 'en' THEN 'part_1' ELSE 'part_2' END AS folder, CAST(sum({_LINE_COUNT}) AS BIGINT) AS lines
+FROM documents WHERE lang IN ('en', 'de', 'fr') GROUP BY ALL"""
 
 ORACLE["dq_placeholder_text"] = """
 SELECT 'review_comment_title is filler' AS "check",
@@ -470,6 +470,8 @@ def _declared() -> str:
                 f"SELECT '{table.name}' AS table_name, CAST({position} AS BIGINT) AS position, "
                 f"'{c.name}' AS column_name, '{c.declared}' AS column_type, "
                 f"'{'YES' if c.nullable else 'NO'}' AS is_nullable, '{c.key}' AS column_key, "
+                f"CAST({repr(c.default) if c.default else 'NULL'} AS VARCHAR) AS column_default, "
+                f"'{MEANINGS[table.name]}' AS business_meaning, "
                 + (counts if known else "CAST(NULL AS BIGINT) AS row_count, CAST(NULL AS BIGINT) AS null_count")
             )
     return "\nUNION ALL\n".join(rows)

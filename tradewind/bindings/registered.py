@@ -134,7 +134,8 @@ def rowcount_staging(d: Dirty) -> DataFrame:
 
 @registered("rowcount_production")
 def rowcount_production(d: Dirty) -> DataFrame:
-    return tables.row_counts(cleaning.load_production(_staging(d), scratch(d.spark, "production")))
+    folder = scratch(d.spark, "production")
+    return tables.row_counts(cleaning.load_production(_staging(d), folder, keep_rejects=False))
 
 
 @registered("sink_insert_select")
@@ -448,24 +449,28 @@ def dq_date_format(d: Dirty) -> DataFrame:
 
 
 def _file_copies(d: Dirty) -> str:
-    """One folder with a text file set per document language, the first one twice."""
+    """A delivery of text files in three folders; the third repeats the files of the first."""
     path = scratch(d.spark, "copies")
     lines = d.raw("documents").select("lang", F.explode(F.split("text", "\n")).alias("value"))
     for name, langs in (("part_1", ["en"]), ("part_2", ["de", "fr"]), ("part_3_copy", ["en"])):
-        lines.filter(F.col("lang").isin(langs)).select("value").coalesce(1).write.text(f"{path}/{name}")
+        lines.filter(F.col("lang").isin(langs)).select("value").write.text(f"{path}/{name}")
     return f"{path}/*"
 
 
+def _folder(file: str) -> Column:
+    return F.regexp_extract(file, r"/(part_\w+)/[^/]*$", 1)
+
+
 @registered("dq_duplicate_files")
 def dq_duplicate_files(d: Dirty) -> DataFrame:
     found = quality.duplicated_files(lines_of(d.spark, _file_copies(d)))
-    return found.select(F.regexp_extract("check", r"/(part_\w+)/[^/]*$", 1).alias("check"), "rows_affected")
+    return found.groupBy(_folder("check").alias("check")).agg(F.sum("rows_affected").alias("rows_affected"))
 
 
 @registered("dq_duplicate_files_loaded_once")
 def dq_duplicate_files_loaded_once(d: Dirty) -> DataFrame:
     kept = without_duplicate_files(lines_of(d.spark, _file_copies(d)))
-    return kept.agg(F.count(F.lit(1)).alias("lines"), F.count_distinct("file").alias("files"))
+    return kept.groupBy(_folder("file").alias("folder")).agg(F.count(F.lit(1)).alias("lines"))
 
 
 @registered("dq_placeholder_text")
@@ -527,7 +532,8 @@ def q05_declared_dictionary(d: Dirty) -> DataFrame:
     """The declared columns with what the loaded tables hold in them."""
     typed = {n: df for n, df in _typed(d).items()}
     return dictionary.data_dictionary(typed).select(
-        "table_name", "position", "column_name", "column_type", "is_nullable", "column_key", "row_count", "null_count"
+        "table_name", "position", "column_name", "column_type", "is_nullable", "column_key", "column_default",
+        "business_meaning", "row_count", "null_count",
     )
 
 

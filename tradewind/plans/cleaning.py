@@ -260,8 +260,8 @@ def load_production(
 ) -> dict[str, DataFrame]:
     """Writes all typed tables to ``folder``, parents first, and returns them read back.
 
-    Every table is computed once: its children join the written one. Rejected
-    rows go to ``folder/_rejects/<table>``. Customers are not deduplicated here
+    Every table is computed once: its children join the written one. A load
+    that is run again replaces what an earlier one wrote. Rejected rows go to ``folder/_rejects/<table>``. Customers are not deduplicated here
     (`keep_last` does that as a job of its own): on data with repeat buyers it
     would also take their orders away.
     """
@@ -269,10 +269,10 @@ def load_production(
     loaded: dict[str, DataFrame] = {}
 
     def load(name: str, accepted: DataFrame, rejected: DataFrame | None = None) -> None:
-        write_table(accepted, folder, name)
+        write_table(accepted, folder, name, "overwrite")
         loaded[name] = spark.read.schema(accepted.schema).parquet(f"{folder}/{name}")
         if rejected is not None and keep_rejects:
-            write_table(rejected, f"{folder}/{REJECTS}", name)
+            write_table(rejected, f"{folder}/{REJECTS}", name, "overwrite")
 
     load("customers", clean_customers(staging["orders"]))
     load("product_category", clean_category_lookup(staging["products"]))
