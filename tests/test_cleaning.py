@@ -64,10 +64,11 @@ def test_sellers(spark, rows):
         {"seller_id": "s1", "seller_zip_code_prefix": "01", "seller_city": "rio", "seller_state": "RJ"},
         {"seller_id": "s2", "seller_city": " ", "seller_state": ""},
         {"seller_id": ""},
+        {"seller_id": "s3", "seller_state": "RJX"},
     )
     cleaned = cleaning.clean_sellers(stg)
     assert rows(cleaned.accepted) == [("s1", "01", "rio", "RJ"), ("s2", None, None, None)]
-    assert reasons(cleaned) == {"no seller_id": 1}
+    assert reasons(cleaned) == {"no seller_id": 1, "too long seller_state": 1}
 
 
 @pytest.fixture
@@ -80,6 +81,9 @@ def orders(spark):
         {"order_id": "o2", "customer_id": "c1", **full, "order_approved_at": "05-03-2018 14:07"},
         {"order_id": "o3", "customer_id": "c9", **full},
         {"order_id": "o4", "customer_id": "c1", "order_status": "x", "order_purchase_timestamp": TS},
+        {"order_id": "o5", "customer_id": "c1", **full, "order_status": "lost"},
+        {"order_id": "o6", "customer_id": "c1", **full, "order_status": None},
+        {"order_id": "o7" * 17, "customer_id": "c1", **full},
         {"order_id": None, "customer_id": "c1", **full},
     )
 
@@ -99,6 +103,8 @@ def test_orders(spark, orders, customers, rows):
         "unknown customer_id": 1,
         "no order_estimated_delivery_date": 1,
         "no order_id": 1,
+        "check chk_order_status": 2,
+        "too long order_id": 1,
     }
     assert cleaned.accepted.count() + cleaned.rejected.count() == orders.count()
 
@@ -121,13 +127,15 @@ def test_order_items(spark, orders, customers, rows):
         {**base, "seller_id": "s9"},
         {**base, "price": "free"},
         {**base, "price": ""},
+        {**base, "freight_value": "-0.01"},
     )
     cleaned = cleaning.clean_order_items(stg, known, products, sellers)
     assert rows(cleaned.accepted, "order_id", "order_item_id", "seller_id", "price") == [
         ("o1", 1, "s1", 10.01), ("o1", 2, "s1", 10.01)
     ]
     assert reasons(cleaned) == {
-        "unknown order_id": 1, "unknown product_id": 1, "unknown seller_id": 1, "unreadable price": 1, "no price": 1
+        "unknown order_id": 1, "unknown product_id": 1, "unknown seller_id": 1, "unreadable price": 1, "no price": 1,
+        "check chk_freight_nonneg": 1,
     }
 
 
@@ -206,7 +214,7 @@ def checks(df):
 
 def test_quality_checks(spark, orders):
     assert checks(quality.missing_master(orders)) == {"customers rebuilt from orders": 2}
-    assert checks(quality.date_formats(orders, "order_approved_at")) == {"blank": 4, "dd-MM-yyyy HH:mm": 1}
+    assert checks(quality.date_formats(orders, "order_approved_at")) == {"blank": 7, "dd-MM-yyyy HH:mm": 1}
     points = spark.createDataFrame([(Decimal("23.5"), Decimal("46.6"))], "geolocation_lat decimal(10,6), geolocation_lng decimal(10,6)")
     assert checks(quality.sign_inversion(points)) == {"inside the box as read": 0, "inside the box corrected": 1}
     text = spark.createDataFrame([("A", "x"), (" A ", None), (None, "AA")], "t string, m string")

@@ -31,7 +31,7 @@ ORACLE["scan_table"] = "SELECT o_orderkey, o_custkey, o_totalprice FROM orders"
 STG_ORDERS = """stg_orders AS (
     SELECT CASE WHEN o_orderkey % 101 = 0 THEN '  ' ELSE ' ' || o_orderkey END AS order_id,
            CASE WHEN o_orderkey % 97 = 0 THEN '' ELSE o_custkey || ' ' END AS customer_id,
-           ' Status-' || o_orderstatus AS order_status,
+           CASE o_orderstatus WHEN 'F' THEN ' Delivered' WHEN 'O' THEN 'SHIPPED ' ELSE 'lost' END AS order_status,
            CASE WHEN o_orderkey % 89 = 0 THEN strftime(o_orderdate, '%d-%m-%Y %H:%M')
                 ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS order_purchase_timestamp,
            CASE WHEN o_orderkey % 7 = 0 THEN ' ' ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS order_approved_at,
@@ -231,6 +231,7 @@ _TIMES = (
 SIFTED_ORDERS = f"""{STG_ORDERS}, {CLEAN_CUSTOMERS}, sifted AS (
     SELECT *, CASE WHEN trim(order_id) = '' THEN 'no order_id'
         {" ".join(f"WHEN trim({c}) <> '' AND {_ISO.format(c)} IS NULL THEN 'unreadable {c}'" for c in _TIMES)}
+        WHEN lower(trim(order_status)) NOT IN ('delivered', 'shipped') THEN 'check chk_order_status'
         WHEN trim(customer_id) NOT IN (SELECT customer_id FROM customers) THEN 'unknown customer_id' END AS reason
     FROM stg_orders)"""
 CLEAN_ORDERS = f"""{SIFTED_ORDERS}, clean_orders AS (

@@ -142,7 +142,10 @@ class Dirty(Roles):
         return self.raw("orders").select(
             _every(key, 101, F.lit("  "), F.concat(F.lit(" "), _text(key))).alias("order_id"),
             _every(key, 97, F.lit(""), F.concat(_text("o_custkey"), F.lit(" "))).alias("customer_id"),
-            F.concat(F.lit(" Status-"), _text("o_orderstatus")).alias("order_status"),
+            F.when(F.col("o_orderstatus") == "F", " Delivered")
+            .when(F.col("o_orderstatus") == "O", "SHIPPED ")
+            .otherwise("lost")
+            .alias("order_status"),
             _every(key, 89, F.date_format(when, "dd-MM-yyyy HH:mm"), _stamp(when)).alias("order_purchase_timestamp"),
             _every(key, 7, F.lit(" "), _stamp(when)).alias("order_approved_at"),
             _every(key, 83, F.lit("2018-02-31 10:00:00"), _stamp(when)).alias("order_delivered_carrier_date"),

@@ -1,22 +1,26 @@
 """Raw text tables to typed tables.
 
 Every job returns the accepted rows and, apart from them, the rejected ones
-with a reason. Text that cannot be read as the column's type rejects its row;
-with ``strict`` it fails the job instead, which is how the source database
-loads.
+with a reason. A row is rejected when the source's own filters leave it out,
+or when its strict load would refuse it: a required value is missing, text
+cannot be read as the column's type or is too long, a row rule is broken, a
+parent is unknown. With ``strict`` unreadable text fails the job instead.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import re
+from collections.abc import Callable, Mapping
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.numbers import rounded_int, to_decimal, truncated_int
 from ..functions.text import blank_to_null, category_name, fold, has_text, lower_text, upper_text
 from ..functions.times import DAY_FIRST, YEAR_FIRST, parse_timestamp
+from ..operators.constraints import violates
 from ..operators.keys import with_surrogate_key
 from ..schemas import TABLES
 from ..sources.tables import write_table
@@ -36,33 +40,84 @@ class Cleaned(NamedTuple):
     rejected: DataFrame
 
 
-def _sift(raw: DataFrame, reasons: Mapping[str, Column]) -> Cleaned:
-    """Splits rows by the first reason that holds; unknown does not hold."""
-    first = F.coalesce(*[F.when(broken, F.lit(reason)) for reason, broken in reasons.items()])
-    marked = raw.withColumn(REASON, first)
-    return Cleaned(marked.filter(F.col(REASON).isNull()).drop(REASON), marked.filter(F.col(REASON).isNotNull()))
+class Value(NamedTuple):
+    """A typed value and the raw column it is read from."""
+
+    raw: str
+    value: Column
+
+
+_TYPED = "_typed_"
+
+
+def _sift(
+    raw: DataFrame, table: str, values: Mapping[str, Value], reasons: Mapping[str, Column], strict: bool = False
+) -> Cleaned:
+    """Splits rows by the first reason that holds; unknown does not hold.
+
+    After the given ``reasons`` come those the table declares: required
+    values, text that could not be read, text that is too long, row rules.
+    Accepted rows carry the typed values next to the raw columns.
+    """
+    spec = TABLES[table]
+    declared = {c.name: c for c in spec.columns}
+    # A one-row generator instead of plain columns: the optimizer copies plain
+    # expressions into every filter that uses them, and parsing is the main cost.
+    row = F.struct(*[v.value.alias(_TYPED + name) for name, v in values.items()])
+    typed = raw.select("*", F.inline(F.array(row)))
+    found = [F.when(broken, F.lit(reason)) for reason, broken in reasons.items()]
+    for name, v in values.items():
+        value, column = F.col(_TYPED + name), declared[name]
+        if isinstance(column.spark_type, T.StringType):
+            if not column.nullable:
+                found.append(F.when(value.isNull(), F.lit(f"no {name}")))
+        else:
+            missing = F.lit(None if column.nullable else f"no {name}").cast("string")
+            unreadable = F.lit(None if strict else f"unreadable {name}").cast("string")
+            found.append(F.when(value.isNull(), F.when(has_text(F.col(v.raw)), unreadable).otherwise(missing)))
+        if column.max_length:
+            found.append(F.when(F.char_length(value) > column.max_length, F.lit(f"too long {name}")))
+    for rule, text in spec.checks.items():
+        on_typed = re.sub(r"\b(" + "|".join(values) + r")\b", _TYPED + r"\1", text)
+        found.append(F.when(violates(F.expr(on_typed)), F.lit(f"check {rule}")))
+    marked = typed.withColumn(REASON, F.coalesce(*found))
+    return Cleaned(
+        marked.filter(F.col(REASON).isNull()).drop(REASON),
+        marked.filter(F.col(REASON).isNotNull()).select(*raw.columns, REASON),
+    )
 
 
 def _with_parent(cleaned: Cleaned, key: str, parent: DataFrame, parent_key: str, reason: str) -> Cleaned:
-    """Moves rows whose trimmed key is not in ``parent`` to the rejected ones."""
+    """Moves rows whose typed key is not in ``parent`` to the rejected ones."""
     known = parent.select(F.col(parent_key).alias("_parent"))
-    match = F.trim(F.col(key)) == F.col("_parent")
+    match = F.col(_TYPED + key) == F.col("_parent")
     orphans = cleaned.accepted.join(known, match, "left_anti").withColumn(REASON, F.lit(reason))
     return Cleaned(
         cleaned.accepted.join(known, match, "left_semi"),
-        cleaned.rejected.unionByName(orphans),
+        cleaned.rejected.unionByName(orphans.select(*cleaned.rejected.columns)),
     )
 
 
-def _unreadable(text: str, value: Column) -> Column:
-    """Text that is there but could not be read as a value."""
-    return blank_to_null(F.col(text)).isNotNull() & value.isNull()
+def _finished(cleaned: Cleaned, values: Mapping[str, Value], *others: str) -> Cleaned:
+    """Only the typed columns, in the order given."""
+    return Cleaned(
+        cleaned.accepted.select(*others, *[F.col(_TYPED + name).alias(name) for name in values]), cleaned.rejected
+    )
 
 
 def _missing(text: str) -> Column:
     return ~has_text(F.col(text))
 
 
+def _trimmed(name: str) -> Value:
+    return Value(name, F.trim(name))
+
+
+def _trimmed_or_empty(name: str, change: Callable[[Column], Column] = lambda c: c) -> Value:
+    """Required text that may be empty: no text at all counts as empty text."""
+    return Value(name, change(F.coalesce(F.trim(name), F.lit(""))))
+
+
 def clean_customers(stg_orders: DataFrame) -> DataFrame:
     """Customer list rebuilt from the orders' customer ids."""
     ids = stg_orders.select(F.trim("customer_id").alias("customer_id")).filter(F.col("customer_id") != "").distinct()
@@ -95,122 +150,98 @@ def clean_category_lookup(stg_products: DataFrame) -> DataFrame:
 
 
 def clean_products(stg_products: DataFrame, product_category: DataFrame, strict: bool = False) -> Cleaned:
-    whole = {
-        "product_name_length": "product_name_lenght",
-        "product_description_length": "product_description_lenght",
-        "product_photos_qty": "product_photos_qty",
+    values = {
+        "product_id": _trimmed("product_id"),
+        "product_name_length": Value("product_name_lenght", rounded_int(F.col("product_name_lenght"), strict)),
+        "product_description_length": Value(
+            "product_description_lenght", rounded_int(F.col("product_description_lenght"), strict)
+        ),
+        "product_photos_qty": Value("product_photos_qty", rounded_int(F.col("product_photos_qty"), strict)),
     }
     sizes = ["product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm"]
-    values = {new: rounded_int(F.col(old), strict) for new, old in whole.items()}
-    values |= {c: to_decimal(F.col(c), 10, 2, strict) for c in sizes}
-    reasons = {"no product_id": _missing("product_id")}
-    if not strict:
-        reasons |= {f"unreadable {whole.get(c, c)}": _unreadable(whole.get(c, c), v) for c, v in values.items()}
-    sifted = _sift(stg_products, reasons)
+    values |= {c: Value(c, to_decimal(F.col(c), 10, 2, strict)) for c in sizes}
+    sifted = _sift(stg_products, "products", values, {"no product_id": _missing("product_id")}, strict)
     categories = product_category.select("category_id", fold(F.col("category_name")).alias("_folded"))
-    accepted = (
-        sifted.accepted.join(categories, fold(category_name(F.col("product_category_name"))) == F.col("_folded"))
-        .select(
-            F.trim("product_id").alias("product_id"),
-            "category_id",
-            *[v.alias(c) for c, v in values.items()],
-        )
-        .withColumn("product_photos_qty", F.coalesce("product_photos_qty", F.lit(0)))
+    named = fold(category_name(F.col("product_category_name"))) == F.col("_folded")
+    accepted, rejected = _finished(
+        Cleaned(sifted.accepted.join(categories, named), sifted.rejected), values, "category_id"
     )
-    return Cleaned(accepted, sifted.rejected)
+    accepted = accepted.withColumn("product_photos_qty", F.coalesce("product_photos_qty", F.lit(0)))
+    return Cleaned(accepted.select(*TABLES["products"].schema.names), rejected)
 
 
 def clean_sellers(stg_sellers: DataFrame) -> Cleaned:
-    sifted = _sift(stg_sellers, {"no seller_id": _missing("seller_id")})
-    accepted = sifted.accepted.select(
-        F.trim("seller_id").alias("seller_id"),
-        blank_to_null(F.col("seller_zip_code_prefix")).alias("seller_zip_code_prefix"),
-        lower_text(F.col("seller_city")).alias("seller_city"),
-        upper_text(F.col("seller_state")).alias("seller_state"),
-    ).distinct()
-    return Cleaned(accepted, sifted.rejected)
+    values = {
+        "seller_id": _trimmed("seller_id"),
+        "seller_zip_code_prefix": Value("seller_zip_code_prefix", blank_to_null(F.col("seller_zip_code_prefix"))),
+        "seller_city": Value("seller_city", lower_text(F.col("seller_city"))),
+        "seller_state": Value("seller_state", upper_text(F.col("seller_state"))),
+    }
+    sifted = _sift(stg_sellers, "sellers", values, {"no seller_id": _missing("seller_id")})
+    accepted, rejected = _finished(sifted, values)
+    return Cleaned(accepted.distinct(), rejected)
 
 
 def clean_orders(stg_orders: DataFrame, customers: DataFrame, strict: bool = False) -> Cleaned:
+    values = {
+        "order_id": _trimmed("order_id"),
+        "customer_id": _trimmed("customer_id"),
+        "order_status": _trimmed_or_empty("order_status", F.lower),
+    }
     times = [c.name for c in TABLES["orders"].columns if c.declared == "datetime"]
-    values = {c: parse_timestamp(F.col(c), YEAR_FIRST, strict) for c in times}
-    reasons = {"no order_id": _missing("order_id"), "no order_status": _missing("order_status")}
-    reasons |= {f"no {c}": _missing(c) for c in times if c in TABLES["orders"].required}
-    if not strict:
-        reasons |= {f"unreadable {c}": _unreadable(c, v) for c, v in values.items()}
-    sifted = _with_parent(_sift(stg_orders, reasons), "customer_id", customers, "customer_id", "unknown customer_id")
-    accepted = sifted.accepted.select(
-        F.trim("order_id").alias("order_id"),
-        F.trim("customer_id").alias("customer_id"),
-        F.lower(F.trim("order_status")).alias("order_status"),
-        *[v.alias(c) for c, v in values.items()],
-    )
-    return Cleaned(accepted, sifted.rejected)
+    values |= {c: Value(c, parse_timestamp(F.col(c), YEAR_FIRST, strict)) for c in times}
+    sifted = _sift(stg_orders, "orders", values, {"no order_id": _missing("order_id")}, strict)
+    sifted = _with_parent(sifted, "customer_id", customers, "customer_id", "unknown customer_id")
+    return _finished(sifted, values)
 
 
 def clean_order_items(
     stg_order_items: DataFrame, orders: DataFrame, products: DataFrame, sellers: DataFrame, strict: bool = False
 ) -> Cleaned:
     values = {
-        "order_item_id": truncated_int(F.col("order_item_id"), strict),
-        "shipping_limit_date": parse_timestamp(F.col("shipping_limit_date"), YEAR_FIRST, strict),
-        "price": to_decimal(F.col("price"), 10, 2, strict),
-        "freight_value": to_decimal(F.col("freight_value"), 10, 2, strict),
+        "order_id": _trimmed("order_id"),
+        "order_item_id": Value("order_item_id", truncated_int(F.col("order_item_id"), strict)),
+        "product_id": _trimmed("product_id"),
+        "seller_id": _trimmed("seller_id"),
+        "shipping_limit_date": Value(
+            "shipping_limit_date", parse_timestamp(F.col("shipping_limit_date"), YEAR_FIRST, strict)
+        ),
+        "price": Value("price", to_decimal(F.col("price"), 10, 2, strict)),
+        "freight_value": Value("freight_value", to_decimal(F.col("freight_value"), 10, 2, strict)),
     }
-    reasons = {f"no {c}": _missing(c) for c in ("order_item_id", "price", "freight_value")}
-    if not strict:
-        reasons |= {f"unreadable {c}": _unreadable(c, v) for c, v in values.items()}
-    sifted = _sift(stg_order_items, reasons)
+    sifted = _sift(stg_order_items, "order_items", values, {}, strict)
     sifted = _with_parent(sifted, "order_id", orders, "order_id", "unknown order_id")
     sifted = _with_parent(sifted, "product_id", products, "product_id", "unknown product_id")
     sifted = _with_parent(sifted, "seller_id", sellers, "seller_id", "unknown seller_id")
-    accepted = sifted.accepted.select(
-        F.trim("order_id").alias("order_id"),
-        values["order_item_id"].alias("order_item_id"),
-        F.trim("product_id").alias("product_id"),
-        F.trim("seller_id").alias("seller_id"),
-        *[values[c].alias(c) for c in ("shipping_limit_date", "price", "freight_value")],
-    )
-    return Cleaned(accepted, sifted.rejected)
+    return _finished(sifted, values)
 
 
 def clean_order_payments(stg_order_payments: DataFrame, orders: DataFrame, strict: bool = False) -> Cleaned:
     values = {
-        "payment_sequential": truncated_int(F.col("payment_sequential"), strict),
-        "payment_installments": truncated_int(F.col("payment_installments"), strict),
-        "payment_value": to_decimal(F.col("payment_value"), 10, 2, strict),
+        "order_id": _trimmed("order_id"),
+        "payment_sequential": Value("payment_sequential", truncated_int(F.col("payment_sequential"), strict)),
+        "payment_type": _trimmed_or_empty("payment_type", F.lower),
+        "payment_installments": Value("payment_installments", truncated_int(F.col("payment_installments"), strict)),
+        "payment_value": Value("payment_value", to_decimal(F.col("payment_value"), 10, 2, strict)),
     }
-    reasons = {f"no {c}": _missing(c) for c in (*values, "payment_type")}
-    if not strict:
-        reasons |= {f"unreadable {c}": _unreadable(c, v) for c, v in values.items()}
-    sifted = _with_parent(_sift(stg_order_payments, reasons), "order_id", orders, "order_id", "unknown order_id")
-    accepted = sifted.accepted.select(
-        F.trim("order_id").alias("order_id"),
-        values["payment_sequential"].alias("payment_sequential"),
-        F.lower(F.trim("payment_type")).alias("payment_type"),
-        values["payment_installments"].alias("payment_installments"),
-        values["payment_value"].alias("payment_value"),
-    )
-    return Cleaned(accepted, sifted.rejected)
+    sifted = _sift(stg_order_payments, "order_payments", values, {}, strict)
+    return _finished(_with_parent(sifted, "order_id", orders, "order_id", "unknown order_id"), values)
 
 
 def clean_order_reviews(stg_order_reviews: DataFrame, orders: DataFrame, strict: bool = False) -> Cleaned:
     score = F.when(F.col("review_score").rlike(WHOLE_NUMBER), F.col("review_score")).try_cast("int")
+    values = {
+        "review_id": _trimmed_or_empty("review_id"),
+        "order_id": _trimmed("order_id"),
+        "review_score": Value("review_score", score.try_cast("tinyint")),
+        "review_comment_title": Value("review_comment_title", blank_to_null(F.col("review_comment_title"))),
+        "review_comment_message": Value("review_comment_message", blank_to_null(F.col("review_comment_message"))),
+    }
     times = ["review_creation_date", "review_answer_timestamp"]
-    values = {c: parse_timestamp(F.col(c), DAY_FIRST, strict) for c in times}
+    values |= {c: Value(c, parse_timestamp(F.col(c), DAY_FIRST, strict)) for c in times}
     reasons = {"score not 1 to 5": ~F.coalesce(score.between(*SCORES), F.lit(False))}
-    if not strict:
-        reasons |= {f"unreadable {c}": _unreadable(c, v) for c, v in values.items()}
-    sifted = _with_parent(_sift(stg_order_reviews, reasons), "order_id", orders, "order_id", "unknown order_id")
-    accepted = sifted.accepted.select(
-        F.trim("review_id").alias("review_id"),
-        F.trim("order_id").alias("order_id"),
-        score.cast("tinyint").alias("review_score"),
-        blank_to_null(F.col("review_comment_title")).alias("review_comment_title"),
-        blank_to_null(F.col("review_comment_message")).alias("review_comment_message"),
-        *[v.alias(c) for c, v in values.items()],
-    )
-    return Cleaned(accepted, sifted.rejected)
+    sifted = _sift(stg_order_reviews, "order_reviews", values, reasons, strict)
+    return _finished(_with_parent(sifted, "order_id", orders, "order_id", "unknown order_id"), values)
 
 
 def south_west(value: Column) -> Column:
@@ -233,23 +264,20 @@ def clean_geolocation(stg_geolocation: DataFrame, box: Mapping[str, tuple[float,
     lat_text, lng_text = F.col("geolocation_lat"), F.col("geolocation_lng")
     lat = F.when(lat_text.rlike(DECIMAL_NUMBER), lat_text).try_cast("decimal(10,6)")
     lng = F.when(lng_text.rlike(DECIMAL_NUMBER), lng_text).try_cast("decimal(10,6)")
-    sifted = _sift(
-        stg_geolocation,
-        {
-            "latitude": ~F.coalesce(lat.between(*LATITUDES), F.lit(False)),
-            "longitude": ~F.coalesce(lng.between(*LONGITUDES), F.lit(False)),
-        },
-    )
     lat_fixed = south_west(lat) if box is None else mirrored_into(lat, *box["lat"])
     lng_fixed = south_west(lng) if box is None else mirrored_into(lng, *box["lng"])
-    accepted = sifted.accepted.select(
-        F.trim("geolocation_zip_code_prefix").alias("geolocation_zip_code_prefix"),
-        lat_fixed.cast("decimal(10,6)").alias("geolocation_lat"),
-        lng_fixed.cast("decimal(10,6)").alias("geolocation_lng"),
-        lower_text(F.col("geolocation_city")).alias("geolocation_city"),
-        upper_text(F.col("geolocation_state")).alias("geolocation_state"),
-    )
-    return Cleaned(accepted, sifted.rejected)
+    values = {
+        "geolocation_zip_code_prefix": _trimmed_or_empty("geolocation_zip_code_prefix"),
+        "geolocation_lat": Value("geolocation_lat", lat_fixed.cast("decimal(10,6)")),
+        "geolocation_lng": Value("geolocation_lng", lng_fixed.cast("decimal(10,6)")),
+        "geolocation_city": Value("geolocation_city", lower_text(F.col("geolocation_city"))),
+        "geolocation_state": Value("geolocation_state", upper_text(F.col("geolocation_state"))),
+    }
+    reasons = {
+        "latitude": ~F.coalesce(lat.between(*LATITUDES), F.lit(False)),
+        "longitude": ~F.coalesce(lng.between(*LONGITUDES), F.lit(False)),
+    }
+    return _finished(_sift(stg_geolocation, "geolocation", values, reasons), values)
 
 
 REJECTS = "_rejects"
