@@ -32,9 +32,10 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, min_rows: int =
 def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
     """Rows of the most frequent key: one aggregate, one number on the driver.
 
-    Lets a job take its short way when all groups are known to be small.
+    Lets a job take its short way when all groups are known to be small. Keys
+    with a NULL are left out, as they join with nothing.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     return counts.agg(F.max("n").alias("n")).first()["n"] or 0
 
 
