@@ -20,7 +20,8 @@ from tradewind.bindings.registered import REGISTERED  # noqa: E402
 from tradewind.session import local_session  # noqa: E402
 
 HEADLINE = (
-    "q07_conflicting_identity", "q10_payment_mismatch", "q11_mom_growth", "q12_top_products_per_category",
+    "dedup_keep_last", "clean_orders", "clean_geolocation", "q07_conflicting_identity", "q10_payment_mismatch",
+    "q11_mom_growth", "q12_top_products_per_category",
     "q13_clv_tiers", "q14_sales_rollup", "q15_top_category_per_month", "q16_customer_360", "q17_bought_a_never_b",
     "q18_best_product_per_seller_category", "q19_market_basket", "q20_shipping_delays", "q21_above_state_average",
     "q22_second_product", "q24_consecutive_months", "q25_moving_average", "q26_order_gap",
