@@ -36,6 +36,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
+        # One session runs the whole catalogue: keep all its compiled stages.
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         # Small local data: keep all cores busy instead of merging partitions up to 1 MB.
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
     )
