@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import decontamination
+from tradewind.llm import decontamination, ngram_join
 from tradewind.llm.shared import table
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    found = ngram_join.ngram_components(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "n_links")
+
+
 def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     names = F.array_sort(F.transform("items", lambda x: x.cast("string")))
@@ -23,6 +28,7 @@ def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 
 
 QUERIES = {
+    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
 }
 

@@ -36,5 +36,7 @@ def keyed(documents: DataFrame) -> DataFrame:
 def without_rows(documents: DataFrame, rows: DataFrame) -> DataFrame:
     """The documents whose (doc_id, row key) is not in ``rows``, with their own columns."""
     gone = rows.select(F.col("doc_id").alias("__tw_id"), F.col(ROW_KEY).alias("__tw_gone")).distinct()
-    hit = (F.col(ROW_KEY) == F.col("__tw_gone")) & F.col("doc_id").eqNullSafe(F.col("__tw_id"))
+    # The key alone deals out the rows; the id, hashed into it, only rules out a clash.
+    same = F.coalesce(F.col("doc_id") == F.col("__tw_id"), F.col("doc_id").isNull() & F.col("__tw_id").isNull())
+    hit = (F.col(ROW_KEY) == F.col("__tw_gone")) & same
     return documents.withColumn(ROW_KEY, row_key()).join(gone, hit, "left_anti").select(*documents.columns)
