@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import decontamination, ngram_join
-from tradewind.llm.shared import table
+from tradewind.llm import decontamination, ngram_join, suffix_tree
+from tradewind.llm.shared import ROW_KEY, table
 
 
 def op3_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
@@ -27,9 +27,15 @@ def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     )
 
 
+def op10_suffix_tree_score(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 10 == 0
+    return suffix_tree.score_documents(table(spark, folder, "documents"), held_out).drop(ROW_KEY)
+
+
 QUERIES = {
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
+    "op10_suffix_tree_score": op10_suffix_tree_score,
 }
 
 ORACLE: dict[str, str] = {}
