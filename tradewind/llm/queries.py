@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import chat, decontamination, mixing, ngram_join, sharding, suffix_tree
+from tradewind.llm import chat, decontamination, mixing, ngram_join, sharding, suffix_tree, toxicity
 from tradewind.llm.shared import ROW_KEY, table
 
 
@@ -50,6 +50,18 @@ def op5_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed_sizes(table(spark, folder, "documents")).drop("source")
 
 
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    model = toxicity.train(documents, table(spark, folder, "labels"), toxicity.learned_rows())
+    return toxicity.score_documents(documents, model).select(
+        "doc_id",
+        F.coalesce(~toxicity.learned_rows(), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        "n_hits",
+    )
+
+
 def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     names = F.array_sort(F.transform("items", lambda x: x.cast("string")))
@@ -73,6 +85,7 @@ QUERIES = {
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_chat_formatting": op4_chat_formatting,
     "op5_source_mixing": op5_source_mixing,
+    "op6_toxicity": op6_toxicity,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op10_suffix_tree_score": op10_suffix_tree_score,
 }
