@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import chat, decontamination, mixing, ngram_join, sharding, suffix_tree, toxicity
+from tradewind.llm import chat, decontamination, mixing, ngram_join, pii, sharding, suffix_tree, toxicity
 from tradewind.llm.shared import ROW_KEY, table
 
 
@@ -62,6 +62,25 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+    found = pii.find_pii(table(spark, folder, "documents"))
+    rank = F.array(*map(F.lit, pii.KINDS))
+    every = F.array_sort(
+        F.transform(
+            F.concat("base", "added"),
+            lambda x: F.struct(F.array_position(rank, x["kind"]).alias("rank"), x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind")),
+        )
+    )
+    counts = [F.size(F.filter("base", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(every).alias("spans"),
+        F.size("added").cast("long").alias("n_added"),
+    )
+
+
 def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     names = F.array_sort(F.transform("items", lambda x: x.cast("string")))
@@ -86,6 +105,7 @@ QUERIES = {
     "op4_chat_formatting": op4_chat_formatting,
     "op5_source_mixing": op5_source_mixing,
     "op6_toxicity": op6_toxicity,
+    "op7_personal_data": op7_personal_data,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op10_suffix_tree_score": op10_suffix_tree_score,
 }
