@@ -74,9 +74,12 @@ def op7_personal_data(spark: SparkSession, folder: str) -> DataFrame:
             lambda x: F.struct(F.array_position(rank, x["kind"]).alias("rank"), x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind")),
         )
     )
-    counts = [F.size(F.filter("base", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+
+    def count(kind):
+        return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     return found.select(
-        "doc_id", *counts, F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(every).alias("spans"),
+        "doc_id", *map(count, pii.KINDS), F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(every).alias("spans"),
         F.size("added").cast("long").alias("n_added"),
     )
 
