@@ -21,12 +21,10 @@ their fraction's copy by a draw of their own.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradewind.llm.shared import written
+from tradewind.llm.shared import let, written
 
 WEIGHTS = (5, 2, 1)
 #: The mix's words as a share of all words, and the most copies of a source.
@@ -77,11 +75,6 @@ def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SH
     )
 
 
-def let(value: Column, then: Callable[[Column], Column]) -> Column:
-    """``then(value)`` with the value computed once."""
-    return F.transform(F.array(value), then)[0]
-
-
 def draw(*columns) -> Column:
     """Uniform in [0, 1), the same for the same values."""
     return F.pmod(F.xxhash64(F.lit("mixing"), *columns), F.lit(1 << 53)) / float(1 << 53)

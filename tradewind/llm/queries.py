@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import chat, decontamination, mixing, ngram_join, pii, sharding, suffix_tree, toxicity
+from tradewind.llm import chat, decontamination, fingerprints, mixing, ngram_join, pii, sharding, suffix_tree, toxicity
 from tradewind.llm.shared import ROW_KEY, table
 
 
@@ -97,6 +97,10 @@ def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     )
 
 
+def op9_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, folder, "documents"))
+
+
 def op10_suffix_tree_score(spark: SparkSession, folder: str) -> DataFrame:
     held_out = F.crc32(F.col("doc_id").cast("string")) % 10 == 0
     return suffix_tree.score_documents(table(spark, folder, "documents"), held_out).drop(ROW_KEY)
@@ -110,6 +114,7 @@ QUERIES = {
     "op6_toxicity": op6_toxicity,
     "op7_personal_data": op7_personal_data,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
+    "op9_document_fingerprints": op9_document_fingerprints,
     "op10_suffix_tree_score": op10_suffix_tree_score,
 }
 
