@@ -5,10 +5,45 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import chat, decontamination, fingerprints, mixing, ngram_join, pii, sharding, suffix_tree, toxicity
+from tradewind.llm import chat, decontamination, fingerprints, fixity, mixing, ngram_join, pii, sharding, suffix_tree, toxicity
 from tradewind.llm.shared import ROW_KEY, table
 
 
+#: What the second replica suffers, by the first digits of the MD5 of a page's id.
+DAMAGED, LOST, STRAY = "00", "01", "02"
+
+
+def op1_merkle_fixity(spark: SparkSession, folder: str) -> DataFrame:
+    """The pages as an archive, audited against a replica with changed, lost and stray records."""
+    pages = table(spark, folder, "pages")
+    mark = F.substring(F.md5(F.col("page_id").cast("string")), 1, 2)
+    record = fixity.warc_record(F.col("page_id"), F.col("url"), F.col("html"))
+    hashed = pages.select("page_id", mark.alias("mark"), record.alias("record")).select(
+        "page_id",
+        "mark",
+        F.octet_length("record").cast("long").alias("length"),
+        F.sha2("record", 256).alias("digest"),
+        F.sha2(F.replace("record", F.lit("e"), F.lit("3")), 256).alias("damaged"),
+    )
+    laid = fixity.lay_out(hashed, "page_id")
+    original = laid.select("offset", "length", "copies", "digest", "page_id")
+    end = laid.agg(F.sum(F.col("length") * F.col("copies"))).first()[0] or 0
+    kept = laid.where(F.coalesce(F.col("mark") != LOST, F.lit(True))).select(
+        "offset", "length", "copies", F.when(F.col("mark") == DAMAGED, F.col("damaged")).otherwise(F.col("digest")).alias("digest"), "page_id"
+    )
+    stray = laid.where(F.col("mark") == STRAY).select((F.col("offset") + end).alias("offset"), "length", "copies", "digest", "page_id")
+    found = fixity.audit(original, kept.union(stray))
+    either = F.coalesce("original", "replica")
+    return found.select(
+        either["page_id"].alias("page_id"),
+        "status",
+        "offset",
+        either["length"].alias("length"),
+        F.coalesce("original.digest", F.lit("")).alias("expected"),
+        F.coalesce("replica.digest", F.lit("")).alias("found"),
+    )
+
+
 def op2_permutation_sharding(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id")
     return sharding.place(documents, sharding.shard_names())
@@ -107,6 +142,7 @@ def op10_suffix_tree_score(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_merkle_fixity": op1_merkle_fixity,
     "op2_permutation_sharding": op2_permutation_sharding,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_chat_formatting": op4_chat_formatting,
@@ -118,4 +154,29 @@ QUERIES = {
     "op10_suffix_tree_score": op10_suffix_tree_score,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_merkle_fixity": """
+        WITH records AS (
+            SELECT page_id, substr(md5(CAST(page_id AS VARCHAR)), 1, 2) AS mark,
+                   concat(
+                       'WARC/1.0', chr(13), chr(10), 'WARC-Type: response', chr(13), chr(10), 'WARC-Record-ID: ', page_id,
+                       chr(13), chr(10), 'WARC-Target-URI: ', url, chr(13), chr(10), 'Content-Length: ', strlen(html),
+                       chr(13), chr(10), chr(13), chr(10), html, chr(13), chr(10), chr(13), chr(10)
+                   ) AS record
+            FROM pages
+        ),
+        laid AS (
+            SELECT *, strlen(record) AS length,
+                   CAST(sum(strlen(record)) OVER (ORDER BY page_id) AS BIGINT) - strlen(record) AS start,
+                   CAST(sum(strlen(record)) OVER () AS BIGINT) AS total
+            FROM records
+        )
+        SELECT page_id, 'changed' AS status, start AS "offset", length, sha256(record) AS expected,
+               sha256(replace(record, 'e', '3')) AS found
+        FROM laid WHERE mark = '00' AND replace(record, 'e', '3') <> record
+        UNION ALL
+        SELECT page_id, 'missing', start, length, sha256(record), '' FROM laid WHERE mark = '01'
+        UNION ALL
+        SELECT page_id, 'extra', start + total, length, '', sha256(record) FROM laid WHERE mark = '02'
+    """,
+}
