@@ -282,35 +282,46 @@ def rare_scores(scored: DataFrame, counts: DataFrame, total: int, distinct: int,
                 out.append((int(bucket[a]), token[a:b].tobytes(), local.astype("<u4").tobytes(), place[own].tobytes()))
             kinds = pa.int32(), pa.binary(), pa.binary(), pa.binary()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x, t) for x, t in zip(zip(*out, strict=True), kinds, strict=True)], ["bucket", "tokens", "owners", "places"]
+                [*(pa.array(x, t) for x, t in zip(zip(*out, strict=True), kinds, strict=True)), pa.array(np.repeat(place[0], len(out)))],
+                ["bucket", "tokens", "owners", "places", "block"],
             )
 
     def met(blocks: pa.Table, known: pa.Table) -> pa.Table:
         table, n = known.column("token").to_numpy().view(np.uint64), known.column("n").to_numpy()
         order = np.argsort(table)
         table, n = table[order], np.r_[n[order], 0]
-        places, values, found = [np.empty(0, np.int64)], [np.empty(0)], [np.empty(0, np.int64)]
+        out = []
         for row in blocks.to_pylist():
             own = np.frombuffer(row["places"], np.int64)
             owner = np.frombuffer(row["owners"], "<u4")
             count = n[find(table, np.frombuffer(row["tokens"], np.uint64))]
-            places.append(own)
-            values.append(np.bincount(owner, np.log10((count + ADDED) / (total + ADDED * (distinct + 1))), len(own)))
-            found.append(np.bincount(owner[count > 0], minlength=len(own)))
-        return pa.table(
-            {"place": np.concatenate(places), "rare_value": np.concatenate(values), "n_rare": np.concatenate(found).astype(np.int64)}
+            value = np.bincount(owner, np.log10((count + ADDED) / (total + ADDED * (distinct + 1))), len(own))
+            found = np.bincount(owner[count > 0], minlength=len(own)).astype("<u4")
+            out.append((row["block"], row["places"], value.tobytes(), found.tobytes()))
+        kinds = pa.int64(), pa.binary(), pa.binary(), pa.binary()
+        columns = zip(*out, strict=True) if out else [[]] * 4
+        return pa.table([pa.array(x, t) for x, t in zip(columns, kinds, strict=True)], names=["block", "places", "values", "found"])
+
+    def summed(replies: pa.Table) -> pa.Table:
+        """A block's documents have one sum from each bucket."""
+        place, value, found = (
+            np.concatenate([np.frombuffer(x.as_py(), kind) for x in replies.column(name)])
+            for name, kind in (("places", np.int64), ("values", np.float64), ("found", "<u4"))
         )
+        own, owner = np.unique(place, return_inverse=True)
+        n_rare = np.bincount(owner, found).astype(np.int64)
+        return pa.table({"place": own, "rare_value": np.bincount(owner, value), "n_rare": n_rare})
 
-    blocks = scored.select("place", "rare").mapInArrow(packed, "bucket int, tokens binary, owners binary, places binary")
+    blocks = scored.select("place", "rare").mapInArrow(packed, "bucket int, tokens binary, owners binary, places binary, block long")
     # The same bucket as in ``packed``: the token as an unsigned number.
     high, low = F.shiftrightunsigned("token", 32), F.col("token").bitwiseAND(0xFFFFFFFF)
     bucket = F.pmod(high % buckets * (2**32 % buckets) + low % buckets, F.lit(buckets)).cast("int")
-    sums = (
+    replies = (
         blocks.groupBy("bucket")
         .cogroup(counts.withColumn("bucket", bucket).groupBy("bucket"))
-        .applyInArrow(met, "place long, rare_value double, n_rare long")
+        .applyInArrow(met, "block long, places binary, values binary, found binary")
     )
-    return sums.groupBy("place").agg(F.sum("rare_value").alias("rare_value"), F.sum("n_rare").alias("n_rare"))
+    return replies.groupBy("block").applyInArrow(summed, "place long, rare_value double, n_rare long")
 
 
 def score_documents(
