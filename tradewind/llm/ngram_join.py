@@ -59,7 +59,7 @@ def gram_sets(batch_words: np.ndarray, counts: np.ndarray, size: int) -> Iterato
     """The sorted distinct n-grams of each text."""
     n = len(batch_words)
     run = batch_words.copy()
-    for k in range(1, size):
+    for k in range(1, min(size, n)):
         run[: n - k] = mixed(run[: n - k] * BASE + batch_words[k:])
     run = mixed(run)
     low = 0
