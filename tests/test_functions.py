@@ -82,3 +82,9 @@ def test_strict_date_raises(spark):
 def test_iso_yearweek(spark):
     days = [datetime.datetime(2017, 12, 31), datetime.datetime(2018, 1, 1), datetime.datetime(2018, 12, 31)]
     assert one(spark, days, "timestamp_ntz", times.iso_yearweek) == [201752, 201801, 201901]
+
+
+def test_cents_are_exact_for_wide_decimals(spark):
+    df = spark.createDataFrame([(Decimal("123456789012345.67"), 0.29), (Decimal("900719925474099.31"), 1234567.89)], "d decimal(20,2), f double")
+    got = df.select(numbers.cents(F.col("d")), numbers.cents(F.col("f"))).collect()
+    assert [tuple(r) for r in got] == [(12345678901234567, 29), (90071992547409931, 123456789)]

@@ -28,25 +28,21 @@ def timeline(spark, n=600, seed=1):
     return spark.createDataFrame(data, "k string, ts timestamp_ntz, id int, v int")
 
 
-def test_hot_keys_lists_only_large_shares(spark, rows):
-    df = timeline(spark)
-    assert rows(skew.hot_keys(df, "k", share=0.3, min_rows=0)) == [("hot",)]
-    assert rows(skew.hot_keys(df, "k", share=0.3, min_rows=10_000)) == []
-    with pytest.raises(ValueError):
-        skew.hot_keys(df, "k", share=0)
-
-
-@pytest.mark.parametrize("share", [0.3, 0.01, 1.0])
-def test_sliced_windows_equal_plain_ones(spark, rows, share):
-    df = timeline(spark)
-    sliced = skew.slice_hot(df, "k", F.to_date("ts"), share=share, min_rows=0)
-    got = skew.previous_value(sliced, "k", ["ts", "id"], "ts", "prev")
-    plain = df.withColumn("prev", F.lag("ts").over(Window.partitionBy("k").orderBy("ts", "id")))
-    assert rows(got, "k", "ts", "id", "v", "prev") == rows(plain)
-
-    total = skew.running_total(sliced, "k", [F.col("ts"), F.col("id")], "v", "so_far")
-    frame = Window.partitionBy("k").orderBy("ts", "id").rowsBetween(Window.unboundedPreceding, 0)
-    assert rows(total, "k", "ts", "id", "v", "so_far") == rows(df.withColumn("so_far", F.sum("v").over(frame)))
+@pytest.mark.parametrize("partitions", ["1", "4", "40"])
+def test_ranged_windows_equal_plain_ones(spark, rows, partitions):
+    df = timeline(spark).unionByName(spark.createDataFrame([(None, datetime.datetime(2018, 1, n), 1000 + n, n) for n in (5, 2, 9)], timeline(spark, 1).schema))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = rows(skew.previous_value(df, "k", ["ts", "id"], "ts", "prev"), "k", "ts", "id", "v", "prev")
+        total = rows(skew.running_total(df, "k", ["ts", "id"], "v", "so_far"), "k", "ts", "id", "v", "so_far")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    plain = Window.partitionBy("k").orderBy("ts", "id")
+    assert got == rows(df.withColumn("prev", F.lag("ts").over(plain)))
+    assert total == rows(df.withColumn("so_far", F.sum("v").over(plain.rowsBetween(Window.unboundedPreceding, 0))))
 
 
 def test_previous_value_wants_its_own_order(spark):

@@ -16,8 +16,11 @@ MONEY = "decimal(28,2)"
 
 
 def cents(amount: Column) -> Column:
-    """Whole cents of a DECIMAL(p,2) or two-digit DOUBLE amount."""
-    return F.rint(amount.cast("double") * 100).cast("bigint")
+    """Whole cents of a DECIMAL(p,2) or two-digit DOUBLE amount; decimals never pass through a double.
+
+    The type's name is a constant, so only the fitting branch is left in the plan."""
+    in_binary = F.rint(amount.cast("double") * 100).cast("bigint")
+    return F.when(F.typeof(amount).startswith("decimal"), (amount * 100).cast("bigint")).otherwise(in_binary)
 
 
 def sum_cents(amount: Column) -> Column:
@@ -28,11 +31,6 @@ def money(in_cents: Column) -> Column:
     return (in_cents.cast("decimal(26,0)") * F.lit("0.01").cast("decimal(2,2)")).cast(MONEY)
 
 
-def ratio(numerator: Column, denominator: Column, digits: int) -> Column:
-    """Rounded quotient; NULL where the denominator is 0 or NULL."""
-    return F.round(F.try_divide(numerator.cast(MONEY), denominator.cast(MONEY)), digits)
-
-
 def percent(numerator_cents: Column, denominator_cents: Column) -> Column:
     """``n / d * 100`` to two digits, NULL for a zero denominator."""
     n = numerator_cents.cast("decimal(20,0)") * 100

@@ -24,7 +24,9 @@ _PUBLISHED = "_published"
 def published_batches(spark: SparkSession, root: str) -> DataFrame:
     try:
         return spark.read.schema("batch string").json(f"{root}/{_PUBLISHED}")
-    except AnalysisException:
+    except AnalysisException as fault:
+        if fault.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], "batch string")
 
 
@@ -43,11 +45,18 @@ def gated_append(
 ) -> DataFrame:
     """Appends ``batch`` when it breaks no rule, else leaves every table as it is.
 
-    Returns rows (table, rule, violations, accepted). Rules are checked on the
-    batch against the parents in ``existing`` and in the batch itself, and its
-    keys against the ones already there. One number, the sum of violations,
-    decides on the driver.
+    Returns rows (table, rule, violations, accepted). The batch is written to
+    its folders first, where no reader looks before it is published, and the
+    written rows are checked: against the parents in ``existing`` and in the
+    batch itself, and their keys against the ones already there. One number, the
+    sum of violations, decides on the driver.
     """
+    stored = {}
+    for name, df in batch.items():
+        folder = f"{root}/{name}/batch={_label(batch_id)}"
+        df.write.mode("overwrite").parquet(folder)
+        stored[name] = df.sparkSession.read.schema(df.schema).parquet(folder)
+    batch = stored
     parents = dict(existing)
     for name, df in batch.items():
         parents[name] = existing[name].unionByName(df, allowMissingColumns=True) if name in existing else df
@@ -66,8 +75,6 @@ def gated_append(
     total = findings.agg(F.sum("violations").alias("n")).first()["n"]
     accepted = total == 0
     if accepted:
-        for name, df in batch.items():
-            df.write.mode("overwrite").parquet(f"{root}/{name}/batch={_label(batch_id)}")
         spark.createDataFrame([(_label(batch_id),)], "batch string").coalesce(1).write.mode("append").json(
             f"{root}/{_PUBLISHED}"
         )

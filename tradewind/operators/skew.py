@@ -1,115 +1,64 @@
-"""Keys that hold too many rows for one task.
+"""Windows over keys of any size.
 
-A key is hot when it holds more than ``share`` of all rows (and more than
-``min_rows``). There can be at most ``1 / share`` such keys, so the list of
-hot keys is bounded by construction and safe to broadcast, whatever the data.
+Rows are range-partitioned by (key, order), so that a partition holds a run of
+the order and a key with very many rows spans several partitions. The
+partitions are fixed by a reliable checkpoint, and every window works on a key
+within a partition. What a key hands over a border, its last value or its sum,
+is one row per partition that the key spans; at most one key spans a border.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_SHARE = 0.001
-HOT_MIN_ROWS = 1_000_000
+from ..session import checkpointed
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, min_rows: int = HOT_MIN_ROWS) -> DataFrame:
-    """The hot values of one key column that is never NULL: at most ``1/share`` rows."""
-    if not 0 < share <= 1:
-        raise ValueError("share must be in (0, 1]")
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return (
-        df.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter((F.col("_rows") > min_rows) & (F.col("_rows") > total * F.lit(float(share))))
-        .select(key)
-    )
+def in_ranges(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """``df`` with ``_part``, the number of its range of (key, order)."""
+    return checkpointed(df.repartitionByRange(key, *order).withColumn("_part", F.spark_partition_id()))
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the most frequent key: one aggregate, one number on the driver.
+def _across_borders(ranges: DataFrame, key: str) -> DataFrame:
+    """Rows of the keys that lie in several ranges: the least or greatest key of each."""
+    wrapped = F.struct(F.col(key).alias("_key"))
+    edges = ranges.groupBy("_part").agg(F.min(wrapped).alias("first"), F.max(wrapped).alias("last"))
+    edges = edges.select("_part", F.explode(F.array("first", "last")).alias("edge")).select("_part", "edge._key")
+    spanning = edges.groupBy("_key").agg(F.countDistinct("_part").alias("n")).filter("n > 1").select("_key")
+    return ranges.join(spanning, F.col(key).eqNullSafe(F.col("_key")), "left_semi")
 
-    Lets a job take its short way when all groups are known to be small. Keys
-    with a NULL are left out, as they join with nothing.
-    """
-    counts = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return counts.agg(F.max("n").alias("n")).first()["n"] or 0
-
-
-def few(df: DataFrame, n: int, most: int = 100_000) -> DataFrame:
-    """Broadcast hint for a frame of at most ``n`` rows, given only while ``n`` is small."""
-    return F.broadcast(df) if n <= most else df
-
-
-def slice_hot(
-    df: DataFrame,
-    key: str,
-    slice_by: Column,
-    share: float = HOT_SHARE,
-    min_rows: int = HOT_MIN_ROWS,
-) -> DataFrame:
-    """Adds ``_slice``: ``slice_by`` for rows of a hot key, NULL for all others.
-
-    A window partitioned by (key, _slice) then sees a regular key whole and a
-    hot key in slices; `previous_value` and `running_total` carry over the
-    slice borders.
-    """
-    hot = hot_keys(df, key, share, min_rows).select(F.col(key).alias("_hot_key"), F.lit(True).alias("_hot"))
-    return (
-        df.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
-        .withColumn("_slice", F.when(F.col("_hot"), slice_by))
-        .drop("_hot_key", "_hot")
-    )
-
-
-def _carry_join(rows: DataFrame, carry: DataFrame, key: str) -> DataFrame:
-    renamed = carry.withColumnsRenamed({key: "_carry_key", "_slice": "_carry_slice"})
-    # Plain equality keeps the window's partitioning: the rows do not move again.
-    same = (F.col(key) == F.col("_carry_key")) & (F.col("_slice") == F.col("_carry_slice"))
-    return rows.join(renamed, same, "left").drop("_carry_key", "_carry_slice")
 
+def _carried(rows: DataFrame, carry: DataFrame, key: str) -> DataFrame:
+    renamed = carry.withColumnsRenamed({key: "_carry_key", "_part": "_carry_part"})
+    same = F.col(key).eqNullSafe(F.col("_carry_key")) & (F.col("_part") == F.col("_carry_part"))
+    return rows.join(renamed, same, "left").drop("_carry_key", "_carry_part", "_part")
 
-def previous_value(
-    sliced: DataFrame, key: str, order: Sequence[str], value: str, into: str
-) -> DataFrame:
-    """LAG of ``value`` per key over frames made by `slice_hot`.
 
-    ``value`` must be the first ordering column and not NULL. Slices are
-    consecutive ranges of it, so the value before a slice's first row is the
-    greatest one of the slice before.
-    """
+def previous_value(df: DataFrame, key: str, order: Sequence[str], value: str, into: str) -> DataFrame:
+    """LAG of ``value`` per key; ``value`` is the first ordering column and not NULL."""
     if order[0] != value:
         raise ValueError("value must be the first ordering column")
-    frame = Window.partitionBy(key, "_slice").orderBy(*order)
-    inside = sliced.withColumn(into, F.lag(value).over(frame))
-    ends = sliced.filter(F.col("_slice").isNotNull()).groupBy(key, "_slice").agg(F.max(value).alias("_end"))
-    carry = ends.select(key, "_slice", F.lag("_end").over(Window.partitionBy(key).orderBy("_slice")).alias("_carry"))
-    return (
-        _carry_join(inside, carry, key)
-        .withColumn(into, F.coalesce(into, "_carry"))
-        .drop("_carry", "_slice")
-    )
-
-
-def running_total(
-    sliced: DataFrame, key: str, order: Sequence[Column], value: str, into: str
-) -> DataFrame:
-    """Sum of ``value`` per key up to and with the current row, over `slice_hot` frames.
+    ranges = in_ranges(df, key, order)
+    inside = ranges.withColumn(into, F.lag(value).over(Window.partitionBy(key, "_part").orderBy(*order)))
+    ends = _across_borders(ranges, key).groupBy(key, "_part").agg(F.max(value).alias("_end"))
+    before = Window.partitionBy(key).orderBy("_part")
+    carry = ends.select(key, "_part", F.lag("_end").over(before).alias("_carry"))
+    return _carried(inside, carry, key).withColumn(into, F.coalesce(into, "_carry")).drop("_carry")
+
+
+def running_total(df: DataFrame, key: str, order: Sequence[str], value: str, into: str) -> DataFrame:
+    """Sum of ``value`` per key up to and with the current row.
 
     ``order`` must be total on the rows whose ``value`` is not 0.
     """
-    frame = (
-        Window.partitionBy(key, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    inside = sliced.withColumn(into, F.sum(value).over(frame))
-    sums = sliced.filter(F.col("_slice").isNotNull()).groupBy(key, "_slice").agg(F.sum(value).alias("_sum"))
-    earlier = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    carry = sums.select(key, "_slice", F.sum("_sum").over(earlier).alias("_carry"))
-    return (
-        _carry_join(inside, carry, key)
-        .withColumn(into, F.col(into) + F.coalesce("_carry", F.lit(0)))
-        .drop("_carry", "_slice")
-    )
+    ranges = in_ranges(df, key, order)
+    frame = Window.partitionBy(key, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = ranges.withColumn(into, F.sum(value).over(frame))
+    sums = _across_borders(ranges, key).groupBy(key, "_part").agg(F.sum(value).alias("_sum"))
+    earlier = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carry = sums.select(key, "_part", F.sum("_sum").over(earlier).alias("_carry"))
+    total = F.col(into) + F.coalesce("_carry", F.lit(0))
+    return _carried(inside, carry, key).withColumn(into, total).drop("_carry")

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import cents, money, sum_cents
-from ..operators.skew import few, largest_group
 from ..session import checkpointed
 
 # Categories of the never-bought report, the tolerance of the
@@ -23,11 +23,8 @@ TOP_DELAYS = 50
 LATEST_ROWS = 100
 MIN_SUPPORT = 2
 
-# Identities with more rows than this are compared by value before by row.
-LARGE_IDENTITY = 1000
-
-# Baskets with more products than this never have their pairs written out.
-LARGE_BASKET = 1000
+# Products of a basket that meet in one block.
+BASKET_BLOCK = 1000
 
 
 def conflicting_identities(
@@ -35,15 +32,13 @@ def conflicting_identities(
     identity: Sequence[str] = ("customer_unique_id",),
     id_column: str = "customer_id",
     attributes: Mapping[str, str] | None = None,
-    large: int = LARGE_IDENTITY,
 ) -> DataFrame:
     """Pairs a < b of one identity that differ in any attribute.
 
-    A comparison with a NULL is unknown and does not count. While every
-    identity has at most ``large`` rows these are paired directly. Beyond that
-    the identity's distinct attribute values are compared first and rows are
-    matched only between values that differ, so copies that agree are never
-    paired with one another, however many there are.
+    A comparison with a NULL is unknown and does not count. The identity's
+    distinct attribute values are compared first, and rows are matched only
+    between values that differ, so copies that agree are never paired with one
+    another. The pairs of rows that differ are the result, however many.
     """
     attributes = attributes or {"customer_city": "city", "customer_state": "state"}
     keys, shorts = list(identity), list(attributes.values())
@@ -57,10 +52,6 @@ def conflicting_identities(
 
     ascending = F.col(f"{id_column}_a") < F.col(f"{id_column}_b")
     result = [*keys, *[f"{c}_{s}" for s in "ab" for c in (id_column, *shorts)]]
-    if largest_group(rows, keys) <= large:
-        sides = [suffixed(rows, [id_column, *shorts], mark) for mark in ("_a", "_b")]
-        return sides[0].join(sides[1], keys).filter(ascending & differ("_a", "_b")).select(*result)
-
     values = rows.select(*keys, *shorts).distinct()
     conflicts = suffixed(values, shorts, "_left").join(suffixed(values, shorts, "_right"), keys)
     conflicts = conflicts.filter(differ("_left", "_right"))
@@ -119,7 +110,7 @@ def payment_mismatch(
     gap = F.col("paid") - F.col("owed")
     found = (
         paid.join(owed, "order_id")
-        .filter(F.abs(gap) > round(tolerance * 100))
+        .filter(F.abs(gap) > F.lit(Decimal(str(tolerance)) * 100))
         .join(orders.select("order_id", "order_status"), "order_id")
         .orderBy(F.abs(gap).desc(), "order_id")
     )
@@ -156,8 +147,8 @@ def customer_360(
         .orderBy(F.col("order_purchase_timestamp").desc(), "order_id")
         .limit(n)
     )
-    items = order_items.join(few(latest, n), "order_id")
-    reviews = order_reviews.join(few(latest.select("order_id"), n), "order_id", "left_semi")
+    items = order_items.join(latest, "order_id")
+    reviews = order_reviews.join(latest.select("order_id"), "order_id", "left_semi")
     return (
         items.join(customers.select("customer_id", "customer_state"), "customer_id")
         .join(products.select("product_id", "category_id"), "product_id")
@@ -229,18 +220,6 @@ def best_product_per_seller(sellers: DataFrame, order_items: DataFrame, products
     )
 
 
-def _pairs(baskets: DataFrame) -> DataFrame:
-    """(product_a, product_b, orders) counted over distinct (order, product) rows."""
-    a = baskets.select("order_id", F.col("product_id").alias("product_a"))
-    b = baskets.select("order_id", F.col("product_id").alias("product_b"))
-    return (
-        a.join(b, "order_id")
-        .filter(F.col("product_a") < F.col("product_b"))
-        .groupBy("product_a", "product_b")
-        .agg(F.count(F.lit(1)).alias("orders"))
-    )
-
-
 def _most_frequent(pairs: DataFrame, min_support: int, n: int) -> DataFrame:
     return (
         pairs.withColumnRenamed("orders", "times_bought_together")
@@ -254,67 +233,34 @@ def market_basket(
     order_items: DataFrame,
     min_support: int = MIN_SUPPORT,
     n: int = TOP_PAIRS,
-    large: int = LARGE_BASKET,
+    block: int = BASKET_BLOCK,
 ) -> DataFrame:
     """The ``n`` pairs of products found together in the most orders.
 
-    Pairs are written out for baskets of up to ``large`` distinct products. A
-    larger basket is used exactly, but never paired with itself:
-
-    * Pairs also met in a regular basket get the number of large baskets that
-      hold both products, by looking the two up.
-    * A pair met in large baskets only has as many orders as large baskets
-      hold both. Products held by the same large baskets are alike in that
-      count, so among pairs of two such groups only those of the ``n + 1``
-      lowest ids of each can be among the first ``n``. A product also needs
-      as many large baskets as the ``n``-th best regular pair has orders.
-
-    When a count shows that no order has more than ``large`` rows, only the
-    pairs are needed, and one shuffle by order serves to drop repeated
-    products and to pair the others.
+    Products in fewer than ``min_support`` orders are in no pair that counts and
+    go first. A basket's products are dealt to blocks of about ``block``, and
+    each block meets each other one (and itself) under a key of its own, so a
+    large basket is spread over many tasks. The pairs of a basket are counted
+    one by one: their number is quadratic in its products with support.
     """
-    sold = order_items.select("order_id", "product_id")
-    if largest_group(sold, ["order_id"]) <= large:
-        counted = _pairs(sold.repartition("order_id").distinct())
-        return _most_frequent(counted, min_support, n)
-
-    bought = sold.distinct()
-    large_orders = bought.groupBy("order_id").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > large)
-    regular = bought.join(large_orders.select("order_id"), "order_id", "left_anti")
-    held = bought.join(large_orders.select("order_id"), "order_id", "left_semi")
-
-    known = _pairs(regular)
-    with_a = held.select(F.col("product_id").alias("product_a"), "order_id")
-    with_b = held.select(F.col("product_id").alias("product_b"), "order_id")
-    also = (
-        known.select("product_a", "product_b")
-        .join(with_a, "product_a")
-        .join(with_b, ["product_b", "order_id"])
-        .select("product_a", "product_b", F.lit(1).cast("bigint").alias("orders"))
-    )
-    counted = known.unionByName(also).groupBy("product_a", "product_b").agg(F.sum("orders").alias("orders"))
-
-    floor = known.orderBy(F.col("orders").desc()).limit(n).agg(
-        F.when(F.count(F.lit(1)) >= n, F.min("orders")).otherwise(0).alias("floor")
+    bought = order_items.select("order_id", "product_id").dropna().repartition("order_id").distinct()
+    supported = bought.groupBy("product_id").agg(F.count(F.lit(1)).alias("_orders")).filter(F.col("_orders") >= min_support)
+    bought = bought.join(supported.select("product_id"), "product_id", "left_semi")
+    size = F.count(F.lit(1)).over(Window.partitionBy("order_id"))
+    last = F.floor((size - 1) / block)
+    dealt = bought.withColumn("_last", last).withColumn("_block", F.pmod(F.xxhash64("product_id"), F.col("_last") + 1))
+    low = dealt.select(
+        "order_id", F.col("product_id").alias("_one"), F.col("_block").alias("_low"), F.explode(F.sequence("_block", "_last")).alias("_high")
     )
-    alike = ["baskets", "mark_a", "mark_b"]
-    grouped = (
-        held.groupBy("product_id")
-        .agg(
-            F.count(F.lit(1)).alias("baskets"),
-            F.bit_xor(F.xxhash64("order_id")).alias("mark_a"),
-            F.bit_xor(F.xxhash64(F.lit("second"), F.col("order_id"))).alias("mark_b"),
-        )
-        .filter((F.col("baskets") >= min_support) & (F.col("baskets") >= floor.scalar()))
-    )
-    lowest = Window.partitionBy(*alike).orderBy("product_id")
-    chosen = (
-        grouped.withColumn("rn", F.row_number().over(lowest)).filter(F.col("rn") <= n + 1).select("product_id")
-    )
-    large_only = _pairs(held.join(chosen, "product_id", "left_semi"))
-
-    both = counted.unionByName(large_only).groupBy("product_a", "product_b").agg(F.max("orders").alias("orders"))
-    return _most_frequent(both, min_support, n)
+    high = dealt.select(
+        "order_id", F.col("product_id").alias("_two"), F.explode(F.sequence(F.lit(0).cast("bigint"), "_block")).alias("_low"),
+        F.col("_block").alias("_high"),
+    )
+    pairs = low.join(high, ["order_id", "_low", "_high"]).filter((F.col("_low") < F.col("_high")) | (F.col("_one") < F.col("_two")))
+    counted = pairs.groupBy(
+        F.least("_one", "_two").alias("product_a"), F.greatest("_one", "_two").alias("product_b")
+    ).agg(F.count(F.lit(1)).alias("orders"))
+    return _most_frequent(counted, min_support, n)
 
 
 def shipping_delays(
@@ -338,16 +284,17 @@ def shipping_delays(
         "order_delivered_customer_date",
         F.datediff(done, due).cast("bigint").alias("days_late"),
     )
-    sold = order_items.select("order_id", "seller_id")
-    with_seller = sold.join(sellers.select("seller_id"), "seller_id", "left_semi").select("order_id").distinct()
+    # Late orders are few: their items are looked up first, and only those meet the sellers.
+    late = late.join(customers.select("customer_id"), "customer_id", "left_semi")
+    sold = order_items.select("order_id", "seller_id").join(late.select("order_id"), "order_id", "left_semi").distinct()
+    sold = sold.join(sellers.select("seller_id"), "seller_id", "left_semi")
     worst = (
-        late.join(customers.select("customer_id"), "customer_id", "left_semi")
-        .join(with_seller, "order_id", "left_semi")
+        late.join(sold.select("order_id").distinct(), "order_id", "left_semi")
         .orderBy(F.col("days_late").desc(), "order_id")
         .limit(n)
     )
     return (
-        sold.join(few(worst, n), "order_id")
+        sold.join(worst, "order_id")
         .distinct()
         .join(customers.select("customer_id", "customer_state"), "customer_id")
         .join(sellers.select("seller_id", "seller_state"), "seller_id")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import money, percent, sum_cents
 from ..functions.times import day
-from ..operators.skew import HOT_MIN_ROWS, HOT_SHARE, previous_value, slice_hot
+from ..operators.skew import previous_value
 from .aggregates import revenue_per
 
 # Rows in the moving average, sellers kept per state.
@@ -25,21 +25,11 @@ def moving_average(orders: DataFrame, n: int = MOVING_ROWS) -> DataFrame:
     return daily.withColumn("moving_avg_7day", mean.cast("decimal(24,2)")).orderBy("order_date")
 
 
-def order_gaps(
-    orders: DataFrame,
-    identity: str = "customer_id",
-    share: float = HOT_SHARE,
-    min_rows: int = HOT_MIN_ROWS,
-) -> DataFrame:
-    """Time of and days since the customer's previous order.
-
-    A customer with a large share of all orders is worked on in days, the
-    others whole.
-    """
+def order_gaps(orders: DataFrame, identity: str = "customer_id") -> DataFrame:
+    """Time of and days since the customer's previous order."""
     times = orders.select(identity, "order_id", "order_purchase_timestamp")
-    sliced = slice_hot(times, identity, day(F.col("order_purchase_timestamp")), share, min_rows)
     order = ["order_purchase_timestamp", "order_id"]
-    with_previous = previous_value(sliced, identity, order, "order_purchase_timestamp", "previous_order_ts")
+    with_previous = previous_value(times, identity, order, "order_purchase_timestamp", "previous_order_ts")
     gap = F.datediff("order_purchase_timestamp", "previous_order_ts").cast("bigint")
     return with_previous.withColumn("days_since_previous_order", gap).orderBy(identity, *order)
 
