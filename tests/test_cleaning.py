@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tradewind.plans import cleaning, quality
 from tradewind.schemas import RAW_COLUMNS, TABLES
+from tradewind.session import checkpointed
 
 TS = "2018-03-05 14:07:00"
 
@@ -56,6 +57,26 @@ def test_products(spark, rows):
         cleaning.clean_products(stg, lookup, strict=True).accepted.collect()
 
 
+def test_products_without_their_category_are_rejected(spark, rows):
+    stg = raw(spark, "products", *[{"product_id": f"p{i}", "product_category_name": c} for i, c in enumerate("abcb")])
+    lookup = cleaning.clean_category_lookup(stg).filter("category_name <> 'b'")
+    cleaned = cleaning.clean_products(stg, lookup)
+    assert rows(cleaned.accepted, "product_id") == [("p0",), ("p2",)]
+    assert reasons(cleaned) == {"unknown category": 2}
+
+
+def test_held_rows_are_read_once(spark, orders):
+    held = []
+
+    def hold(marked):
+        held.append(checkpointed(marked))
+        return held[0]
+
+    cleaned = cleaning.clean_orders(orders, cleaning.clean_customers(orders), hold=hold)
+    assert len(held) == 1 and cleaned.accepted.count() + cleaned.rejected.count() == orders.count()
+    assert "Join" not in cleaned.rejected._jdf.queryExecution().toString()
+
+
 def test_sellers(spark, rows):
     stg = raw(
         spark,

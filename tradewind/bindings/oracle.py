@@ -152,7 +152,7 @@ SELECT 'orders', 'check chk_order_status', count(*) FILTER (WHERE o_orderstatus
 
 ORACLE["validate_foreign_key"] = """
 SELECT 'order_items' AS "table", 'foreign_key order_id -> orders' AS rule, count(*) AS violations
-FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')
+FROM lineitem WHERE CASE WHEN l_linenumber = 7 THEN -l_orderkey ELSE l_orderkey END NOT IN (SELECT o_orderkey FROM orders)
 UNION ALL
 SELECT 'order_items', 'foreign_key seller_id -> sellers', count(*)
 FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier)"""
@@ -271,6 +271,22 @@ products AS (
     WHERE trim(product_id) <> '' AND p_partkey % 107 <> 0)"""
 ORACLE["clean_category_lookup"] = f"WITH {STG_PRODUCTS} SELECT category_id, category_name FROM lookup"
 ORACLE["clean_products"] = f"WITH {STG_PRODUCTS} SELECT * FROM products"
+ORACLE["clean_products_rejects"] = f"""WITH {STG_PRODUCTS}, reasons AS (
+    SELECT CASE WHEN trim(product_id) = '' THEN 'no product_id' WHEN p_partkey % 107 = 0 THEN 'unreadable product_weight_g'
+                WHEN strip_accents(name) = (SELECT min(folded) FROM lookup WHERE category_id = 1) THEN 'unknown category'
+           END AS reason FROM named)
+SELECT reason AS reject_reason, count(*) AS rows_rejected FROM reasons WHERE reason IS NOT NULL GROUP BY ALL"""
+ORACLE["clean_rows_accounted_for"] = "\nUNION ALL\n".join(
+    f"SELECT '{table}' AS \"table\", count(*) AS rows FROM {source}"
+    for table, source in {
+        "products": "part",
+        "orders": "orders",
+        "order_items": "lineitem",
+        "order_payments": "orders",
+        "order_reviews": "documents",
+        "geolocation": "events",
+    }.items()
+)
 
 CLEAN_SELLERS = """sellers AS (
     SELECT DISTINCT CAST(s_suppkey AS VARCHAR) AS seller_id,
@@ -376,7 +392,7 @@ ORACLE["dq_duplicate_files"] = f"""
 SELECT 'part_3_copy' AS "check", CAST(sum({_LINE_COUNT}) AS BIGINT) AS rows_affected FROM documents WHERE lang = 'en'"""
 ORACLE["dq_duplicate_files_loaded_once"] = f"""
 SELECT CASE WHEN lang = 'en' THEN 'part_1' ELSE 'part_2' END AS folder, CAST(sum({_LINE_COUNT}) AS BIGINT) AS lines
-FROM documents WHERE lang IN ('en', 'de', 'fr') GROUP BY ALL"""
+FROM documents GROUP BY ALL"""
 
 ORACLE["dq_placeholder_text"] = """
 SELECT 'review_comment_title is filler' AS "check",
@@ -504,8 +520,7 @@ SELECT 'orphan_seller_prod', count(*) FROM lineitem LEFT JOIN supplier ON s_supp
 ORACLE["q09_never_ordered"] = """
 SELECT c_custkey AS customer_id, c_name AS customer_unique_id, c_mktsegment AS customer_city,
        CAST(c_nationkey AS BIGINT) AS customer_state
-FROM customer LEFT JOIN orders ON o_custkey = c_custkey AND o_orderdate >= TIMESTAMP '2001-01-01'
-WHERE o_orderkey IS NULL"""
+FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events WHERE user_id IS NOT NULL)"""
 
 ORACLE["q10_payment_mismatch"] = f"""WITH {MISMATCH}
 SELECT order_id, order_status, CAST(paid AS DOUBLE) AS total_paid, CAST(owed AS DOUBLE) AS total_order_value,

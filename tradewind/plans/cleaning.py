@@ -4,7 +4,13 @@ Every job returns the accepted rows and, apart from them, the rejected ones
 with a reason. A row is rejected when the source's own filters leave it out,
 or when its strict load would refuse it: a required value is missing, text
 cannot be read as the column's type or is too long, a row rule is broken, a
-parent is unknown. With ``strict`` unreadable text fails the job instead.
+parent is unknown. With ``strict`` unreadable text fails the job instead; review
+scores and coordinates are filtered by pattern before they are read, so bad ones
+are set aside in either mode.
+
+All reasons are worked out in one pass over the raw rows. ``hold`` is applied to
+the marked rows before they are split (`load_production` passes a reliable
+checkpoint), so that accepted and rejected rows come from one reading.
 """
 
 from __future__ import annotations
@@ -23,6 +29,7 @@ from ..functions.times import DAY_FIRST, YEAR_FIRST, parse_timestamp
 from ..operators.constraints import violates
 from ..operators.keys import with_surrogate_key
 from ..schemas import TABLES
+from ..session import checkpointed
 from ..sources.tables import write_table
 
 REASON = "reject_reason"
@@ -35,6 +42,13 @@ LATITUDES = (-90, 90)
 LONGITUDES = (-180, 180)
 
 
+Hold = Callable[[DataFrame], DataFrame]
+
+
+def _as_is(df: DataFrame) -> DataFrame:
+    return df
+
+
 class Cleaned(NamedTuple):
     accepted: DataFrame
     rejected: DataFrame
@@ -52,12 +66,12 @@ _TYPED = "_typed_"
 
 def _sift(
     raw: DataFrame, table: str, values: Mapping[str, Value], reasons: Mapping[str, Column], strict: bool = False
-) -> Cleaned:
-    """Splits rows by the first reason that holds; unknown does not hold.
+) -> DataFrame:
+    """Marks rows with the first reason that holds; unknown does not hold.
 
     After the given ``reasons`` come those the table declares: required
     values, text that could not be read, text that is too long, row rules.
-    Accepted rows carry the typed values next to the raw columns.
+    Rows carry the typed values next to the raw columns.
     """
     spec = TABLES[table]
     declared = {c.name: c for c in spec.columns}
@@ -80,28 +94,23 @@ def _sift(
     for rule, text in spec.checks.items():
         on_typed = re.sub(r"\b(" + "|".join(values) + r")\b", _TYPED + r"\1", text)
         found.append(F.when(violates(F.expr(on_typed)), F.lit(f"check {rule}")))
-    marked = typed.withColumn(REASON, F.coalesce(*found))
-    return Cleaned(
-        marked.filter(F.col(REASON).isNull()).drop(REASON),
-        marked.filter(F.col(REASON).isNotNull()).select(*raw.columns, REASON),
-    )
+    return typed.withColumn(REASON, F.coalesce(*found))
 
 
-def _with_parent(cleaned: Cleaned, key: str, parent: DataFrame, parent_key: str, reason: str) -> Cleaned:
-    """Moves rows whose typed key is not in ``parent`` to the rejected ones."""
-    known = parent.select(F.col(parent_key).alias("_parent"))
-    match = F.col(_TYPED + key) == F.col("_parent")
-    orphans = cleaned.accepted.join(known, match, "left_anti").withColumn(REASON, F.lit(reason))
-    return Cleaned(
-        cleaned.accepted.join(known, match, "left_semi"),
-        cleaned.rejected.unionByName(orphans.select(*cleaned.rejected.columns)),
-    )
+def _with_parent(marked: DataFrame, key: str, parent: DataFrame, parent_key: str, reason: str) -> DataFrame:
+    """Marks rows whose typed key is not in ``parent``."""
+    known = parent.select(F.col(parent_key).alias("_parent")).distinct()
+    joined = marked.join(known, F.col(_TYPED + key) == F.col("_parent"), "left")
+    orphan = F.when(F.col("_parent").isNull(), F.lit(reason))
+    return joined.withColumn(REASON, F.coalesce(REASON, orphan)).drop("_parent")
 
 
-def _finished(cleaned: Cleaned, values: Mapping[str, Value], *others: str) -> Cleaned:
-    """Only the typed columns, in the order given."""
+def _split(marked: DataFrame, raw: DataFrame, values: Mapping[str, Value], hold: Hold, *others: str) -> Cleaned:
+    """Accepted rows with only the typed columns, in the order given; rejected ones as they came."""
+    held = hold(marked)
     return Cleaned(
-        cleaned.accepted.select(*others, *[F.col(_TYPED + name).alias(name) for name in values]), cleaned.rejected
+        held.filter(F.col(REASON).isNull()).select(*others, *[F.col(_TYPED + name).alias(name) for name in values]),
+        held.filter(F.col(REASON).isNotNull()).select(*raw.columns, REASON),
     )
 
 
@@ -149,7 +158,10 @@ def clean_category_lookup(stg_products: DataFrame) -> DataFrame:
     )
 
 
-def clean_products(stg_products: DataFrame, product_category: DataFrame, strict: bool = False) -> Cleaned:
+def clean_products(
+    stg_products: DataFrame, product_category: DataFrame, strict: bool = False, hold: Hold = _as_is
+) -> Cleaned:
+    """Products with the number of their category; one whose category the lookup lacks is rejected."""
     values = {
         "product_id": _trimmed("product_id"),
         "product_name_length": Value("product_name_lenght", rounded_int(F.col("product_name_lenght"), strict)),
@@ -163,14 +175,15 @@ def clean_products(stg_products: DataFrame, product_category: DataFrame, strict:
     sifted = _sift(stg_products, "products", values, {"no product_id": _missing("product_id")}, strict)
     categories = product_category.select("category_id", fold(F.col("category_name")).alias("_folded"))
     named = fold(category_name(F.col("product_category_name"))) == F.col("_folded")
-    accepted, rejected = _finished(
-        Cleaned(sifted.accepted.join(categories, named), sifted.rejected), values, "category_id"
-    )
+    matched = sifted.join(categories, named, "left")
+    unknown = F.when(F.col("category_id").isNull(), F.lit("unknown category"))
+    matched = matched.withColumn(REASON, F.coalesce(REASON, unknown))
+    accepted, rejected = _split(matched, stg_products, values, hold, "category_id")
     accepted = accepted.withColumn("product_photos_qty", F.coalesce("product_photos_qty", F.lit(0)))
     return Cleaned(accepted.select(*TABLES["products"].schema.names), rejected)
 
 
-def clean_sellers(stg_sellers: DataFrame) -> Cleaned:
+def clean_sellers(stg_sellers: DataFrame, hold: Hold = _as_is) -> Cleaned:
     values = {
         "seller_id": _trimmed("seller_id"),
         "seller_zip_code_prefix": Value("seller_zip_code_prefix", blank_to_null(F.col("seller_zip_code_prefix"))),
@@ -178,11 +191,13 @@ def clean_sellers(stg_sellers: DataFrame) -> Cleaned:
         "seller_state": Value("seller_state", upper_text(F.col("seller_state"))),
     }
     sifted = _sift(stg_sellers, "sellers", values, {"no seller_id": _missing("seller_id")})
-    accepted, rejected = _finished(sifted, values)
+    accepted, rejected = _split(sifted, stg_sellers, values, hold)
     return Cleaned(accepted.distinct(), rejected)
 
 
-def clean_orders(stg_orders: DataFrame, customers: DataFrame, strict: bool = False) -> Cleaned:
+def clean_orders(
+    stg_orders: DataFrame, customers: DataFrame, strict: bool = False, hold: Hold = _as_is
+) -> Cleaned:
     values = {
         "order_id": _trimmed("order_id"),
         "customer_id": _trimmed("customer_id"),
@@ -192,11 +207,16 @@ def clean_orders(stg_orders: DataFrame, customers: DataFrame, strict: bool = Fal
     values |= {c: Value(c, parse_timestamp(F.col(c), YEAR_FIRST, strict)) for c in times}
     sifted = _sift(stg_orders, "orders", values, {"no order_id": _missing("order_id")}, strict)
     sifted = _with_parent(sifted, "customer_id", customers, "customer_id", "unknown customer_id")
-    return _finished(sifted, values)
+    return _split(sifted, stg_orders, values, hold)
 
 
 def clean_order_items(
-    stg_order_items: DataFrame, orders: DataFrame, products: DataFrame, sellers: DataFrame, strict: bool = False
+    stg_order_items: DataFrame,
+    orders: DataFrame,
+    products: DataFrame,
+    sellers: DataFrame,
+    strict: bool = False,
+    hold: Hold = _as_is,
 ) -> Cleaned:
     values = {
         "order_id": _trimmed("order_id"),
@@ -213,10 +233,12 @@ def clean_order_items(
     sifted = _with_parent(sifted, "order_id", orders, "order_id", "unknown order_id")
     sifted = _with_parent(sifted, "product_id", products, "product_id", "unknown product_id")
     sifted = _with_parent(sifted, "seller_id", sellers, "seller_id", "unknown seller_id")
-    return _finished(sifted, values)
+    return _split(sifted, stg_order_items, values, hold)
 
 
-def clean_order_payments(stg_order_payments: DataFrame, orders: DataFrame, strict: bool = False) -> Cleaned:
+def clean_order_payments(
+    stg_order_payments: DataFrame, orders: DataFrame, strict: bool = False, hold: Hold = _as_is
+) -> Cleaned:
     values = {
         "order_id": _trimmed("order_id"),
         "payment_sequential": Value("payment_sequential", truncated_int(F.col("payment_sequential"), strict)),
@@ -225,10 +247,13 @@ def clean_order_payments(stg_order_payments: DataFrame, orders: DataFrame, stric
         "payment_value": Value("payment_value", to_decimal(F.col("payment_value"), 10, 2, strict)),
     }
     sifted = _sift(stg_order_payments, "order_payments", values, {}, strict)
-    return _finished(_with_parent(sifted, "order_id", orders, "order_id", "unknown order_id"), values)
+    sifted = _with_parent(sifted, "order_id", orders, "order_id", "unknown order_id")
+    return _split(sifted, stg_order_payments, values, hold)
 
 
-def clean_order_reviews(stg_order_reviews: DataFrame, orders: DataFrame, strict: bool = False) -> Cleaned:
+def clean_order_reviews(
+    stg_order_reviews: DataFrame, orders: DataFrame, strict: bool = False, hold: Hold = _as_is
+) -> Cleaned:
     score = F.when(F.col("review_score").rlike(WHOLE_NUMBER), F.col("review_score")).try_cast("int")
     values = {
         "review_id": _trimmed_or_empty("review_id"),
@@ -241,7 +266,8 @@ def clean_order_reviews(stg_order_reviews: DataFrame, orders: DataFrame, strict:
     values |= {c: Value(c, parse_timestamp(F.col(c), DAY_FIRST, strict)) for c in times}
     reasons = {"score not 1 to 5": ~F.coalesce(score.between(*SCORES), F.lit(False))}
     sifted = _sift(stg_order_reviews, "order_reviews", values, reasons, strict)
-    return _finished(_with_parent(sifted, "order_id", orders, "order_id", "unknown order_id"), values)
+    sifted = _with_parent(sifted, "order_id", orders, "order_id", "unknown order_id")
+    return _split(sifted, stg_order_reviews, values, hold)
 
 
 def south_west(value: Column) -> Column:
@@ -254,7 +280,9 @@ def mirrored_into(value: Column, low: float, high: float) -> Column:
     return F.when(value.between(low, high), value).otherwise(-value)
 
 
-def clean_geolocation(stg_geolocation: DataFrame, box: Mapping[str, tuple[float, float]] | None = None) -> Cleaned:
+def clean_geolocation(
+    stg_geolocation: DataFrame, box: Mapping[str, tuple[float, float]] | None = None, hold: Hold = _as_is
+) -> Cleaned:
     """Typed location samples without their number.
 
     Both signs are forced negative. With a ``box`` of expected ranges for
@@ -277,7 +305,7 @@ def clean_geolocation(stg_geolocation: DataFrame, box: Mapping[str, tuple[float,
         "latitude": ~F.coalesce(lat.between(*LATITUDES), F.lit(False)),
         "longitude": ~F.coalesce(lng.between(*LONGITUDES), F.lit(False)),
     }
-    return _finished(_sift(stg_geolocation, "geolocation", values, reasons), values)
+    return _split(_sift(stg_geolocation, "geolocation", values, reasons), stg_geolocation, values, hold)
 
 
 REJECTS = "_rejects"
@@ -288,10 +316,12 @@ def load_production(
 ) -> dict[str, DataFrame]:
     """Writes all typed tables to ``folder``, parents first, and returns them read back.
 
-    Every table is computed once: its children join the written one. A load
-    that is run again replaces what an earlier one wrote. Rejected rows go to ``folder/_rejects/<table>``. Customers are not deduplicated here
-    (`keep_last` does that as a job of its own): on data with repeat buyers it
-    would also take their orders away.
+    Every raw table is read once and its marked rows are held by a reliable
+    checkpoint; its children join the written table. A load
+    that is run again replaces what an earlier one wrote. Rejected rows go to
+    ``folder/_rejects/<table>``. Customers are not deduplicated here (`keep_last`
+    does that as a job of its own): on data with repeat buyers it would also
+    take their orders away.
     """
     spark = next(iter(staging.values())).sparkSession
     loaded: dict[str, DataFrame] = {}
@@ -304,15 +334,16 @@ def load_production(
 
     load("customers", clean_customers(staging["orders"]))
     load("product_category", clean_category_lookup(staging["products"]))
-    load("products", *clean_products(staging["products"], loaded["product_category"], strict))
-    load("sellers", *clean_sellers(staging["sellers"]))
-    load("orders", *clean_orders(staging["orders"], loaded["customers"], strict))
+    mode = {"strict": strict, "hold": checkpointed if keep_rejects else _as_is}
+    load("products", *clean_products(staging["products"], loaded["product_category"], **mode))
+    load("sellers", *clean_sellers(staging["sellers"], mode["hold"]))
+    load("orders", *clean_orders(staging["orders"], loaded["customers"], **mode))
     load(
         "order_items",
-        *clean_order_items(staging["order_items"], loaded["orders"], loaded["products"], loaded["sellers"], strict),
+        *clean_order_items(staging["order_items"], loaded["orders"], loaded["products"], loaded["sellers"], **mode),
     )
-    load("order_payments", *clean_order_payments(staging["order_payments"], loaded["orders"], strict))
-    load("order_reviews", *clean_order_reviews(staging["order_reviews"], loaded["orders"], strict))
-    samples = clean_geolocation(staging["geolocation"])
+    load("order_payments", *clean_order_payments(staging["order_payments"], loaded["orders"], **mode))
+    load("order_reviews", *clean_order_reviews(staging["order_reviews"], loaded["orders"], **mode))
+    samples = clean_geolocation(staging["geolocation"], hold=mode["hold"])
     load("geolocation", with_surrogate_key(samples.accepted, "geo_id"), samples.rejected)
     return loaded
