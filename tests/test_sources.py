@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewind.plans import quality
-from tradewind.sources.duplicates import duplicate_files, lines_of, without_duplicate_files
+from tradewind.sources.duplicates import duplicate_files, empty_files, lines_of, without_duplicate_files
 from tradewind.sources.encoding import read_repaired_lines
 from tradewind.sources.staging import parse_lines, read_malformed, read_staging
 
@@ -66,10 +66,27 @@ def test_duplicate_files(spark, tmp_path, rows):
     write(tmp_path / "a.csv", "h\n1\n2\n2\n")
     write(tmp_path / "a - Copy.csv", "h\n1\n2\n2\n")
     write(tmp_path / "b.csv", "h\n1\n1\n2\n")
+    write(tmp_path / "c.csv", "h\n2\n1\n2\n")
+    write(tmp_path / "d.csv", "")
     lines = lines_of(spark, str(tmp_path))
     names = [(r.keep.rsplit("/", 1)[1], r.file.rsplit("/", 1)[1], r.lines) for r in duplicate_files(lines).collect()]
     assert names == [("a%20-%20Copy.csv", "a.csv", 4)]
-    assert without_duplicate_files(lines).count() == 8
+    assert without_duplicate_files(lines).count() == 12
+    assert [r.file.rsplit("/", 1)[1] for r in empty_files(spark, str(tmp_path)).collect()] == ["d.csv"]
+
+
+def test_order_is_told_over_many_blocks(spark, tmp_path):
+    body = [f"line {n}" for n in range(3000)]
+    write(tmp_path / "a.csv", "\n".join(body))
+    write(tmp_path / "b.csv", "\n".join(body))
+    write(tmp_path / "c.csv", "\n".join([*body[:1500], body[1501], body[1500], *body[1502:]]))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        found = [(r.keep[-5:], r.file[-5:], r.lines) for r in duplicate_files(lines_of(spark, str(tmp_path))).collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert found == [("a.csv", "b.csv", 3000)]
 
 
 def test_same_fingerprint_is_compared_line_by_line(spark, monkeypatch):

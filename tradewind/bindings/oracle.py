@@ -457,12 +457,68 @@ _PROFILED = {
 }
 ORACLE["q05_data_dictionary"] = "\nUNION ALL\n".join(
     f"SELECT '{table}' AS table_name, CAST({i} AS BIGINT) AS position, '{column}' AS column_name, "
-    f"'{kind}' AS column_type, count(*) AS row_count, count(*) - count({column}) AS null_count FROM {table}"
+    f"'{kind}' AS column_type, count(*) AS row_count, count(*) - count({column}) AS null_count, "
+    f"count(DISTINCT {column}) AS distinct_count, CAST(count(DISTINCT {column}) = count(*) AS BIGINT) AS key_candidate FROM {table}"
     for table, columns in _PROFILED.items()
     for i, (column, kind) in enumerate((c.split(":") for c in columns.split()), 1)
 )
 ORACLE["sink_dictionary_csv"] = ORACLE["q05_data_dictionary"]
 
+# The exported columns of the loaded tables (type, nullable, key), typed out apart from the schemas under test.
+_EXPORTED = {
+    "customers": {
+        "customer_id": ("char(32)", "NO", "PRI"),
+        "customer_unique_id": ("char(32)", "NO", "MUL"),
+        "customer_zip_code_prefix": ("varchar(10)", "YES", ""),
+        "customer_city": ("varchar(100)", "YES", ""),
+        "customer_state": ("char(2)", "YES", "MUL"),
+        "created_at": ("timestamp", "YES", ""),
+    },
+    "sellers": {
+        "seller_id": ("char(32)", "NO", "PRI"),
+        "seller_zip_code_prefix": ("varchar(10)", "YES", ""),
+        "seller_city": ("varchar(100)", "YES", ""),
+        "seller_state": ("char(2)", "YES", "MUL"),
+    },
+    "products": {
+        "product_id": ("char(32)", "NO", "PRI"),
+        "category_id": ("int", "YES", "MUL"),
+        "product_name_length": ("int", "YES", ""),
+        "product_description_length": ("int", "YES", ""),
+        "product_photos_qty": ("int", "YES", ""),
+        "product_weight_g": ("decimal(10,2)", "YES", ""),
+        "product_length_cm": ("decimal(10,2)", "YES", ""),
+        "product_height_cm": ("decimal(10,2)", "YES", ""),
+        "product_width_cm": ("decimal(10,2)", "YES", ""),
+    },
+    "orders": {
+        "order_id": ("char(32)", "NO", "PRI"),
+        "customer_id": ("char(32)", "NO", "MUL"),
+        "order_status": ("varchar(20)", "NO", "MUL"),
+        "order_purchase_timestamp": ("datetime", "NO", "MUL"),
+        "order_approved_at": ("datetime", "YES", ""),
+        "order_delivered_carrier_date": ("datetime", "YES", ""),
+        "order_delivered_customer_date": ("datetime", "YES", ""),
+        "order_estimated_delivery_date": ("datetime", "NO", ""),
+    },
+    "order_items": {
+        "order_id": ("char(32)", "NO", "PRI"),
+        "order_item_id": ("int", "NO", "PRI"),
+        "product_id": ("char(32)", "NO", "MUL"),
+        "seller_id": ("char(32)", "NO", "MUL"),
+        "shipping_limit_date": ("datetime", "YES", ""),
+        "price": ("decimal(10,2)", "NO", "MUL"),
+        "freight_value": ("decimal(10,2)", "NO", ""),
+    },
+}
+_HELD_BY = {"customers": "customer", "sellers": "supplier", "products": "part", "orders": "orders", "order_items": "lineitem"}
+ORACLE["sink_declared_dictionary_csv"] = "\nUNION ALL\n".join(
+    f"SELECT '{table}' AS \"table\", '{column}' AS \"column\", '{kind}' AS type, '{nullable}' AS nullable, '{key}' AS key, "
+    f"(SELECT count(*) FROM {_HELD_BY[table]}) AS row_count"
+    for table, columns in _EXPORTED.items()
+    for column, (kind, nullable, key) in columns.items()
+)
+
 # Loaded columns of the declared tables and the column they come from.
 _LOADED = {
     "customers": ("customer", "customer_id:c_custkey customer_unique_id:c_name"),

@@ -153,10 +153,25 @@ def sink_dictionary_csv(d: Dirty) -> DataFrame:
     """Measured dictionary of the given tables, written as CSV and read back."""
     path = scratch(d.spark, "dictionary")
     tables.write_csv(dictionary.column_profile(_profiled(d)), path)
-    names = ["table_name", "position", "column_name", "column_type", "row_count", "null_count"]
+    names = ["table_name", "position", "column_name", "column_type", "row_count", "null_count", "distinct_count", "key_candidate"]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     back = read_staging(d.spark, path, schema)
-    return back.withColumns({n: F.col(n).cast("bigint") for n in ("position", "row_count", "null_count")})
+    counts = {n: F.col(n).cast("bigint") for n in ("position", "row_count", "null_count", "distinct_count")}
+    return back.withColumns(counts | {"key_candidate": F.col("key_candidate").cast("boolean")})
+
+
+@registered("sink_declared_dictionary_csv")
+def sink_declared_dictionary_csv(d: Dirty) -> DataFrame:
+    """The five-column export, written as CSV and read back, with the rows of each loaded table."""
+    path = scratch(d.spark, "declared")
+    tables.write_csv(dictionary.dictionary_export(d.spark), path)
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in ("table", "column", "type", "nullable", "key")])
+    loaded = [
+        df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("loaded"), "row_count")
+        for name, df in _typed(d).items()
+    ]
+    back = read_staging(d.spark, path, schema).withColumn("key", F.coalesce("key", F.lit("")))
+    return back.join(reduce(DataFrame.union, loaded), F.col("table") == F.col("loaded")).drop("loaded")
 
 
 def _profiled(d: Dirty) -> dict[str, DataFrame]:

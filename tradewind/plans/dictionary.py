@@ -41,34 +41,43 @@ RAW_PREFIX = "stg_"
 
 
 def column_profile(frames: Mapping[str, DataFrame]) -> DataFrame:
-    """Type, rows and NULLs of every column, measured in one pass per table."""
+    """Type, rows, NULLs and exact distinct values of every column; one that is never NULL and never repeats is a key candidate."""
     profiles = []
     for name, df in frames.items():
         if name.startswith(RAW_PREFIX):
             continue
-        wide = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(c).alias(c) for c in df.columns])
-        kinds = F.create_map(*[F.lit(x) for f in df.schema for x in (f.name, f.dataType.simpleString())])
-        places = F.create_map(*[F.lit(x) for i, c in enumerate(df.columns, 1) for x in (c, i)])
-        profiles.append(
-            wide.unpivot(["_rows"], df.columns, "column_name", "filled").select(
+        places = range(len(df.columns))
+        wide = df.agg(
+            F.count(F.lit(1)).alias("_rows"),
+            *[F.count(df.columns[i]).alias(f"_filled_{i}") for i in places],
+            *[F.count_distinct(df.columns[i]).alias(f"_distinct_{i}") for i in places],
+        )
+        entries = [
+            F.struct(
                 F.lit(name).alias("table_name"),
-                places[F.col("column_name")].alias("position"),
-                "column_name",
-                kinds[F.col("column_name")].alias("column_type"),
+                F.lit(i + 1).alias("position"),
+                F.lit(df.columns[i]).alias("column_name"),
+                F.lit(df.schema[i].dataType.simpleString()).alias("column_type"),
                 F.col("_rows").alias("row_count"),
-                (F.col("_rows") - F.col("filled")).alias("null_count"),
+                (F.col("_rows") - F.col(f"_filled_{i}")).alias("null_count"),
+                F.col(f"_distinct_{i}").alias("distinct_count"),
+                (F.col(f"_distinct_{i}") == F.col("_rows")).alias("key_candidate"),
             )
-        )
+            for i in places
+        ]
+        profiles.append(wide.select(F.inline(F.array(*entries))))
     return reduce(DataFrame.unionByName, profiles).orderBy("table_name", "position")
 
 
 def data_dictionary(frames: Mapping[str, DataFrame]) -> DataFrame:
-    """The declared dictionary of the typed tables with the measured row and NULL counts.
+    """The declared dictionary of the typed tables with the measured counts.
 
     Tables and columns not in ``frames`` have no measured values.
     """
     spark = next(iter(frames.values())).sparkSession
-    measured = column_profile(frames).select("table_name", "column_name", "row_count", "null_count")
+    measured = column_profile(frames).select(
+        "table_name", "column_name", "row_count", "null_count", "distinct_count", "key_candidate"
+    )
     return (
         declared_dictionary(spark)
         .join(measured, ["table_name", "column_name"], "left")

@@ -56,7 +56,7 @@ TYPED_COLUMNS = {
         product_id           char(32)       NO   MUL  -
         seller_id            char(32)       NO   MUL  -
         shipping_limit_date  datetime       YES  -    -
-        price                decimal(10,2)  NO   -    -
+        price                decimal(10,2)  NO   MUL  -
         freight_value        decimal(10,2)  NO   -    0
     """,
     "order_payments": """
@@ -72,7 +72,7 @@ TYPED_COLUMNS = {
         review_score             tinyint       NO   MUL  -
         review_comment_title     varchar(255)  YES  -    -
         review_comment_message   text          YES  -    -
-        review_creation_date     datetime      YES  -    -
+        review_creation_date     datetime      YES  MUL  -
         review_answer_timestamp  datetime      YES  -    -
     """,
     "geolocation": """
@@ -80,7 +80,7 @@ TYPED_COLUMNS = {
         geolocation_zip_code_prefix  varchar(10)    NO   MUL  -
         geolocation_lat              decimal(10,6)  YES  -    -
         geolocation_lng              decimal(10,6)  YES  -    -
-        geolocation_city             varchar(100)   YES  -    -
+        geolocation_city             varchar(100)   YES  MUL  -
         geolocation_state            char(2)        YES  MUL  -
     """,
 }
