@@ -26,6 +26,8 @@ HEADLINE = (
     "q18_best_product_per_seller_category", "q19_market_basket", "q20_shipping_delays", "q21_above_state_average",
     "q22_second_product", "q24_consecutive_months", "q25_moving_average", "q26_order_gap",
     "q27_top_sellers_per_state", "q28_running_total", "q29_discount", "q30_layout",
+    "q30_layout_top_products", "q30_layout_bought_a_never_b", "q30_layout_order_gap", "rowcount_production",
+    "clean_order_items", "dq_duplicate_files",
 )
 
 

@@ -226,7 +226,9 @@ def test_whole_pipeline_gives_the_declared_tables(spark, orders, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/_rejects/order_items").first()["reject_reason"] == "unknown order_id"
     for name, df in typed.items():
         declared = {c.name: c.spark_type for c in TABLES[name].columns}
-        assert {f.name: f.dataType for f in df.schema}.items() <= declared.items(), name
+        assert [(f.name, f.dataType) for f in df.schema] == list(declared.items()), name
+    assert typed["customers"].filter("created_at is null").count() == 0
+    assert typed["product_category"].first()["parent_category_id"] is None
 
 
 def checks(df):

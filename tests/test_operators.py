@@ -175,11 +175,12 @@ def test_declared_tables():
     assert TABLES["orders"].lengths["order_status"] == 20
 
 
-def test_layout_falls_back_when_one_key_fills_a_bucket(spark, tmp_path):
+def test_layouts(spark, tmp_path):
     even = spark.range(2000).select(F.col("id").alias("k"), F.col("id").alias("v"))
     hot = spark.range(2000).select(F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
-    assert tables.write_layout(even, "layout_even", str(tmp_path / "e"), ["k", "v"], 16) == "bucketed"
-    assert tables.write_layout(hot, "layout_hot", str(tmp_path / "h"), ["k", "v"], 16) == "clustered"
+    assert tables.bucket_skew(even, "k", 16) < 2 < 5 < tables.bucket_skew(hot, "k", 16)
+    tables.write_bucketed(even, "layout_even", str(tmp_path / "e"), ["k", "v"], 16)
+    tables.write_clustered(hot, "layout_hot", str(tmp_path / "h"), ["k", "v"])
     assert spark.table("layout_hot").count() == 2000
     plan = spark.table("layout_even").groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan

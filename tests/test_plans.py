@@ -298,12 +298,12 @@ def test_a_cycle_is_reported_not_followed(spark, rows):
 
 
 def test_a_deep_tree(spark):
-    chain = spark.range(1, 131).select(
+    chain = spark.range(1, 1502).select(
         F.col("id").cast("int").alias("category_id"),
         F.col("id").cast("string").alias("category_name"),
         F.when(F.col("id") > 1, F.col("id") - 1).cast("int").alias("parent_category_id"),
     )
-    assert subqueries.category_tree(chain).agg(F.max("depth")).first()[0] == 129
+    assert subqueries.category_tree(chain).agg(F.max("depth")).first()[0] == 1500
 
 
 def test_run_across_the_year_end(spark, rows):

@@ -789,3 +789,6 @@ ORACLE["q30_layout"] = ORACLE["q19_market_basket"]
 ORACLE["q30_layout_bought_a_never_b"] = ORACLE["q17_bought_a_never_b"]
 ORACLE["q30_layout_top_products"] = ORACLE["q12_top_products_per_category"]
 ORACLE["q30_layout_order_gap"] = ORACLE["q26_order_gap"]
+
+for _name in ("products", "sellers", "order_items", "order_payments", "order_reviews", "geolocation"):
+    ORACLE[f"csv_clean_{_name}"] = ORACLE[f"clean_{_name}"]

@@ -122,6 +122,46 @@ def _staging(d: Dirty) -> dict[str, DataFrame]:
     }
 
 
+def _from_csv(d: Dirty, name: str) -> DataFrame:
+    """A raw table written as a CSV file and read back as text."""
+    path = scratch(d.spark, f"csv_{name}")
+    tables.write_csv(_staging(d)[name], path)
+    return read_staging(d.spark, path, name, multi_line=name == "order_reviews")
+
+
+@registered("csv_clean_products")
+def csv_clean_products(d: Dirty) -> DataFrame:
+    raw = _from_csv(d, "products")
+    return cleaning.clean_products(raw, cleaning.clean_category_lookup(raw)).accepted
+
+
+@registered("csv_clean_sellers")
+def csv_clean_sellers(d: Dirty) -> DataFrame:
+    return cleaning.clean_sellers(_from_csv(d, "sellers")).accepted
+
+
+@registered("csv_clean_order_items")
+def csv_clean_order_items(d: Dirty) -> DataFrame:
+    products = cleaning.clean_products(d.stg_products, cleaning.clean_category_lookup(d.stg_products)).accepted
+    sellers = cleaning.clean_sellers(d.stg_sellers).accepted
+    return cleaning.clean_order_items(_from_csv(d, "order_items"), _known_orders(d), products, sellers).accepted
+
+
+@registered("csv_clean_order_payments")
+def csv_clean_order_payments(d: Dirty) -> DataFrame:
+    return cleaning.clean_order_payments(_from_csv(d, "order_payments"), _known_orders(d)).accepted
+
+
+@registered("csv_clean_order_reviews")
+def csv_clean_order_reviews(d: Dirty) -> DataFrame:
+    return cleaning.clean_order_reviews(_from_csv(d, "order_reviews"), _known_orders(d)).accepted
+
+
+@registered("csv_clean_geolocation")
+def csv_clean_geolocation(d: Dirty) -> DataFrame:
+    return cleaning.clean_geolocation(_from_csv(d, "geolocation")).accepted
+
+
 @registered("rowcount_staging")
 def rowcount_staging(d: Dirty) -> DataFrame:
     """All raw tables written as CSV files and loaded from them."""
@@ -771,32 +811,33 @@ def q29_discount_unknown_orders(d: Dirty) -> DataFrame:
     return discount.discounts(asked, d.orders)
 
 
-def _laid_out(d: Dirty, name: str, source: DataFrame) -> DataFrame:
-    """A table in one of the layouts, written once per session and source folder."""
-    tag = hashlib.sha256(d.folder.encode()).hexdigest()[:12]
-    table = f"{name}_{tag}"
+def _laid_out(d: Dirty, name: str, source: DataFrame, raw: str, write) -> DataFrame:
+    """A table in one of the layouts, written once per session and state of the source's files."""
+    files = d.raw(raw).select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+    state = files.agg(F.bit_xor(F.xxhash64(*files.columns))).first()[0]
+    table = f"{name}_{hashlib.sha256(f'{d.folder} {state}'.encode()).hexdigest()[:12]}"
     if not d.spark.catalog.tableExists(table):
-        tables.write_layout(source, table, scratch(d.spark, table), tables.LAYOUTS[name])
+        write(source, table, scratch(d.spark, table), tables.LAYOUTS[name])
     return d.spark.table(table)
 
 
 @registered("q30_layout")
 def q30_layout(d: Dirty) -> DataFrame:
-    return joins.market_basket(_laid_out(d, "items_order_product", d.order_items))
+    return joins.market_basket(_laid_out(d, "items_order_product", d.order_items, "lineitem", tables.write_bucketed))
 
 
 @registered("q30_layout_bought_a_never_b")
 def q30_layout_bought_a_never_b(d: Dirty) -> DataFrame:
-    items = _laid_out(d, "items_order_product", d.order_items)
+    items = _laid_out(d, "items_order_product", d.order_items, "lineitem", tables.write_bucketed)
     return joins.bought_but_never(d.customers, d.orders, items, d.products(), BOUGHT, NEVER)
 
 
 @registered("q30_layout_top_products")
 def q30_layout_top_products(d: Dirty) -> DataFrame:
-    items = _laid_out(d, "items_product_price", d.order_items)
+    items = _laid_out(d, "items_product_price", d.order_items, "lineitem", tables.write_bucketed)
     return aggregates.top_products_per_category(items, d.products())
 
 
 @registered("q30_layout_order_gap")
 def q30_layout_order_gap(d: Dirty) -> DataFrame:
-    return windows.order_gaps(_laid_out(d, "orders_customer_purchase", d.orders))
+    return windows.order_gaps(_laid_out(d, "orders_customer_purchase", d.orders, "orders", tables.write_clustered))

@@ -29,16 +29,20 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
     return kept.unionByName(df.filter(some_null))
 
 
-def with_surrogate_key(df: DataFrame, name: str, order: Sequence[Column | str] = ()) -> DataFrame:
+def with_surrogate_key(
+    df: DataFrame, name: str, order: Sequence[Column | str] = (), held: bool = False
+) -> DataFrame:
     """Numbers the rows 1..n without a hole in the first column ``name``.
 
     With ``order`` the numbers follow that sort order, which should have no
     ties; without it they follow the partitions. The rows are checkpointed
-    first, so the partitions numbered are the ones counted. The number is the
+    first, so the partitions numbered are the ones counted; ``held`` says that
+    the frame already reads from a checkpoint or a written table without a
+    shuffle behind it, which saves that copy. The number is the
     row's position in its partition plus the rows of all partitions before
     it; only one count per partition is broadcast.
     """
-    fixed = checkpointed(df.orderBy(*order) if order else df)
+    fixed = df if held and not order else checkpointed(df.orderBy(*order) if order else df)
     position = F.monotonically_increasing_id()
     placed = fixed.withColumn("_partition", F.shiftright(position, 33)).withColumn(
         "_row", position.bitwiseAND(F.lit((1 << 33) - 1))

@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from ..functions.numbers import rounded_int, to_decimal, truncated_int
 from ..functions.text import blank_to_null, category_name, fold, has_text, lower_text, upper_text
 from ..functions.times import DAY_FIRST, YEAR_FIRST, parse_timestamp
+from ..operators.changes import fill_defaults
 from ..operators.constraints import violates
 from ..operators.keys import with_surrogate_key
 from ..schemas import TABLES
@@ -311,6 +312,13 @@ def clean_geolocation(
 REJECTS = "_rejects"
 
 
+def with_declared_columns(df: DataFrame, table: str) -> DataFrame:
+    """Exactly the declared columns in their order; those not there get their declared default, or NULL."""
+    spec = TABLES[table]
+    values = {c.name: F.expr(spec.defaults.get(c.name, "NULL")).cast(c.spark_type) for c in spec.columns}
+    return fill_defaults(df, values).select(*spec.schema.names)
+
+
 def load_production(
     staging: Mapping[str, DataFrame], folder: str, strict: bool = False, keep_rejects: bool = True
 ) -> dict[str, DataFrame]:
@@ -327,6 +335,7 @@ def load_production(
     loaded: dict[str, DataFrame] = {}
 
     def load(name: str, accepted: DataFrame, rejected: DataFrame | None = None) -> None:
+        accepted = with_declared_columns(accepted, name)
         write_table(accepted, folder, name, "overwrite")
         loaded[name] = spark.read.schema(accepted.schema).parquet(f"{folder}/{name}")
         if rejected is not None and keep_rejects:
@@ -345,5 +354,5 @@ def load_production(
     load("order_payments", *clean_order_payments(staging["order_payments"], loaded["orders"], **mode))
     load("order_reviews", *clean_order_reviews(staging["order_reviews"], loaded["orders"], **mode))
     samples = clean_geolocation(staging["geolocation"], hold=mode["hold"])
-    load("geolocation", with_surrogate_key(samples.accepted, "geo_id"), samples.rejected)
+    load("geolocation", with_surrogate_key(samples.accepted, "geo_id", held=keep_rejects), samples.rejected)
     return loaded

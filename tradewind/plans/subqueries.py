@@ -10,16 +10,15 @@ from pyspark.sql import functions as F
 from ..functions.numbers import money, sum_cents
 from ..functions.times import month_start
 from ..operators.changes import add_nullable_column, update_where_in
+from ..session import checkpointed
 from .aggregates import payments_per_customer, revenue_per_product
 
 # Row limit of the big-spender list, shortest run of months, the
-# group name of the category tree and its members, and the deepest tree
-# accepted (the source database's own recursion limit).
+# group name of the category tree and its members.
 TOP_SPENDERS = 100
 SHORTEST_RUN = 3
 GROUP_NAME = "livros (grupo)"
 GROUP_MEMBERS = ("livros_interesse_geral", "livros_tecnicos", "livros_importados")
-MAX_DEPTH = 1000
 
 
 def spent_per_customer(customers: DataFrame, orders: DataFrame, order_payments: DataFrame) -> DataFrame:
@@ -109,34 +108,59 @@ def grouped_categories(
     )
 
 
-def category_tree(categories: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
+def category_tree(categories: DataFrame) -> DataFrame:
     """Every category below a root with its depth and path, in path order.
 
     Starts at the categories without a parent. A cycle has no such start and
     gives no rows; `unreachable_categories` reports it.
     """
-    return _descend(categories, max_depth).filter(F.col("depth") > 0).orderBy("path")
+    reached = categories.join(_climb(categories, with_path=False).select("category_id"), "category_id", "left_semi")
+    return (
+        _climb(reached, with_path=True)
+        .filter(F.col("depth") > 0)
+        .select("category_id", "category_name", "parent_category_id", "depth", "path")
+        .orderBy("path")
+    )
 
 
-def unreachable_categories(categories: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """Categories that no root leads to: members of a cycle, or with an unknown parent."""
-    return categories.join(_descend(categories, max_depth).select("category_id"), "category_id", "left_anti")
+def unreachable_categories(categories: DataFrame) -> DataFrame:
+    """Categories that no root leads to: members of a cycle or below one, or with an unknown parent."""
+    return categories.join(_climb(categories, with_path=False).select("category_id"), "category_id", "left_anti")
 
 
-def _descend(categories: DataFrame, max_depth: int) -> DataFrame:
-    return categories.sparkSession.sql(
-        f"""
-        WITH RECURSIVE tree MAX RECURSION LEVEL {int(max_depth)} AS (
-            SELECT category_id, category_name, parent_category_id, 0 AS depth, category_name AS path
-            FROM {{categories}} WHERE parent_category_id IS NULL
-            UNION ALL
-            SELECT c.category_id, c.category_name, c.parent_category_id, t.depth + 1,
-                   concat(t.path, ' > ', c.category_name)
-            FROM {{categories}} c JOIN tree t ON c.parent_category_id = t.category_id)
-        SELECT * FROM tree
-        """,
-        categories=categories,
+def _climb(categories: DataFrame, with_path: bool) -> DataFrame:
+    """Categories that a root leads to, with their depth and the names on the way.
+
+    Every category first knows its parent; in each round it takes over what the
+    category it has reached knows, so the distance doubles and a tree of n
+    levels takes log2(n) rounds. A round in which none arrives at a root leaves
+    only categories that never will: were a root above one of them, another one
+    half as far from it would have arrived.
+    """
+    path = F.col("category_name") if with_path else F.lit(None).cast("string")
+    columns = ["category_id", "category_name", "parent_category_id"]
+    known = checkpointed(
+        categories.select(
+            *columns, F.col("parent_category_id").alias("_up"), (F.col("parent_category_id").isNotNull()).cast("int").alias("depth"), path.alias("path")
+        )
     )
+    arrived, climbing = known.filter(F.col("_up").isNull()), known.filter(F.col("_up").isNotNull())
+    while True:
+        above = known.select(
+            F.col("category_id").alias("_at"), F.col("_up").alias("_next"), F.col("depth").alias("_depth"), F.col("path").alias("_path")
+        )
+        moved = climbing.join(above, F.col("_up") == F.col("_at")).select(
+            *columns,
+            F.col("_next").alias("_up"),
+            (F.col("depth") + F.col("_depth")).alias("depth"),
+            F.concat_ws(" > ", "_path", "path").alias("path") if with_path else F.col("path"),
+        )
+        moved = checkpointed(moved)
+        there = moved.filter(F.col("_up").isNull())
+        if there.isEmpty():
+            return arrived
+        arrived, climbing = arrived.unionByName(there), moved.filter(F.col("_up").isNotNull())
+        known = arrived.unionByName(climbing)
 
 
 def consecutive_months(

@@ -59,36 +59,34 @@ def clustered(df: DataFrame, columns: Sequence[str], files: int | None = None) -
     return ranged.sortWithinPartitions(*columns)
 
 
-def bucket_is_even(df: DataFrame, key: str, buckets: int, slack: float = 4.0) -> bool:
-    """Whether no bucket would hold more than ``slack`` times the mean.
+def bucket_skew(df: DataFrame, key: str, buckets: int) -> float | None:
+    """Rows of the fullest bucket as a multiple of the mean: a report for choosing a layout.
 
     One small aggregate: a row per bucket reaches the driver as one number.
     """
     sizes = df.groupBy(F.pmod(F.hash(key), F.lit(buckets)).alias("b")).agg(F.count(F.lit(1)).alias("n"))
-    worst = sizes.agg((F.max("n") * buckets / F.sum("n")).alias("worst")).first()["worst"]
-    return worst is None or worst <= slack
+    return sizes.agg((F.max("n") * buckets / F.sum("n")).alias("worst")).first()["worst"]
 
 
-def write_layout(
-    df: DataFrame, table: str, path: str, columns: Sequence[str], buckets: int | None = None
-) -> str:
-    """Writes a table once so that later joins and groupings on its first column need no shuffle.
+def write_bucketed(df: DataFrame, table: str, path: str, columns: Sequence[str], buckets: int | None = None) -> None:
+    """Writes a table bucketed by the first of ``columns`` and sorted by all.
 
-    Rows are bucketed by the first of ``columns`` and sorted by all. When one
-    key would make a bucket too large they are clustered by all columns
-    instead. Returns which. ``buckets`` defaults to the shuffle partitions.
+    Later joins and groupings on that column need no shuffle. All rows of a
+    key lie in one bucket; where `bucket_skew` shows that this is too much,
+    `write_clustered` is the layout to take. ``buckets`` defaults to the
+    shuffle partitions.
     """
-    key, sort = columns[0], list(columns)
     buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if bucket_is_even(df, key, buckets):
-        (
-            df.repartition(buckets, key)
-            .write.mode("overwrite")
-            .bucketBy(buckets, key)
-            .sortBy(*sort)
-            .option("path", path)
-            .saveAsTable(table)
-        )
-        return "bucketed"
-    clustered(df, sort).write.mode("overwrite").option("path", path).saveAsTable(table)
-    return "clustered"
+    (
+        df.repartition(buckets, columns[0])
+        .write.mode("overwrite")
+        .bucketBy(buckets, columns[0])
+        .sortBy(*columns)
+        .option("path", path)
+        .saveAsTable(table)
+    )
+
+
+def write_clustered(df: DataFrame, table: str, path: str, columns: Sequence[str]) -> None:
+    """Writes a table in ranges of all ``columns``: lookups skip files, and a key with many rows spreads over several."""
+    clustered(df, list(columns)).write.mode("overwrite").option("path", path).saveAsTable(table)
