@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 from tradewind.plans import quality
 from tradewind.sources.duplicates import duplicate_files, empty_files, lines_of, without_duplicate_files
 from tradewind.sources.encoding import read_repaired_lines
-from tradewind.sources.staging import parse_lines, read_malformed, read_staging
+from tradewind.sources.staging import header_mismatches, parse_lines, read_malformed, read_staging
 
 HEADER = "seller_id,seller_zip_code_prefix,seller_city,seller_state\n"
 
@@ -123,3 +123,11 @@ def test_raw_schemas_are_text(table):
     from tradewind.schemas import raw_schema
 
     assert {f.dataType.simpleString() for f in raw_schema(table)} == {"string"}
+
+
+def test_headers_with_other_names_are_reported(spark, tmp_path):
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in ("id", "text")])
+    for name, body in {"swapped": "text,id\na,1\n", "windows": "id,text\r\n1,a\r\n", "quoted": '"id","text"\n1,a\n'}.items():
+        write(tmp_path / f"{name}.csv", body)
+    found = [(r.file[-11:], r.header) for r in header_mismatches(spark, str(tmp_path), schema).collect()]
+    assert found == [("swapped.csv", "text,id")]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import raw_schema
+from .duplicates import lines_of
 
 _BAD = "_malformed"
 
@@ -43,6 +44,18 @@ def _split(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return parsed.filter(~bad & reads_data), parsed.filter(bad & reads_data)
 
 
+def header_mismatches(spark: SparkSession, path: str | list[str], table: str | T.StructType) -> DataFrame:
+    """(file, header) of files whose first line does not name the declared columns in their order.
+
+    `read_staging` goes by position, so such a file would load into the wrong
+    columns. Only the first block of each file is looked at.
+    """
+    schema = raw_schema(table) if isinstance(table, str) else table
+    first = lines_of(spark, path).filter("block = 0").groupBy("file").agg(F.min_by("line", "row").alias("header"))
+    plain = F.regexp_replace("header", '^\ufeff|["\r]', "")
+    return first.filter(plain != ",".join(schema.fieldNames()))
+
+
 def read_staging(
     spark: SparkSession,
     path: str | list[str],
