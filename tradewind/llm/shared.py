@@ -14,8 +14,11 @@ ROW_KEY = "__tw_row_key"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: computed once, and still there when an executor is lost."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    """``df`` as a Parquet table in the shared folder: computed once, and still there when an executor is lost.
+
+    The tables of an application lie in one folder named by its id, which may go when the application has ended."""
+    application = df.sparkSession.sparkContext.applicationId
+    path = f"{shared_dir(df.sparkSession)}/{application}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
