@@ -583,6 +583,9 @@ SELECT order_id, order_status, CAST(paid AS DOUBLE) AS total_paid, CAST(owed AS
        CAST(gap AS DOUBLE) AS discrepancy
 FROM found ORDER BY abs(gap) DESC, order_id LIMIT 50"""
 
+ORACLE["q10_payment_mismatch_fine"] = f"""WITH {MISMATCH}
+SELECT order_id, CAST(gap AS DOUBLE) AS discrepancy FROM found WHERE abs(gap) > 0.015"""
+
 ORACLE["q11_mom_growth"] = f"""WITH {ITEMS}, monthly AS (
     SELECT strftime(o_orderdate, '%Y-%m') AS revenue_month, sum(price) AS revenue
     FROM orders JOIN items ON order_id = o_orderkey WHERE o_orderstatus <> 'P' GROUP BY ALL),
@@ -732,6 +735,14 @@ FROM (SELECT o_custkey AS customer_id, o_orderkey AS order_id, o_orderdate AS or
              lag(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS previous_order_ts
       FROM orders)"""
 
+ORACLE["q26_order_gap_hot_customer"] = """
+WITH hot AS (SELECT *, CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE o_custkey END AS customer_id FROM orders)
+SELECT customer_id, order_id, order_purchase_timestamp, previous_order_ts,
+       date_diff('day', previous_order_ts, order_purchase_timestamp) AS days_since_previous_order
+FROM (SELECT customer_id, o_orderkey AS order_id, o_orderdate AS order_purchase_timestamp,
+             lag(o_orderdate) OVER (PARTITION BY customer_id ORDER BY o_orderdate, o_orderkey) AS previous_order_ts
+      FROM hot)"""
+
 ORACLE["q27_top_sellers_per_state"] = f"""WITH {ITEMS}, revenue AS (
     SELECT s_suppkey AS seller_id, s_nationkey AS seller_state, sum(price) AS revenue
     FROM supplier JOIN items ON seller_id = s_suppkey GROUP BY ALL)

@@ -668,6 +668,13 @@ def q10_payment_mismatch(d: Dirty) -> DataFrame:
     return joins.payment_mismatch(d.orders, d.order_payments, d.order_items)
 
 
+@registered("q10_payment_mismatch_fine")
+def q10_payment_mismatch_fine(d: Dirty) -> DataFrame:
+    """All mismatches above a tolerance between two cents."""
+    found = joins.payment_mismatch(d.orders, d.order_payments, d.order_items, tolerance=0.015, n=None)
+    return found.select("order_id", "discrepancy")
+
+
 @registered("q11_mom_growth")
 def q11_mom_growth(d: Dirty) -> DataFrame:
     return aggregates.monthly_growth(d.orders, d.order_items, CANCELLED)
@@ -777,6 +784,13 @@ def q26_order_gap(d: Dirty) -> DataFrame:
     return windows.order_gaps(d.orders)
 
 
+@registered("q26_order_gap_hot_customer")
+def q26_order_gap_hot_customer(d: Dirty) -> DataFrame:
+    """A third of all orders is one customer's."""
+    hot = F.when(F.col("order_id") % 3 == 0, 1).otherwise(F.col("customer_id"))
+    return windows.order_gaps(d.orders.withColumn("customer_id", hot))
+
+
 @registered("q27_top_sellers_per_state")
 def q27_top_sellers_per_state(d: Dirty) -> DataFrame:
     return windows.top_sellers_per_state(d.sellers, d.order_items)
