@@ -50,8 +50,9 @@ def unescape_role(role: Column) -> Column:
 
 
 def text_part(text: Column) -> Column:
+    none = F.lit(None)
     return F.struct(
-        F.lit("text").alias("kind"), text.alias("text"), F.lit(None).cast("string").alias("uri"), F.lit(None).cast("long").alias("units")
+        F.lit("text").alias("kind"), text.alias("text"), none.cast("string").alias("uri"), none.cast("long").alias("units")
     )
 
 
@@ -119,4 +120,9 @@ def turns_of(formatted: Column) -> Column:
 
 def loss_texts(formatted: Column, spans: Column) -> Column:
     """The texts under the loss mask, unescaped."""
-    return F.transform(spans, lambda s: unescape(F.substring(formatted, (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int"))))
+
+    def read(span: Column) -> Column:
+        start, length = (span["start"] + 1).cast("int"), (span["end"] - span["start"]).cast("int")
+        return unescape(F.substring(formatted, start, length))
+
+    return F.transform(spans, read)

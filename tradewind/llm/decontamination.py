@@ -90,7 +90,7 @@ def build_index(documents: DataFrame, vocabulary: np.ndarray) -> DataFrame:
                 key = (place[known].astype(np.uint64) << HIGH) | (known + owner[known] * GAP).astype(np.uint64)
                 key.sort()
                 terms, sizes = np.unique(key >> HIGH, return_counts=True)
-                lists = [pa.array([x], pa.list_(pa.int64())) for x in (batch.column("doc_id")[low:high], batch.column(ROW_KEY)[low:high])]
+                lists = [pa.array([batch.column(x)[low:high]], pa.list_(pa.int64())) for x in ("doc_id", ROW_KEY)]
                 blobs = [terms.astype("<u4"), sizes.astype("<u4"), key.astype("<u4")]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -203,8 +203,10 @@ def search(index: DataFrame, phrases: Phrases, within: int | None = None) -> Dat
     """One row per matched stretch: its document (segment, place), item and words first to last.
 
     Overlapping matches of an item in a document are one stretch. ``within``
-    asks for proximity instead of exact matches.
+    (at most GAP) asks for proximity instead of exact matches.
     """
+    if within is not None and not 0 < within <= GAP:
+        raise ValueError(f"within must be from 1 to {GAP}")
 
     def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

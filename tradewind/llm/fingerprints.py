@@ -19,6 +19,8 @@ documents is the share of common paragraphs among all of theirs.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -66,11 +68,18 @@ def sketch(digests: Column, size: int) -> Column:
 
 
 def subtract(a: Column, b: Column) -> Column:
-    return F.zip_with(a, b, lambda x, y: _cell(x["n"] - y["n"], x["key"].bitwiseXOR(y["key"]), x["check"].bitwiseXOR(y["check"])))
+    return _combined(a, b, lambda x, y: x - y)
 
 
 def add(a: Column, b: Column) -> Column:
-    return F.zip_with(a, b, lambda x, y: _cell(x["n"] + y["n"], x["key"].bitwiseXOR(y["key"]), x["check"].bitwiseXOR(y["check"])))
+    return _combined(a, b, lambda x, y: x + y)
+
+
+def _combined(a: Column, b: Column, numbers: Callable[[Column, Column], Column]) -> Column:
+    def cell(x: Column, y: Column) -> Column:
+        return _cell(numbers(x["n"], y["n"]), x["key"].bitwiseXOR(y["key"]), x["check"].bitwiseXOR(y["check"]))
+
+    return F.zip_with(a, b, cell)
 
 
 def peel(cells: Column, size: int) -> Column:
@@ -82,9 +91,12 @@ def peel(cells: Column, size: int) -> Column:
     def step(now: Column, _: Column) -> Column:
         single = F.filter(now["cells"], lambda c: (F.abs(c["n"]) == 1) & (check(c["key"]) == c["check"]))
         found = F.array_distinct(F.transform(single, lambda c: F.struct(c["n"].alias("n"), c["key"].alias("key"))))
-        placed = F.transform(
-            found, lambda x: F.struct(x["n"].alias("n"), x["key"].alias("key"), check(x["key"]).alias("check"), _places(x["key"], size).alias("at"))
-        )
+
+        def place(x: Column) -> Column:
+            key = x["key"]
+            return F.struct(x["n"].alias("n"), key.alias("key"), check(key).alias("check"), _places(key, size).alias("at"))
+
+        placed = F.transform(found, place)
 
         def without(placed: Column) -> Column:
             def cell(c: Column, at: Column) -> Column:
@@ -139,7 +151,8 @@ def following(documents: DataFrame) -> DataFrame:
     # One row per partition.
     heads = local.where(F.col("first").isNotNull()).select("part", "first")
     every = Window.partitionBy().orderBy("part")
-    after = F.coalesce(F.lead("first").over(every), F.first("first").over(every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    whole = every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    after = F.coalesce(F.lead("first").over(every), F.first("first").over(whole))
     heads = heads.select(F.col("part").alias("head_of"), after.alias("after"))
     following = local.join(heads, F.col("part") == F.col("head_of")).withColumn("next", F.coalesce("next", "after"))
     return written(
@@ -200,7 +213,8 @@ def versions(documents: DataFrame) -> DataFrame:
 
 
 def written_out(cells: Column) -> Column:
-    return F.array_join(F.transform(cells, lambda c: F.concat_ws(".", F.hex(c["n"]), F.hex(c["key"]), F.hex(c["check"]))), "-")
+    text = F.transform(cells, lambda c: F.concat_ws(".", *(F.hex(c[x]) for x in ("n", "key", "check"))))
+    return F.array_join(text, "-")
 
 
 def likeness(n: Column, only_a: Column, only_b: Column) -> Column:
@@ -212,7 +226,8 @@ def fingerprints(documents: DataFrame) -> DataFrame:
     texts = versions(documents)
     name = ["key", "doc_id", "copy", "n_chars", "edited_sha256"]
     tables = F.ceil(F.greatest(F.size("own"), F.size("edited"), F.size("next")) / PARAGRAPHS)
-    sides = F.array(*(F.struct(F.lit(k).alias("side"), F.col(c).alias("digests")) for k, c in enumerate(("own", "edited", "next"))))
+    names = "own", "edited", "next"
+    sides = F.array(*(F.struct(F.lit(k).alias("side"), F.col(c).alias("digests")) for k, c in enumerate(names)))
     # From here on all is grouped by the key that the texts are already dealt by.
     lines = texts.select(*name, tables.alias("tables"), F.explode(sides).alias("of")).select(
         *name, "tables", "of.side", F.explode("of.digests").alias("line")
@@ -234,7 +249,8 @@ def fingerprints(documents: DataFrame) -> DataFrame:
         difference(F.col("own"), F.col("edited")).alias("to_edited"),
         difference(F.col("own"), F.col("next")).alias("to_next"),
     )
-    none = F.transform(F.sequence(F.lit(1), F.lit(ROWS * SIZES[0])), lambda _: _cell(F.lit(0), F.lit(0).cast("long"), F.lit(0).cast("long")))
+    zero = F.lit(0).cast("long")
+    none = F.transform(F.sequence(F.lit(1), F.lit(ROWS * SIZES[0])), lambda _: _cell(zero, zero, zero))
 
     def whole(cells: str) -> Column:
         return written_out(F.aggregate(F.collect_list(cells), none, add))

@@ -27,7 +27,9 @@ FANOUT = 16
 
 def warc_record(page_id: Column, url: Column, html: Column) -> Column:
     """A page as the text of a WARC response record."""
-    absent = F.concat(F.when(url.isNull(), F.lit("X-Absent: url\r\n")).otherwise(""), F.when(html.isNull(), F.lit("X-Absent: html\r\n")).otherwise(""))
+    absent = F.concat(
+        *(F.when(x.isNull(), F.lit(f"X-Absent: {n}\r\n")).otherwise("") for n, x in (("url", url), ("html", html)))
+    )
     body = F.coalesce(html, F.lit(""))
     return F.concat(
         F.lit("WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: "),
@@ -75,7 +77,8 @@ class Tree:
         self.levels = [written(leaves, "merkle-level")]
         for _ in range(height):
             children = F.array_sort(F.collect_list(F.struct("node", F.concat_ws(" ", "node", "hash").alias("line"))))
-            parents = self.levels[-1].groupBy(F.floor(F.col("node") / FANOUT).alias("parent")).agg(_hash(children["line"]).alias("hash"))
+            above = F.floor(F.col("node") / FANOUT).alias("parent")
+            parents = self.levels[-1].groupBy(above).agg(_hash(children["line"]).alias("hash"))
             self.levels.append(written(parents.withColumnRenamed("parent", "node"), "merkle-level"))
 
     def root(self) -> str | None:

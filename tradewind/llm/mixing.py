@@ -189,7 +189,8 @@ def mixed_sizes(documents: DataFrame, weights: tuple = WEIGHTS, share: float = S
     return (
         sizes.join(copies, same)
         .join(named, F.col("source").eqNullSafe(F.col("from")))
-        .select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
+        .withColumn("taken", F.col("size") * F.col("copies"))
+        .select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
     )
 
 
@@ -199,7 +200,10 @@ def mix(documents: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, mo
     copies = rounded(sizes, source_targets(sizes, weights, share, most))
     unit = F.xxhash64("source", "doc_id")
     taken = copies.where("copies > 0").select(
-        unit.alias("__tw_unit"), F.col("source").alias("__tw_source"), F.col("doc_id").alias("__tw_id"), F.col("copies").alias("__tw_copies")
+        unit.alias("__tw_unit"),
+        F.col("source").alias("__tw_source"),
+        F.col("doc_id").alias("__tw_id"),
+        F.col("copies").alias("__tw_copies"),
     )
 
     def equal(a: str, b: str) -> Column:

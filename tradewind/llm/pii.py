@@ -175,7 +175,8 @@ def safe_reach(plain: np.ndarray, move: np.ndarray, most: int = 64) -> int | Non
     starts, ends = [start], [np.zeros((len(plain), 1))]
     for r in range(1, most + 1):
         quiet = all(x[0, 0] >= k * step[0, 0] - 1e-9 and x[0, 0] <= k * step[0, 0] + 1e-9 for k, x in enumerate(runs, 1))
-        quiet &= all(abs(through(x, e).max() - (plain[0] + (n + k) * step[0, 0])) < 1e-9 for n, x in enumerate(starts) for k, e in enumerate(ends))
+        whole = [(through(x, e).max(), n + k) for n, x in enumerate(starts) for k, e in enumerate(ends)]
+        quiet &= all(abs(best - (plain[0] + steps * step[0, 0])) < 1e-9 for best, steps in whole)
         if quiet and outside_best(run, run) and all(outside_best(x, run) for x in starts) and all(outside_best(run, x) for x in ends):
             return r
         run = through(run, step)
@@ -376,7 +377,8 @@ class Tagger:
         return out
 
 
-SPANS = f"doc_id long, {ROW_KEY} long, base array<struct<kind:string,start:long,end:long>>, added array<struct<kind:string,start:long,end:long>>"
+SPAN_LIST = "array<struct<kind:string,start:long,end:long>>"
+SPANS = f"doc_id long, {ROW_KEY} long, base {SPAN_LIST}, added {SPAN_LIST}"
 
 
 def find_pii(documents: DataFrame, labelled: Sequence[str] = LABELLED) -> DataFrame:
@@ -394,6 +396,7 @@ def find_pii(documents: DataFrame, labelled: Sequence[str] = LABELLED) -> DataFr
                 pa.array([[{"kind": KINDS[k], "start": s, "end": e} for k, s, e in sorted(row)] for row in rows], kind)
                 for rows in (base, added)
             ]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column(ROW_KEY), *lists], ["doc_id", ROW_KEY, "base", "added"])
+            columns = [batch.column("doc_id"), batch.column(ROW_KEY), *lists]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", ROW_KEY, "base", "added"])
 
     return keyed(documents).mapInArrow(tagged, SPANS)

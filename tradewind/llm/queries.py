@@ -29,9 +29,14 @@ def op1_merkle_fixity(spark: SparkSession, folder: str) -> DataFrame:
     original = laid.select("offset", "length", "copies", "digest", "page_id")
     end = laid.agg(F.sum(F.col("length") * F.col("copies"))).first()[0] or 0
     kept = laid.where(F.coalesce(F.col("mark") != LOST, F.lit(True))).select(
-        "offset", "length", "copies", F.when(F.col("mark") == DAMAGED, F.col("damaged")).otherwise(F.col("digest")).alias("digest"), "page_id"
+        "offset",
+        "length",
+        "copies",
+        F.when(F.col("mark") == DAMAGED, F.col("damaged")).otherwise(F.col("digest")).alias("digest"),
+        "page_id",
     )
-    stray = laid.where(F.col("mark") == STRAY).select((F.col("offset") + end).alias("offset"), "length", "copies", "digest", "page_id")
+    beyond = (F.col("offset") + end).alias("offset")
+    stray = laid.where(F.col("mark") == STRAY).select(beyond, "length", "copies", "digest", "page_id")
     found = fixity.audit(original, kept.union(stray))
     either = F.coalesce("original", "replica")
     return found.select(
@@ -106,7 +111,7 @@ def op7_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     every = F.array_sort(
         F.transform(
             F.concat("base", "added"),
-            lambda x: F.struct(F.array_position(rank, x["kind"]).alias("rank"), x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind")),
+            lambda x: F.struct(F.array_position(rank, x["kind"]).alias("rank"), *(x[c].alias(c) for c in ("start", "end", "kind"))),
         )
     )
 

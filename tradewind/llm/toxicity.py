@@ -247,7 +247,8 @@ def train(documents: DataFrame, labels: DataFrame, learn: Column) -> Model:
         lexicon = Lexicon(entries, exceptions)
         for batch in batches:
             weight, _, words = measured(batch.column("text"), lexicon)
-            yield pa.RecordBatch.from_arrays([pa.array(weight), pa.array(words), batch.column("toxic")], ["weight", "words", "toxic"])
+            columns = [pa.array(weight), pa.array(words), batch.column("toxic")]
+            yield pa.RecordBatch.from_arrays(columns, ["weight", "words", "toxic"])
 
     rows = sample.mapInArrow(measure, "weight double, words long, toxic int").toArrow()  # 2 * SAMPLE_ROWS at most
     y = rows.column("toxic").to_numpy()
