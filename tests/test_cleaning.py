@@ -13,7 +13,7 @@ TS = "2018-03-05 14:07:00"
 
 def raw(spark, table, *rows):
     """A raw table; rows are dicts, columns they leave out are NULL."""
-    names = RAW_COLUMNS[table].split()
+    names = RAW_COLUMNS[table]
     return spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], ", ".join(f"{n} string" for n in names))
 
 

@@ -10,96 +10,150 @@ from pyspark.sql import types as T
 # The typed tables, one line per column:
 # name, declared type, nullable, key marker, default.
 TYPED_COLUMNS = {
-    "customers": """
-        customer_id               char(32)       NO   PRI  -
-        customer_unique_id        char(32)       NO   MUL  -
-        customer_zip_code_prefix  varchar(10)    YES  -    -
-        customer_city             varchar(100)   YES  -    -
-        customer_state            char(2)        YES  MUL  -
-        created_at                timestamp      YES  -    CURRENT_TIMESTAMP
-    """,
-    "sellers": """
-        seller_id                 char(32)       NO   PRI  -
-        seller_zip_code_prefix    varchar(10)    YES  -    -
-        seller_city               varchar(100)   YES  -    -
-        seller_state              char(2)        YES  MUL  -
-    """,
-    "product_category": """
-        category_id               int            NO   PRI  -
-        category_name             varchar(100)   NO   UNI  -
-        parent_category_id        int            YES  MUL  -
-    """,
-    "products": """
-        product_id                  char(32)       NO   PRI  -
-        category_id                 int            YES  MUL  -
-        product_name_length         int            YES  -    -
-        product_description_length  int            YES  -    -
-        product_photos_qty          int            YES  -    0
-        product_weight_g            decimal(10,2)  YES  -    -
-        product_length_cm           decimal(10,2)  YES  -    -
-        product_height_cm           decimal(10,2)  YES  -    -
-        product_width_cm            decimal(10,2)  YES  -    -
-    """,
-    "orders": """
-        order_id                       char(32)     NO   PRI  -
-        customer_id                    char(32)     NO   MUL  -
-        order_status                   varchar(20)  NO   MUL  -
-        order_purchase_timestamp       datetime     NO   MUL  -
-        order_approved_at              datetime     YES  -    -
-        order_delivered_carrier_date   datetime     YES  -    -
-        order_delivered_customer_date  datetime     YES  -    -
-        order_estimated_delivery_date  datetime     NO   -    -
-    """,
-    "order_items": """
-        order_id             char(32)       NO   PRI  -
-        order_item_id        int            NO   PRI  -
-        product_id           char(32)       NO   MUL  -
-        seller_id            char(32)       NO   MUL  -
-        shipping_limit_date  datetime       YES  -    -
-        price                decimal(10,2)  NO   MUL  -
-        freight_value        decimal(10,2)  NO   -    0
-    """,
-    "order_payments": """
-        order_id              char(32)       NO   PRI  -
-        payment_sequential    int            NO   PRI  -
-        payment_type          varchar(20)    NO   MUL  -
-        payment_installments  int            NO   -    1
-        payment_value         decimal(10,2)  NO   -    -
-    """,
-    "order_reviews": """
-        review_id                char(32)      NO   PRI  -
-        order_id                 char(32)      NO   PRI  -
-        review_score             tinyint       NO   MUL  -
-        review_comment_title     varchar(255)  YES  -    -
-        review_comment_message   text          YES  -    -
-        review_creation_date     datetime      YES  MUL  -
-        review_answer_timestamp  datetime      YES  -    -
-    """,
-    "geolocation": """
-        geo_id                       bigint         NO   PRI  -
-        geolocation_zip_code_prefix  varchar(10)    NO   MUL  -
-        geolocation_lat              decimal(10,6)  YES  -    -
-        geolocation_lng              decimal(10,6)  YES  -    -
-        geolocation_city             varchar(100)   YES  MUL  -
-        geolocation_state            char(2)        YES  MUL  -
-    """,
+    "customers": (
+        ("customer_id", "char(32)", False, "PRI", None),
+        ("customer_unique_id", "char(32)", False, "MUL", None),
+        ("customer_zip_code_prefix", "varchar(10)", True, "", None),
+        ("customer_city", "varchar(100)", True, "", None),
+        ("customer_state", "char(2)", True, "MUL", None),
+        ("created_at", "timestamp", True, "", "CURRENT_TIMESTAMP"),
+    ),
+    "sellers": (
+        ("seller_id", "char(32)", False, "PRI", None),
+        ("seller_zip_code_prefix", "varchar(10)", True, "", None),
+        ("seller_city", "varchar(100)", True, "", None),
+        ("seller_state", "char(2)", True, "MUL", None),
+    ),
+    "product_category": (
+        ("category_id", "int", False, "PRI", None),
+        ("category_name", "varchar(100)", False, "UNI", None),
+        ("parent_category_id", "int", True, "MUL", None),
+    ),
+    "products": (
+        ("product_id", "char(32)", False, "PRI", None),
+        ("category_id", "int", True, "MUL", None),
+        ("product_name_length", "int", True, "", None),
+        ("product_description_length", "int", True, "", None),
+        ("product_photos_qty", "int", True, "", "0"),
+        ("product_weight_g", "decimal(10,2)", True, "", None),
+        ("product_length_cm", "decimal(10,2)", True, "", None),
+        ("product_height_cm", "decimal(10,2)", True, "", None),
+        ("product_width_cm", "decimal(10,2)", True, "", None),
+    ),
+    "orders": (
+        ("order_id", "char(32)", False, "PRI", None),
+        ("customer_id", "char(32)", False, "MUL", None),
+        ("order_status", "varchar(20)", False, "MUL", None),
+        ("order_purchase_timestamp", "datetime", False, "MUL", None),
+        ("order_approved_at", "datetime", True, "", None),
+        ("order_delivered_carrier_date", "datetime", True, "", None),
+        ("order_delivered_customer_date", "datetime", True, "", None),
+        ("order_estimated_delivery_date", "datetime", False, "", None),
+    ),
+    "order_items": (
+        ("order_id", "char(32)", False, "PRI", None),
+        ("order_item_id", "int", False, "PRI", None),
+        ("product_id", "char(32)", False, "MUL", None),
+        ("seller_id", "char(32)", False, "MUL", None),
+        ("shipping_limit_date", "datetime", True, "", None),
+        ("price", "decimal(10,2)", False, "MUL", None),
+        ("freight_value", "decimal(10,2)", False, "", "0"),
+    ),
+    "order_payments": (
+        ("order_id", "char(32)", False, "PRI", None),
+        ("payment_sequential", "int", False, "PRI", None),
+        ("payment_type", "varchar(20)", False, "MUL", None),
+        ("payment_installments", "int", False, "", "1"),
+        ("payment_value", "decimal(10,2)", False, "", None),
+    ),
+    "order_reviews": (
+        ("review_id", "char(32)", False, "PRI", None),
+        ("order_id", "char(32)", False, "PRI", None),
+        ("review_score", "tinyint", False, "MUL", None),
+        ("review_comment_title", "varchar(255)", True, "", None),
+        ("review_comment_message", "text", True, "", None),
+        ("review_creation_date", "datetime", True, "MUL", None),
+        ("review_answer_timestamp", "datetime", True, "", None),
+    ),
+    "geolocation": (
+        ("geo_id", "bigint", False, "PRI", None),
+        ("geolocation_zip_code_prefix", "varchar(10)", False, "MUL", None),
+        ("geolocation_lat", "decimal(10,6)", True, "", None),
+        ("geolocation_lng", "decimal(10,6)", True, "", None),
+        ("geolocation_city", "varchar(100)", True, "MUL", None),
+        ("geolocation_state", "char(2)", True, "MUL", None),
+    ),
 }
 
 # Columns of the raw files in file order, all text. The spelling
 # `lenght` is the files' own.
 RAW_COLUMNS = {
-    "customers": "customer_id customer_unique_id customer_zip_code_prefix customer_city customer_state",
-    "orders": """order_id customer_id order_status order_purchase_timestamp order_approved_at
-        order_delivered_carrier_date order_delivered_customer_date order_estimated_delivery_date""",
-    "order_items": "order_id order_item_id product_id seller_id shipping_limit_date price freight_value",
-    "products": """product_id product_category_name product_name_lenght product_description_lenght
-        product_photos_qty product_weight_g product_length_cm product_height_cm product_width_cm""",
-    "sellers": "seller_id seller_zip_code_prefix seller_city seller_state",
-    "order_payments": "order_id payment_sequential payment_type payment_installments payment_value",
-    "order_reviews": """review_id order_id review_score review_comment_title review_comment_message
-        review_creation_date review_answer_timestamp""",
-    "geolocation": """geolocation_zip_code_prefix geolocation_lat geolocation_lng
-        geolocation_city geolocation_state""",
+    "customers": (
+        "customer_id",
+        "customer_unique_id",
+        "customer_zip_code_prefix",
+        "customer_city",
+        "customer_state",
+    ),
+    "orders": (
+        "order_id",
+        "customer_id",
+        "order_status",
+        "order_purchase_timestamp",
+        "order_approved_at",
+        "order_delivered_carrier_date",
+        "order_delivered_customer_date",
+        "order_estimated_delivery_date",
+    ),
+    "order_items": (
+        "order_id",
+        "order_item_id",
+        "product_id",
+        "seller_id",
+        "shipping_limit_date",
+        "price",
+        "freight_value",
+    ),
+    "products": (
+        "product_id",
+        "product_category_name",
+        "product_name_lenght",
+        "product_description_lenght",
+        "product_photos_qty",
+        "product_weight_g",
+        "product_length_cm",
+        "product_height_cm",
+        "product_width_cm",
+    ),
+    "sellers": (
+        "seller_id",
+        "seller_zip_code_prefix",
+        "seller_city",
+        "seller_state",
+    ),
+    "order_payments": (
+        "order_id",
+        "payment_sequential",
+        "payment_type",
+        "payment_installments",
+        "payment_value",
+    ),
+    "order_reviews": (
+        "review_id",
+        "order_id",
+        "review_score",
+        "review_comment_title",
+        "review_comment_message",
+        "review_creation_date",
+        "review_answer_timestamp",
+    ),
+    "geolocation": (
+        "geolocation_zip_code_prefix",
+        "geolocation_lat",
+        "geolocation_lng",
+        "geolocation_city",
+        "geolocation_state",
+    ),
 }
 
 # Order status codes.
@@ -220,19 +274,11 @@ class TableDef:
         return T.StructType([T.StructField(c.name, c.spark_type, c.nullable) for c in self.columns])
 
 
-def _table(name: str, text: str) -> TableDef:
-    columns = []
-    for line in text.strip().splitlines():
-        column, declared, nullable, key, default = line.split()
-        columns.append(
-            ColumnDef(column, declared, nullable == "YES", key.strip("-"), None if default == "-" else default)
-        )
-    return TableDef(name, tuple(columns))
-
-
-TABLES = {name: _table(name, text) for name, text in TYPED_COLUMNS.items()}
+TABLES = {
+    name: TableDef(name, tuple(ColumnDef(*column) for column in columns)) for name, columns in TYPED_COLUMNS.items()
+}
 
 
 def raw_schema(table: str) -> T.StructType:
     """All-text schema of a raw file."""
-    return T.StructType([T.StructField(c, T.StringType()) for c in RAW_COLUMNS[table].split()])
+    return T.StructType([T.StructField(c, T.StringType()) for c in RAW_COLUMNS[table]])

@@ -7,13 +7,16 @@ from pyspark.sql import functions as F
 
 # Windows-1252 bytes 0x80-0x9F and the characters they stand
 # for; the five codes left out are undefined.
-CP1252_CODES = "80 82 83 84 85 86 87 88 89 8A 8B 8C 8E 91 92 93 94 95 96 97 98 99 9A 9B 9C 9E 9F"
+CP1252_CODES = (
+    0x80, 0x82, 0x83, 0x84, 0x85, 0x86, 0x87, 0x88, 0x89, 0x8A, 0x8B, 0x8C, 0x8E, 0x91,
+    0x92, 0x93, 0x94, 0x95, 0x96, 0x97, 0x98, 0x99, 0x9A, 0x9B, 0x9C, 0x9E, 0x9F,
+)
 CP1252_CHARS = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
-UNDEFINED_CODES = "81 8D 8F 90 9D"
+UNDEFINED_CODES = (0x81, 0x8D, 0x8F, 0x90, 0x9D)
 
 
-def _chars(codes: str) -> str:
-    return "".join(chr(int(code, 16)) for code in codes.split())
+def _chars(codes: tuple[int, ...]) -> str:
+    return "".join(map(chr, codes))
 
 
 def repair_text(raw: Column) -> Column:
