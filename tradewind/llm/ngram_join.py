@@ -25,11 +25,12 @@ no link.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm.components import components
@@ -318,14 +319,21 @@ def linked(percent: int):
 def block_pairs(members: DataFrame, percent: int) -> DataFrame:
     """Members (cluster, set, n, row key) once for each pair of blocks that they belong to: unit, side added.
 
-    A cluster's sets, ordered by size, are cut into blocks; blocks whose sizes
-    are too far apart for any link don't meet."""
+    A cluster that fits is one block. A larger one is cut into bands of set
+    size, each as wide as the similarity allows, and a band into blocks by hash;
+    blocks whose sizes are too far apart for any link don't meet. Blocks are
+    counted by sums per cluster and band, so no task sees a whole cluster."""
     weight = F.greatest(F.lit(1 / BLOCK_SETS), F.col("n") / BLOCK_GRAMS)
-    order = Window.partitionBy("cluster").orderBy("n", "set")
-    blocked = members.withColumn("block", F.floor(F.sum(weight).over(order) - weight / 2).cast("int"))
+    totals = members.groupBy("cluster").agg(F.sum(weight).alias("total"))
+    width = math.log(100 / percent)
+    band = F.when(F.col("total") <= 1, 0).otherwise(F.floor(F.log(F.col("n")) / width)).cast("long")
+    banded = members.join(totals, "cluster").withColumn("band", band).drop("total")
+    counts = banded.groupBy("cluster", "band").agg(F.ceil(F.sum(weight)).alias("blocks"))
+    block = F.shiftleft("band", 32) + F.pmod(F.xxhash64("set"), F.col("blocks"))
+    blocked = banded.join(counts, ["cluster", "band"]).withColumn("block", block).drop("band", "blocks")
     blocks = blocked.groupBy("cluster", "block").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    other = blocks.select("cluster", F.col("block").alias("block_b"), F.col("least").alias("least_b"))
-    near = (F.col("block") <= F.col("block_b")) & F.expr(f"100 * most >= {percent} * least_b")
+    other = blocks.withColumnsRenamed({"block": "block_b", "least": "least_b", "most": "most_b"})
+    near = F.expr(f"block <= block_b and 100 * most >= {percent} * least_b and 100 * most_b >= {percent} * least")
     pairs = blocks.join(other, "cluster").where(near).select("cluster", "block", "block_b")
     unit = F.xxhash64("cluster", "block", "block_b").alias("unit")
     roles = pairs.select(
@@ -357,12 +365,10 @@ def ngram_components(documents: DataFrame, size: int = SIZE, percent: int = PERC
 
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW_KEY)).alias("first")
     classes = written(rows.where("n > 0").groupBy("set").agg(first, F.max("n").alias("n")), "gram-classes")
-    members = written(
-        classes.join(clusters, classes["set"] == clusters["vertex"]).select(
-            F.col("component").alias("cluster"), "set", "n", F.col(f"first.{ROW_KEY}").alias(ROW_KEY)
-        ),
-        "gram-clusters",
+    members = classes.join(clusters, classes["set"] == clusters["vertex"]).select(
+        F.col("component").alias("cluster"), "set", "n", F.col(f"first.{ROW_KEY}").alias(ROW_KEY)
     )
+    members = written(members, "gram-clusters")
     paired = block_pairs(members, percent)
     grams = members.agg(F.sum("n")).first()[0] or 0
     bins = F.pmod("unit", F.lit(max(1, -(-grams // BUCKET_GRAMS) * FRAGMENTS))).cast("int").alias("bin")
