@@ -212,6 +212,18 @@ def test_scores_as_brute_force(documents, corpus, depth):
     assert sorted(plain) == sorted(expected) and {r["train_tokens"] for r in got} == {tree.total}
 
 
+@pytest.mark.parametrize("p_min, bucket", [(1e-2, 1000), (1.0, 300)])
+def test_sequences_count_at_every_size(monkeypatch, documents, corpus, p_min, bucket):
+    """What is broadcast decides nothing: rarer sequences score in buckets."""
+    monkeypatch.setattr(suffix_tree, "BUCKET", bucket)
+    held = F.col("doc_id") % 5 == 0
+    got = suffix_tree.score_documents(documents(corpus), held, p_min=p_min).collect()
+    tree = BruteTree([t for i, t, *_ in corpus if i is not None and i % 5], suffix_tree.LEAST, suffix_tree.DEPTH)
+    expected = [(len(tokens_of(t)), round(tree.score(t, suffix_tree.DEPTH), 5)) for _, t, *_ in corpus]
+    assert sorted((r["n_tokens"], round(r["score"], 5)) for r in got) == sorted(expected)
+    assert sum(r["score"] > r["base_score"] + 1 for r in got) > 20
+
+
 def test_probabilities_after_a_context_add_up(corpus):
     tree = BruteTree([t for _, t in corpus], suffix_tree.LEAST, 2)
     words = [w for w in tree.all if w != "<s>"]

@@ -1,9 +1,9 @@
 """Language-model scoring with a probabilistic suffix tree over words.
 
 A text is its words (A-Z lower-cased) and one end. The tree's contexts are the
-word sequences that make up at least P_MIN of the training tokens, found level by
-level: a sequence is only counted where the sequences it extends have passed.
-So a level has at most 1 / P_MIN entries for any corpus, and may be broadcast.
+word sequences that occur LEAST times in the training texts, whatever their
+number, found level by level: a sequence is only counted where the sequences it
+extends may have passed.
 
 A context lists the next words seen often enough after it, with discounted
 relative frequencies; the rest of its probability goes to all other words in
@@ -13,11 +13,16 @@ diverge from its suffix's prediction by more than DIVERGENCE nats for every
 number it needs. A word is scored in the longest retained suffix of what stands
 before it. All probabilities after a context add up to 1.
 
-Words under the bound are not broadcast: their occurrences meet their counts in
-buckets of bounded size, and only sums return to the documents.
+A score is a sum over the sequences that end at each token. A retained context
+gives the log of its rest; a word listed in it gives what it has above that rest
+and the shorter context's prediction. So the tree is a table of sequences and
+gains, and no task needs all of it: occurrences meet the table in buckets of
+bounded size, and only sums return to the documents. The most frequent sequences
+(P_MIN), of bounded number, are broadcast to keep their occurrences at home.
 
-Null and empty texts are one end. A null id counts as held out. Without training
-texts every token has count 0. Repeated rows are scored each.
+A sequence is known by a 64-bit number, made of those of its prefix and its
+suffix. Null and empty texts are one end. A null id counts as held out. Without
+training texts every token has count 0. Repeated rows are scored each.
 """
 
 from __future__ import annotations
@@ -27,15 +32,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm.shared import ROW_KEY, keyed, written
-from tradewind.llm.words import WHITESPACE, byte_values, slices, words
+from tradewind.llm.words import BASE, WHITESPACE, byte_values, mixed, slices, words
 
-#: Least share of the training tokens, and least count, of a context and of a listed continuation.
-P_MIN = 1e-6
+#: Least count of a context and of a listed continuation.
 LEAST = 4
+#: Least share of the training tokens of a sequence that is broadcast: at most 1 / P_MIN of each length.
+P_MIN = 1e-6
 #: Words of the longest context.
 DEPTH = 2
 #: Nats by which a context must improve on its suffix, for each continuation it lists.
@@ -44,7 +50,12 @@ DISCOUNT = 0.5
 ADDED = 0.1
 #: Tokens worked on at a time, and entries of a bucket.
 SLICE = 1 << 21
+#: Tokens whose longer sequences are worked on at a time.
+PIECE = 1 << 19
 BUCKET = 4_000_000
+#: Bits of the filter of sequences that may be there; its size does not grow with the corpus.
+FILTER_BITS = 1 << 26
+BITS = 1 << 15
 
 #: Numbers of the two marks; words are 64-bit mixtures.
 START, END = np.uint64(1), np.uint64(2)
@@ -60,42 +71,61 @@ def marked(numbers: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndar
     return tokens, first
 
 
-def token_slices(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def token_slices(batch: pa.RecordBatch, most: int = SLICE) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     numbers, counts = words(batch.column("text"), VALUES)
     ends = np.r_[0, np.cumsum(counts)]
-    for low, high in slices(counts, SLICE):
+    for low, high in slices(counts, most):
         yield low, high, *marked(numbers[ends[low] : ends[high]], counts[low:high])
 
 
-def find(table: np.ndarray, wanted: np.ndarray, valid: np.ndarray | None = None) -> np.ndarray:
+def find(table: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """Places in a sorted table, -1 for what it lacks."""
     if not len(table):
         return np.full(len(wanted), -1, np.int64)
     place = np.searchsorted(table, wanted)
     place[place == len(table)] = 0
-    known = table[place] == wanted
-    return np.where(known if valid is None else known & valid, place, -1)
+    return np.where(table[place] == wanted, place, -1)
+
+
+def extended(prefix: np.ndarray, suffix: np.ndarray, length: int) -> np.ndarray:
+    """The numbers of the sequences of ``length`` words with these beginnings and ends."""
+    return mixed(prefix * BASE + suffix + np.uint64(length))
+
 
+def longer(numbers: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """From the numbers of the sequences one word shorter that end at each token: those that begin, and the sequences."""
+    prefix = np.r_[np.uint64(0), numbers[:-1]]
+    return prefix, extended(prefix, numbers, length)
 
-class Levels:
-    """The frequent word sequences: level 1 by number, level k + 1 by (place in level k) * size + next word."""
 
-    def __init__(self, tokens: np.ndarray, counts: np.ndarray) -> None:
-        self.tokens, self.codes, self.counts = tokens, [], [counts]
+def places_in_texts(tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
+    return np.arange(len(tokens)) - np.repeat(first, np.diff(np.r_[first, len(tokens)]))
+
+
+def filter_bits(keys: DataFrame) -> np.ndarray:
+    """A bit map of the low bits of ``key``, 8 bits a byte: 8 MB, whatever the number of rows."""
+    place = F.pmod("key", F.lit(FILTER_BITS))
+    found = (
+        keys.select((place / BITS).cast("int").alias("part"), (place % BITS).alias("bit"))
+        .groupBy("part")
+        .agg(F.bitmap_construct_agg("bit").alias("bits"))
+        .collect()
+    )
+    bits = np.zeros(FILTER_BITS // 8, np.uint8)
+    for part, blob in found:
+        bits[part * BITS // 8 : (part + 1) * BITS // 8] = np.frombuffer(blob, np.uint8)
+    return bits
+
 
-    def add(self, codes: np.ndarray, counts: np.ndarray) -> None:
-        self.codes.append(codes)
-        self.counts.append(counts)
+def may_hold(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    place = keys & np.uint64(8 * len(bits) - 1)
+    return (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
-    def places(self, tokens: np.ndarray, first: np.ndarray) -> Iterator[np.ndarray]:
-        """For each level, the place of the sequence that ends at each token."""
-        last = one = find(self.tokens, tokens)
-        yield one
-        for codes in self.codes:
-            before = np.r_[-1, last[:-1]]
-            before[first] = -1
-            last = find(codes, before * len(self.tokens) + one, (before >= 0) & (one >= 0))
-            yield last
+
+def bucket_of(key: str, buckets: int) -> Column:
+    """The key as an unsigned number modulo ``buckets``, as numpy has it."""
+    high, low = F.shiftrightunsigned(key, 32), F.col(key).bitwiseAND(0xFFFFFFFF)
+    return F.pmod(high % buckets * (2**32 % buckets) + low % buckets, F.lit(buckets)).cast("int")
 
 
 def word_counts(training: DataFrame) -> DataFrame:
@@ -121,127 +151,169 @@ def word_counts(training: DataFrame) -> DataFrame:
     return written(counts, "word-counts")
 
 
-def next_level(training: DataFrame, levels: Levels, least: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """The sequences one word longer than the last level that occur at least ``least`` times."""
-    size = len(levels.tokens)
-    buckets = max(buckets, (len(levels.counts[-1]) * size >> 32) + 1)
+def sequences(training: DataFrame, shorter: DataFrame, length: int, buckets: int) -> DataFrame:
+    """(key, context, suffix, n) of the sequences of ``length`` words that occur at least LEAST times.
+
+    ``shorter``: those one word shorter (key). Occurrences travel as packed blocks, each to the bucket of its number."""
+    bits = filter_bits(shorter)
+    buckets = 4 * buckets  # an entry is 20 bytes
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(held: list) -> pa.RecordBatch:
+            context, suffix = (np.concatenate(x) for x in zip(*held, strict=True))
+            key, place, n = np.unique(extended(context, suffix, length), return_index=True, return_counts=True)
+            bucket, context, suffix = (key % np.uint64(buckets)).astype(np.int64), context[place], suffix[place]
+            order = np.lexsort((context, bucket))  # equal contexts in a row pack well
+            bucket, context, suffix, n = bucket[order], context[order], suffix[order], n[order].astype("<u4")
+            cuts = np.r_[np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]), len(bucket)]
+            blobs = [[x[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)] for x in (context, suffix, n)]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(bucket[cuts[:-1]].astype(np.int32)), *(pa.array(x, pa.binary()) for x in blobs)],
+                ["bucket", "contexts", "suffixes", "counts"],
+            )
+
+        held = []
         for batch in batches:
-            for _, _, tokens, first in token_slices(batch):
-                *_, last = places = list(levels.places(tokens, first))
-                before = np.r_[-1, last[:-1]]
-                before[first] = -1
-                code = (before * size + places[0])[(before >= 0) & (last >= 0)]
-                code, n = np.unique(code, return_counts=True)
-                if not len(code):
-                    continue
-                pieces = (n + 254) // 255
-                code, n = np.repeat(code, pieces), np.repeat(n, pieces)
-                within = np.arange(len(code)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-                n = np.minimum(255, n - 255 * within)
-                bucket = code % buckets
-                order = np.argsort(bucket, kind="stable")
-                bucket, code, n = bucket[order], (code[order] // buckets).astype("<u4"), n[order].astype(np.uint8)
-                cuts = np.r_[np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]), len(bucket)]
-                pairs = list(zip(cuts[:-1], cuts[1:], strict=True))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(bucket[cuts[:-1]].astype(np.int32)),
-                        pa.array([code[a:b].tobytes() for a, b in pairs], pa.binary()),
-                        pa.array([n[a:b].tobytes() for a, b in pairs], pa.binary()),
-                    ],
-                    ["bucket", "codes", "counts"],
-                )
+            for _, _, tokens, first in token_slices(batch, PIECE):
+                at, numbers = places_in_texts(tokens, first), tokens
+                for k in range(2, length):
+                    numbers = longer(numbers, k)[1]
+                passed = may_hold(bits, numbers)
+                use = (at >= length - 1) & passed & np.r_[False, passed[:-1]]
+                if use.any():
+                    held.append((np.r_[np.uint64(0), numbers[:-1]][use], numbers[use]))
+                if sum(len(x) for x, _ in held) > 2 * PIECE:
+                    yield out(held)
+                    held = []
+        if held:
+            yield out(held)
 
     def summed(rows: pa.Table) -> pa.Table:
-        code = np.concatenate([np.frombuffer(x.as_py(), "<u4") for x in rows.column("codes")])
-        n = np.concatenate([np.frombuffer(x.as_py(), np.uint8) for x in rows.column("counts")])
-        order = np.argsort(code, kind="stable")
-        code, n = code[order], n[order].astype(np.int64)
-        first = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
-        total = np.add.reduceat(n, first)
-        keep = total >= least
-        code = code[first[keep]].astype(np.int64) * buckets + rows.column("bucket")[0].as_py()
-        return pa.table({"code": code, "n": total[keep]})
-
-    blocks = training.select("text").mapInArrow(packed, "bucket int, codes binary, counts binary")
-    found = blocks.groupBy("bucket").applyInArrow(summed, "code long, n long").toArrow()  # at most 1 / P_MIN rows
-    code, n = found.column("code").to_numpy(), found.column("n").to_numpy()
-    order = np.argsort(code)
-    return code[order], n[order]
-
-
-class Tree:
-    """Log10 probabilities of the listed continuations, and the weights of the rest, level by level."""
-
-    def __init__(self, levels: Levels, total: int, distinct: int) -> None:
-        self.levels = levels
-        size = len(levels.tokens)
-        root = np.log10((levels.counts[0] + ADDED) / (total + ADDED * (distinct + 1)))
-        # Words are scored in context, not START.
-        self.effective, self.retained, self.rest = [root], [], []
-        suffix = None
-        for k, codes in enumerate(levels.codes):
-            context, word, n = codes // size, codes % size, levels.counts[k + 1]
-            suffix = word if suffix is None else find(levels.codes[k - 1], suffix[context] * size + word)
-            shorter = 10 ** self.effective[k][suffix]
-            seen = levels.counts[k].astype(float)
-            own = (n - DISCOUNT) / seen[context]
-            contexts = len(seen)
-            listed = np.bincount(context, minlength=contexts)
-            left = 1 - np.bincount(context, own, contexts)
-            left_shorter = 1 - np.bincount(context, shorter, contexts)
-            possible = (listed > 0) & (left > 1e-12) & (left_shorter > 1e-12)
-            rest = np.ones(contexts)
-            rest[possible] = left[possible] / left_shorter[possible]
-            gain = np.bincount(context, own * np.log(own / shorter), contexts) + np.where(possible, left * np.log(rest), 0)
-            keep = possible & (seen * gain >= DIVERGENCE * (listed + 1))
-            self.retained.append(keep)
-            self.rest.append(np.log10(rest))
-            self.effective.append(np.where(keep[context], np.log10(own), self.effective[k][suffix]))
-
-    def score(self, tokens: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(root, log10 probability) of each token; without the root's part for tokens that level 1 lacks."""
-        places = list(self.levels.places(tokens, first))
-        root = np.where(places[0] >= 0, self.effective[0][places[0]], 0.0) if len(self.effective[0]) else np.zeros(len(tokens))
-        value = root
-        for k, (keep, rest) in enumerate(zip(self.retained, self.rest, strict=True)):
-            if not len(keep):
-                break
-            before = np.r_[-1, places[k][:-1]]
-            before[first] = -1
-            listed = places[k + 1]
-            use = (before >= 0) & keep[before]
-            effective = self.effective[k + 1]
-            there = effective[listed] if len(effective) else value
-            value = np.where(use, np.where(listed >= 0, there, rest[before] + value), value)
-        return root, value
+        context, suffix, n = (
+            np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in rows.column(name)])
+            for name, kind in (("contexts", np.uint64), ("suffixes", np.uint64), ("counts", "<u4"))
+        )
+        key = extended(context, suffix, length)
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        total = np.add.reduceat(n[order].astype(np.int64), first)
+        first, total = first[total >= LEAST], total[total >= LEAST]
+        place = order[first]
+        numbers = (key[first], context[place], suffix[place])
+        return pa.table([*(pa.array(x.view(np.int64)) for x in numbers), pa.array(total)], names=["key", "context", "suffix", "n"])
+
+    blocks = training.select("text").mapInArrow(packed, "bucket int, contexts binary, suffixes binary, counts binary")
+    found = blocks.groupBy("bucket").applyInArrow(summed, "key long, context long, suffix long, n long")
+    return written(found, f"sequences-{length}")
+
+
+def continued(found: DataFrame, shorter: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+    """The sequences of a length (key, n, log10 probability of the last word after the others, gain), and the retained
+    contexts (context, rest).
+
+    ``shorter``: the sequences one word shorter, alike. The suffix of a listed sequence is listed itself."""
+    seen = shorter.select(F.col("key").alias("context"), F.col("n").alias("seen"))
+    before = shorter.select(F.col("key").alias("suffix"), F.col("log_p").alias("shorter"))
+    own = (F.col("n") - DISCOUNT) / F.col("seen")
+    listed = written(
+        found.join(seen, "context").join(before, "suffix").select("key", "context", "n", "seen", own.alias("own"), "shorter"),
+        f"listed-{length}",
+    )
+    sums = listed.groupBy("context").agg(
+        F.max("seen").alias("seen"),
+        F.count("*").alias("listed"),
+        (1 - F.sum("own")).alias("left"),
+        (1 - F.sum(F.pow(F.lit(10.0), F.col("shorter")))).alias("left_shorter"),
+        F.sum(F.col("own") * (F.log("own") - F.col("shorter") * math.log(10))).alias("gain"),
+    )
+    gain = F.col("gain") + F.col("left") * F.log(F.col("left") / F.col("left_shorter"))
+    retained = (
+        sums.where("left > 1e-12 and left_shorter > 1e-12")
+        .where(F.col("seen") * gain >= DIVERGENCE * (F.col("listed") + 1))
+        .select("context", F.log10(F.col("left") / F.col("left_shorter")).alias("rest"))
+    )
+    retained = written(retained, f"contexts-{length}")
+    there = F.col("rest").isNotNull()
+    longer = listed.join(retained, "context", "left").select(
+        "key",
+        "n",
+        F.when(there, F.log10("own")).otherwise(F.col("shorter")).alias("log_p"),
+        F.when(there, F.log10("own") - F.col("shorter") - F.col("rest")).otherwise(0.0).alias("gain"),
+    )
+    return written(longer, f"continuations-{length}"), retained
+
+
+def tree(training: DataFrame, counts: DataFrame, total: int, distinct: int, depth: int, buckets: int) -> DataFrame:
+    """(key, length, n, gain): the frequent words, and the longer sequences with a gain."""
+    log_p = F.log10((F.col("n") + ADDED) / (total + ADDED * (distinct + 1)))
+    level = counts.where(F.col("n") >= LEAST).select(F.col("token").alias("key"), "n", log_p.alias("log_p"), F.lit(0.0).alias("gain"))
+    model = None
+    for length in range(1, depth + 2):
+        of = level.select("key", F.lit(length).alias("length"), "n", "gain")
+        if length <= depth:
+            found = sequences(training, level, length + 1, buckets)
+            level, retained = continued(found, level, length + 1)
+            rest = retained.withColumnRenamed("context", "key")
+            of = of.join(rest, "key", "left").select(
+                "key", "length", "n", (F.col("gain") + F.coalesce("rest", F.lit(0.0))).alias("gain")
+            )
+        model = of if model is None else model.union(of)
+    return written(model.where("length = 1 or gain <> 0"), "suffix-tree")
+
+
+class Head:
+    """The most frequent sequences, length by length, and a filter of all longer than a word."""
+
+    def __init__(self, model: DataFrame, least: int, depth: int, total: int, distinct: int) -> None:
+        frequent = (F.col("n") >= least) | ((F.col("key") == int(START)) & (F.col("length") == 1))
+        rows = model.where(frequent).toArrow()  # at most 1 / P_MIN rows of each length
+        key, length, n, gain = (rows.column(x).to_numpy() for x in ("key", "length", "n", "gain"))
+        key = key.view(np.uint64)
+        order = np.argsort(key)
+        places = [order[length[order] == k] for k in range(1, depth + 2)]
+        self.keys, self.gains = [key[x] for x in places], [np.r_[gain[x], 0.0] for x in places]
+        self.root = np.r_[np.log10((n[places[0]] + ADDED) / (total + ADDED * (distinct + 1))), 0.0]
+        self.bits = filter_bits(model.where("length > 1"))
+
+    def score(self, tokens: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of each token the root's part and the gain, as far as these sequences go; which words are not among them; and
+        the longer sequences that are elsewhere, if anywhere: (token place, number)."""
+        at, numbers = places_in_texts(tokens, first), tokens
+        place = find(self.keys[0], tokens)
+        root, gain, rare = self.root[place], self.gains[0][place], (at > 0) & (place < 0)
+        ends, elsewhere = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
+        for length in range(2, len(self.keys) + 1):
+            numbers = longer(numbers, length)[1]
+            end = np.flatnonzero((at >= length - 1) & may_hold(self.bits, numbers))
+            place = find(self.keys[length - 1], numbers[end])
+            gain[end] += self.gains[length - 1][place]
+            ends.append(end[place < 0])
+            elsewhere.append(numbers[end[place < 0]])
+        return root, gain, rare, np.concatenate(ends), np.concatenate(elsewhere)
 
 
 SCORED = (
     f"doc_id long, {ROW_KEY} long, held_out boolean, place long, n_tokens long, n_frequent long, "
-    "root double, value double, rare binary"
+    "root double, gain double, rare binary, longer binary"
 )
 
 
-def frequent_scores(documents: DataFrame, tree: Tree) -> DataFrame:
-    """Per document row: the sums over frequent tokens, and its rare tokens."""
+def frequent_scores(documents: DataFrame, head: Head) -> DataFrame:
+    """Per document row: the sums over the most frequent sequences, its other words, and its other sequences."""
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         place = TaskContext.get().partitionId() << 33
         for batch in batches:
-            for low, high, tokens, first in token_slices(batch):
+            for low, high, tokens, first in token_slices(batch, PIECE):
                 n = high - low
                 owner = np.repeat(np.arange(n), np.diff(np.r_[first, len(tokens)]))
-                root, value = tree.score(tokens, first)
+                root, gain, rare, end, number = head.score(tokens, first)
                 predicted = np.ones(len(tokens), bool)
                 predicted[first] = False
-                rare = predicted & (find(tree.levels.tokens, tokens) < 0)
-                ends = np.cumsum(np.bincount(owner[rare], minlength=n))
-                blob = tokens[rare].tobytes()
+                order = np.argsort(owner[end], kind="stable")
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id")[low:high],
@@ -251,77 +323,98 @@ def frequent_scores(documents: DataFrame, tree: Tree) -> DataFrame:
                         pa.array(np.bincount(owner[predicted], minlength=n)),
                         pa.array(np.bincount(owner[predicted & ~rare], minlength=n)),
                         pa.array(np.bincount(owner[predicted], root[predicted], n)),
-                        pa.array(np.bincount(owner[predicted], value[predicted], n)),
-                        pa.array([blob[8 * a : 8 * b] for a, b in zip(np.r_[0, ends[:-1]], ends, strict=True)], pa.binary()),
+                        pa.array(np.bincount(owner, gain, n)),
+                        blobs(tokens[rare], owner[rare], n),
+                        blobs(number[order], owner[end][order], n),
                     ],
-                    ["doc_id", ROW_KEY, "held_out", "place", "n_tokens", "n_frequent", "root", "value", "rare"],
+                    ["doc_id", ROW_KEY, "held_out", "place", "n_tokens", "n_frequent", "root", "gain", "rare", "longer"],
                 )
                 place += n
 
     return written(documents.mapInArrow(scored, SCORED), "frequent-scores")
 
 
-def rare_scores(scored: DataFrame, counts: DataFrame, total: int, distinct: int, buckets: int) -> DataFrame:
-    """(place, rare_value, n_rare): the root's part of the rare tokens, and how many of them are known."""
+def blobs(numbers: np.ndarray, owner: np.ndarray, n: int) -> pa.Array:
+    """The numbers of each of n owners, which they are sorted by."""
+    ends = np.cumsum(np.bincount(owner, minlength=n))
+    blob = numbers.tobytes()
+    return pa.array([blob[8 * a : 8 * b] for a, b in zip(np.r_[0, ends[:-1]], ends, strict=True)], pa.binary())
+
+
+def rare_scores(scored: DataFrame, known: DataFrame, total: int, distinct: int, buckets: int) -> DataFrame:
+    """(place, rare_root, rare_gain, n_rare): the sums over the sequences that are not broadcast, and how many words are known.
+
+    ``known``: their (key, n, gain), n being 0 for more than a word."""
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            blobs = [x.as_py() for x in batch.column("rare")]
-            token = np.frombuffer(b"".join(blobs), np.uint64)
-            if not len(token):
+            parts = []
+            for name in ("rare", "longer"):
+                column = [x.as_py() for x in batch.column(name)]
+                owner = np.repeat(np.arange(len(column)), [len(x) // 8 for x in column])
+                parts.append((np.frombuffer(b"".join(column), np.uint64), owner, np.full(len(owner), name == "rare")))
+            key, owner, word = (np.concatenate(x) for x in zip(*parts, strict=True))
+            if not len(key):
                 continue
-            owner = np.repeat(np.arange(len(blobs)), [len(x) // 8 for x in blobs])
             place = batch.column("place").to_numpy()
-            bucket = (token % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            token, owner, bucket = token[order], owner[order], bucket[order]
+            bucket = (key % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")  # words before longer sequences
+            key, owner, word, bucket = key[order], owner[order], word[order], bucket[order]
             cuts = np.r_[np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]), len(bucket)]
             out = []
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                 own, local = np.unique(owner[a:b], return_inverse=True)
-                out.append((int(bucket[a]), token[a:b].tobytes(), local.astype("<u4").tobytes(), place[own].tobytes()))
-            kinds = pa.int32(), pa.binary(), pa.binary(), pa.binary()
+                blobs = key[a:b], local.astype("<u4"), place[own]
+                out.append((int(bucket[a]), int(word[a:b].sum()), *(x.tobytes() for x in blobs), place[0]))
+            kinds = pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int64()
             yield pa.RecordBatch.from_arrays(
-                [*(pa.array(x, t) for x, t in zip(zip(*out, strict=True), kinds, strict=True)), pa.array(np.repeat(place[0], len(out)))],
-                ["bucket", "tokens", "owners", "places", "block"],
+                [pa.array(x, t) for x, t in zip(zip(*out, strict=True), kinds, strict=True)],
+                ["bucket", "words", "keys", "owners", "places", "block"],
             )
 
     def met(blocks: pa.Table, known: pa.Table) -> pa.Table:
-        table, n = known.column("token").to_numpy().view(np.uint64), known.column("n").to_numpy()
+        table = known.column("key").to_numpy().view(np.uint64)
         order = np.argsort(table)
-        table, n = table[order], np.r_[n[order], 0]
+        table = table[order]
+        n, gain = (np.r_[known.column(x).to_numpy()[order], 0] for x in ("n", "gain"))
         out = []
-        for row in blocks.to_pylist():
+        for k in range(len(blocks)):
+            row = {x: blocks.column(x)[k].as_py() for x in blocks.column_names}
             own = np.frombuffer(row["places"], np.int64)
             owner = np.frombuffer(row["owners"], "<u4")
-            count = n[find(table, np.frombuffer(row["tokens"], np.uint64))]
-            value = np.bincount(owner, np.log10((count + ADDED) / (total + ADDED * (distinct + 1))), len(own))
-            found = np.bincount(owner[count > 0], minlength=len(own)).astype("<u4")
-            out.append((row["block"], row["places"], value.tobytes(), found.tobytes()))
-        kinds = pa.int64(), pa.binary(), pa.binary(), pa.binary()
-        columns = zip(*out, strict=True) if out else [[]] * 4
-        return pa.table([pa.array(x, t) for x, t in zip(columns, kinds, strict=True)], names=["block", "places", "values", "found"])
+            at = find(table, np.frombuffer(row["keys"], np.uint64))
+            words = slice(0, row["words"])
+            count = n[at[words]]
+            root = np.bincount(owner[words], np.log10((count + ADDED) / (total + ADDED * (distinct + 1))), len(own))
+            found = np.bincount(owner[words][count > 0], minlength=len(own)).astype("<u4")
+            sums = root, np.bincount(owner, gain[at], len(own)), found
+            out.append((row["block"], row["places"], *(x.tobytes() for x in sums)))
+        kinds = pa.int64(), *[pa.binary()] * 4
+        columns = zip(*out, strict=True) if out else [[]] * 5
+        names = ["block", "places", "roots", "gains", "found"]
+        return pa.table([pa.array(x, t) for x, t in zip(columns, kinds, strict=True)], names=names)
 
     def summed(replies: pa.Table) -> pa.Table:
         """A block's documents have one sum from each bucket."""
-        place, value, found = (
+        place, root, gain, found = (
             np.concatenate([np.frombuffer(x.as_py(), kind) for x in replies.column(name)])
-            for name, kind in (("places", np.int64), ("values", np.float64), ("found", "<u4"))
+            for name, kind in (("places", np.int64), ("roots", np.float64), ("gains", np.float64), ("found", "<u4"))
         )
         own, owner = np.unique(place, return_inverse=True)
         n_rare = np.bincount(owner, found).astype(np.int64)
-        return pa.table({"place": own, "rare_value": np.bincount(owner, value), "n_rare": n_rare})
+        return pa.table(
+            {"place": own, "rare_root": np.bincount(owner, root), "rare_gain": np.bincount(owner, gain), "n_rare": n_rare}
+        )
 
-    blocks = scored.select("place", "rare").mapInArrow(packed, "bucket int, tokens binary, owners binary, places binary, block long")
-    # The same bucket as in ``packed``: the token as an unsigned number.
-    high, low = F.shiftrightunsigned("token", 32), F.col("token").bitwiseAND(0xFFFFFFFF)
-    bucket = F.pmod(high % buckets * (2**32 % buckets) + low % buckets, F.lit(buckets)).cast("int")
+    blocks = scored.select("place", "rare", "longer").mapInArrow(
+        packed, "bucket int, words int, keys binary, owners binary, places binary, block long"
+    )
     replies = (
         blocks.groupBy("bucket")
-        .cogroup(counts.withColumn("bucket", bucket).groupBy("bucket"))
-        .applyInArrow(met, "block long, places binary, values binary, found binary")
+        .cogroup(known.withColumn("bucket", bucket_of("key", buckets)).groupBy("bucket"))
+        .applyInArrow(met, "block long, places binary, roots binary, gains binary, found binary")
     )
-    return replies.groupBy("block").applyInArrow(summed, "place long, rare_value double, n_rare long")
+    return replies.groupBy("block").applyInArrow(summed, "place long, rare_root double, rare_gain double, n_rare long")
 
 
 def score_documents(
@@ -330,7 +423,8 @@ def score_documents(
     """Per document row: doc_id, row key, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     ``held_out``: a condition on the documents; its rows are scored, not learned
-    from. Scores are log10 probabilities of the whole text."""
+    from. Scores are log10 probabilities of the whole text. ``p_min`` decides what
+    is broadcast, not what is learned."""
     flagged = keyed(documents).withColumn("held_out", F.coalesce(held_out, F.lit(True)))
     training = flagged.where(~F.col("held_out"))
     counts = word_counts(training)
@@ -339,15 +433,13 @@ def score_documents(
     least = max(LEAST, math.ceil(p_min * total))
     buckets = max(1, -(-total // BUCKET))
 
-    frequent = counts.where(F.col("n") >= least).toArrow()  # at most 1 / p_min rows
-    token, n = frequent.column("token").to_numpy().view(np.uint64), frequent.column("n").to_numpy()
-    order = np.argsort(token)
-    levels = Levels(token[order], n[order])
-    for _ in range(depth):
-        levels.add(*next_level(training, levels, least, buckets))
-    scored = frequent_scores(flagged, Tree(levels, total, distinct))
-    rare = rare_scores(scored, predicted.where(F.col("n") < least), total, distinct, buckets)
-    rare_value = F.coalesce("rare_value", F.lit(0.0))
+    model = tree(training, counts, total, distinct, depth, buckets)
+    scored = frequent_scores(flagged, Head(model, least, depth, total, distinct))
+    elsewhere = model.where((F.col("n") < least) & ((F.col("length") > 1) | (F.col("key") != int(START))))
+    seldom = predicted.where(F.col("n") < LEAST).select(F.col("token").alias("key"), "n", F.lit(0.0).alias("gain"))
+    known = elsewhere.select("key", F.when(F.col("length") == 1, F.col("n")).otherwise(0).alias("n"), "gain").union(seldom)
+    rare = rare_scores(scored, known, total, distinct, buckets)
+    base = F.col("root") + F.coalesce("rare_root", F.lit(0.0))
     return scored.join(rare, "place", "left").select(
         "doc_id",
         ROW_KEY,
@@ -355,6 +447,6 @@ def score_documents(
         "n_tokens",
         (F.col("n_frequent") + F.coalesce("n_rare", F.lit(0))).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("root") + rare_value).alias("base_score"),
-        (F.col("value") + rare_value).alias("score"),
+        base.alias("base_score"),
+        (base + F.col("gain") + F.coalesce("rare_gain", F.lit(0.0))).alias("score"),
     )
