@@ -69,6 +69,30 @@ def test_join_as_brute_force(monkeypatch, documents, corpus, size, percent, bloc
     assert plain == sorted(brute_join(rows, size, percent), key=str)
 
 
+def test_bins_grow_with_the_block_pairs(monkeypatch, documents):
+    """80 near copies in blocks of two are some 800 block pairs: no bin has more than a few."""
+    base = [f"w{k}" for k in range(200)]
+    rows = [(k, " ".join([*base[:100], f"x{k}", *base[100:]])) for k in range(80)]
+    plain = j.linked
+
+    def bounded(percent):
+        inner = plain(percent)
+
+        def summed(table):
+            units = len(set(table.column("unit").to_pylist()))
+            if units > 40:
+                raise ValueError(f"{units} block pairs in a bin")
+            return inner(table)
+
+        return summed
+
+    monkeypatch.setattr(j, "linked", bounded)
+    monkeypatch.setattr(j, "BLOCK_SETS", 2)
+    monkeypatch.setattr(j, "BUCKET_UNITS", 8, raising=False)
+    got = j.ngram_components(documents(rows)).collect()
+    assert {(r["component_id"], r["n_links"]) for r in got} == {(0, 79)}
+
+
 def test_one_of_each_component_stays(documents, corpus):
     docs = documents(corpus)
     kept = j.keep_one(docs, 4, 85)

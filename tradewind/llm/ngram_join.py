@@ -47,6 +47,8 @@ BLOCK_SETS = 256
 BLOCK_GRAMS = 500_000
 #: N-grams of a bucket of the head fragment, and of a bin of block pairs.
 BUCKET_GRAMS = 2_000_000
+#: Block pairs of a bin; the matrices of one take up to 1 MB.
+BUCKET_UNITS = 64
 #: Bits of the filter that tells which documents to read again; its size does not grow with the corpus.
 FILTER_BITS = 1 << 23
 BITS = 1 << 15
@@ -348,6 +350,12 @@ def block_pairs(members: DataFrame, percent: int) -> DataFrame:
     return blocked.join(roles, ["cluster", "block"]).drop("block")
 
 
+def bin_count(paired: DataFrame) -> int:
+    """Bins for these members of block pairs, a set counting once for each pair that it is in."""
+    grams, units = paired.agg(F.coalesce(F.sum("n"), F.lit(0)), F.countDistinct("unit")).first()
+    return max(1, -(-grams // BUCKET_GRAMS) * FRAGMENTS, -(-units // BUCKET_UNITS))
+
+
 def _role(block: str, side: int) -> Column:
     return F.struct(F.col(block).alias("block"), F.lit(side).alias("side"))
 
@@ -369,9 +377,8 @@ def ngram_components(documents: DataFrame, size: int = SIZE, percent: int = PERC
         F.col("component").alias("cluster"), "set", "n", F.col(f"first.{ROW_KEY}").alias(ROW_KEY)
     )
     members = written(members, "gram-clusters")
-    paired = block_pairs(members, percent)
-    grams = members.agg(F.sum("n")).first()[0] or 0
-    bins = F.pmod("unit", F.lit(max(1, -(-grams // BUCKET_GRAMS) * FRAGMENTS))).cast("int").alias("bin")
+    paired = written(block_pairs(members, percent), "gram-block-pairs")
+    bins = F.pmod("unit", F.lit(bin_count(paired))).cast("int").alias("bin")
     fragments = set_fragments(documents, members.select(F.col(ROW_KEY).alias("key")), size)
     # A row that repeats in the corpus comes once.
     fragments = fragments.join(members.select(ROW_KEY), ROW_KEY, "left_semi").dropDuplicates([ROW_KEY, "fragment"])
