@@ -131,3 +131,13 @@ def test_headers_with_other_names_are_reported(spark, tmp_path):
         write(tmp_path / f"{name}.csv", body)
     found = [(r.file[-11:], r.header) for r in header_mismatches(spark, str(tmp_path), schema).collect()]
     assert found == [("swapped.csv", "text,id")]
+
+
+def test_delivery_holds_every_language(spark):
+    from types import SimpleNamespace
+
+    from tradewind.bindings.registered import _file_copies
+
+    docs = spark.createDataFrame([("en", "a"), ("de", "b"), ("it", "c\nd"), (None, "e")], "lang string, text string")
+    path = _file_copies(SimpleNamespace(spark=spark, raw=lambda _: docs))
+    assert sorted(r[0] for r in spark.read.text(path).collect()) == ["a", "a", "b", "c", "d", "e"]

@@ -538,8 +538,9 @@ def _file_copies(d: Dirty) -> str:
     """A delivery of text files in three folders; the third repeats the files of the first."""
     path = scratch(d.spark, "copies")
     lines = d.raw("documents").select("lang", F.explode(F.split("text", "\n")).alias("value"))
-    for name, langs in (("part_1", ["en"]), ("part_2", ["de", "es", "fr"]), ("part_3_copy", ["en"])):
-        lines.filter(F.col("lang").isin(langs)).select("value").write.text(f"{path}/{name}")
+    english = F.col("lang").eqNullSafe("en")
+    for name, rows in (("part_1", english), ("part_2", ~english), ("part_3_copy", english)):
+        lines.filter(rows).select("value").write.text(f"{path}/{name}")
     return f"{path}/*"
 
 
