@@ -167,6 +167,19 @@ def test_suffix_tree(spark, docs):
         assert sum(r["score"] for r in own) > sum(r["base_score"] for r in own)
 
 
+def test_token_files(spark, docs):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    got, start = by_id(spark, "op11_token_files"), 0
+    for i in sorted(docs):
+        ids = [*tokenizer.encode(docs[i]["text"] or "", add_special_tokens=False).ids, 2]
+        assert tuple(got[i]) == (i, start, len(ids), zlib.crc32(b"".join(x.to_bytes(4, "little") for x in ids)))
+        start += len(ids)
+    assert got.keys() == docs.keys()
+
+
 def test_pipeline_stage_by_stage(spark, docs):
     frame = spark.read.parquet(f"{FOLDER}/documents.parquet")
     columns, kept = frame.columns, {}

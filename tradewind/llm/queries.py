@@ -5,8 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import chat, decontamination, fingerprints, fixity, mixing, ngram_join, pii, sharding, suffix_tree, toxicity
-from tradewind.llm.shared import ROW_KEY, table
+from tradewind.llm import (
+    chat,
+    decontamination,
+    fingerprints,
+    fixity,
+    mixing,
+    ngram_join,
+    pii,
+    sharding,
+    suffix_tree,
+    token_files,
+    toxicity,
+)
+from tradewind.llm.shared import ROW_KEY, new_folder, table
 
 
 #: What the second replica suffers, by the first digits of the MD5 of a page's id.
@@ -146,6 +158,19 @@ def op10_suffix_tree_score(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_tree.score_documents(table(spark, folder, "documents"), held_out).drop(ROW_KEY)
 
 
+#: The vocabulary file of the token files, and the id that ends a document there.
+VOCABULARY, END_ID = "byte_bpe_50k.json", 2
+
+
+def op11_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    with open(public_tokenizers.path(VOCABULARY), encoding="utf-8") as file:
+        vocabulary = file.read()
+    shards = token_files.write_tokens(table(spark, folder, "documents"), new_folder(spark, "token-files"), vocabulary, END_ID)
+    return token_files.read_documents(shards)
+
+
 QUERIES = {
     "op1_merkle_fixity": op1_merkle_fixity,
     "op2_permutation_sharding": op2_permutation_sharding,
@@ -157,6 +182,7 @@ QUERIES = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_document_fingerprints": op9_document_fingerprints,
     "op10_suffix_tree_score": op10_suffix_tree_score,
+    "op11_token_files": op11_token_files,
 }
 
 ORACLE: dict[str, str] = {

@@ -13,12 +13,16 @@ from tradewind.session import shared_dir, tune
 ROW_KEY = "__tw_row_key"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: computed once, and still there when an executor is lost.
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing else uses.
+
+    Those of an application lie in one folder named by its id, which may go when the application has ended."""
+    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
-    The tables of an application lie in one folder named by its id, which may go when the application has ended."""
-    application = df.sparkSession.sparkContext.applicationId
-    path = f"{shared_dir(df.sparkSession)}/{application}/{name}-{uuid.uuid4().hex}"
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: computed once, and still there when an executor is lost."""
+    path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
