@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tradewind.llm import (
     chat,
     decontamination,
+    divergence,
     fingerprints,
     fixity,
     mixing,
@@ -171,6 +172,10 @@ def op11_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read_documents(shards)
 
 
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_merkle_fixity": op1_merkle_fixity,
     "op2_permutation_sharding": op2_permutation_sharding,
@@ -183,6 +188,7 @@ QUERIES = {
     "op9_document_fingerprints": op9_document_fingerprints,
     "op10_suffix_tree_score": op10_suffix_tree_score,
     "op11_token_files": op11_token_files,
+    "op12_source_divergence": op12_source_divergence,
 }
 
 ORACLE: dict[str, str] = {
@@ -210,4 +216,51 @@ ORACLE: dict[str, str] = {
         UNION ALL
         SELECT page_id, 'extra', start + total, length, '', sha256(record) FROM laid WHERE mark = '02'
     """,
+    "op12_source_divergence": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+            FROM documents
+        ),
+        words AS (
+            SELECT doc, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs
+        ),
+        kept AS (SELECT lang, term, count(*) AS n FROM words GROUP BY ALL HAVING count(DISTINCT doc) >= 10),
+        counts AS (SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+        langs AS (SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY ALL),
+        groups AS (
+            SELECT lang, source, coalesce((SELECT sum(n) FROM counts c WHERE c.lang = g.lang AND c.source = g.source), 0) AS n
+            FROM (SELECT DISTINCT lang, source FROM docs) g
+        ),
+        shares AS (
+            SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+                   1 + CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 2) // CAST(g.n + 2 * l.v AS HUGEINT) AS p,
+                   1 + CAST(1000000000 AS HUGEINT) * (k.n + 2) // CAST(l.n + 2 * l.v AS HUGEINT) AS q
+            FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang)
+            LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+        ),
+        pairs AS (
+            SELECT g.lang, g.source, h.source AS item, coalesce((
+                SELECT sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p))
+                FROM shares a JOIN shares b USING (lang, term)
+                WHERE a.lang = g.lang AND a.source = g.source AND b.source = h.source
+            ), 0) AS value
+            FROM groups g JOIN groups h ON g.lang = h.lang AND g.source <> h.source
+        ),
+        terms AS (
+            SELECT lang, source, term AS item, (p - q) * (p - q) // (p + q) AS value FROM shares WHERE n > 0 AND p > q
+        ),
+        ranked AS (
+            SELECT lang, source, 'pair' AS part, item, value,
+                   row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank
+            FROM pairs
+            UNION ALL
+            SELECT * FROM (
+                SELECT lang, source, 'term', item, value,
+                       row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank
+                FROM terms
+            ) WHERE rank <= 10
+        )
+        SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked
+    """,
 }
