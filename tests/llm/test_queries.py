@@ -10,9 +10,11 @@ from collections import Counter, defaultdict
 import duckdb
 import pytest
 import xxhash
+from test_divergence import brute as brute_divergence
 from test_models import BruteTree, tokens_of
 from test_native import brute_targets, sets_of
 from test_search_and_join import brute_hits, brute_join
+from test_spelling import brute_variants
 
 import corpus_pipeline
 from tradewind.llm import ngram_join, pii, sharding, suffix_tree, toxicity
@@ -180,6 +182,18 @@ def test_token_files(spark, docs):
     assert got.keys() == docs.keys()
 
 
+def test_source_divergence(spark, docs):
+    rows = [(r["lang"], r["source"], r["text"]) for r in docs.values()]
+    got = {tuple(r) for r in QUERIES["op12_source_divergence"](spark, FOLDER).collect()}
+    assert got == brute_divergence(rows, 10, 10)
+
+
+def test_spelling_variants(spark, docs):
+    got = [tuple(r) for r in QUERIES["op13_spelling_variants"](spark, FOLDER).collect()]
+    want = brute_variants([(i, r["text"]) for i, r in docs.items()])
+    assert len(got) > 100 and sorted(got) == sorted(want)
+
+
 def test_pipeline_stage_by_stage(spark, docs):
     frame = spark.read.parquet(f"{FOLDER}/documents.parquet")
     columns, kept = frame.columns, {}

@@ -15,6 +15,7 @@ from tradewind.llm import (
     ngram_join,
     pii,
     sharding,
+    spelling,
     suffix_tree,
     token_files,
     toxicity,
@@ -176,6 +177,10 @@ def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audit(table(spark, folder, "documents"))
 
 
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(spelling.word_counts(table(spark, folder, "documents")))
+
+
 QUERIES = {
     "op1_merkle_fixity": op1_merkle_fixity,
     "op2_permutation_sharding": op2_permutation_sharding,
@@ -189,6 +194,7 @@ QUERIES = {
     "op10_suffix_tree_score": op10_suffix_tree_score,
     "op11_token_files": op11_token_files,
     "op12_source_divergence": op12_source_divergence,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLE: dict[str, str] = {
