@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tradewind.llm import divergence, runs
+from tradewind.llm import divergence
 
 TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 LOWER = {a: a + 32 for a in range(65, 91)}
@@ -80,9 +80,8 @@ def test_documents_of_a_text_in_pieces():
     expected = Counter(t for x in texts for t in set(terms_of(x)))
     for size in (8, 50, 1 << 20):
         counts, documents = Counter(), Counter()
-        original = runs.pieces
         with pytest.MonkeyPatch.context() as patch:
-            patch.setattr(divergence, "pieces", lambda at, cuts, size=size: original(at, cuts, size))
+            patch.setattr(divergence, "PIECE", size)
             for terms, _, code, n, new in divergence.document_terms(pa.array(texts, pa.string())):
                 for c, k, fresh in zip(code, n, new, strict=True):
                     term = terms[int(c)].as_py().decode()

@@ -45,9 +45,11 @@ from tradewind.llm.words import text_buffers
 LEAST = 10
 #: Terms listed for each group.
 TERMS = 10
-#: Rows of counts held in a task before they are added up, and items of paths made into a tree at a time.
-HELD = 1 << 20
-ITEMS = 1 << 20
+#: Bytes of text worked on at a time, rows of counts held in a task before they are added up, and items of paths made
+#: into a tree at a time.
+PIECE = 1 << 20
+HELD = 1 << 18
+ITEMS = 1 << 18
 
 COUNTS_AS = letter_table(np.r_[0x00:0x41, 0x5B:0x61, 0x7B:0x80])
 
@@ -62,7 +64,7 @@ def document_terms(texts: pa.Array) -> Iterator[tuple[pa.Array, np.ndarray, np.n
         return found[found > low]
 
     before: tuple[int, list] = (-1, [])  # a text that goes on, and its terms so far
-    for low, high in pieces(at, cuts):
+    for low, high in pieces(at, cuts, PIECE):
         key = COUNTS_AS[data[low:high]]
         inside = key != 0
         start, stop = spans(inside, at[(at > low) & (at < high)] - low)
@@ -115,6 +117,7 @@ def term_counts(documents: DataFrame) -> DataFrame:
                     held = [added(held)]
                     if len(held[0]) > HELD // 2:
                         yield from out(held.pop())
+                    pa.default_memory_pool().release_unused()
         if held:
             yield from out(added(held))
 
