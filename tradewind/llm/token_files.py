@@ -18,9 +18,10 @@ files of lost or repeated tasks are never read.
 
 Texts are encoded by the tokenizers library. A byte-level vocabulary with the usual
 pattern cuts a text before every single space between two visible characters,
-whatever else stands around it. So such texts are cut there, the distinct pieces of
-some megabytes are encoded once each, and ids are put together; a very long text is
-never held as encodings. With any other vocabulary whole texts are encoded.
+whatever else stands around it. So such texts are cut there, distinct pieces are
+encoded once, many in one text, and told apart again by the bytes of their tokens;
+ids are then put together for every text, and a very long text is never held as
+encodings. With any other vocabulary whole texts are encoded.
 
 Null and empty texts are one end id. An empty table gives no shard. Strings of
 special tokens inside a text are ordinary text. Other columns are not read.
@@ -33,7 +34,6 @@ import json
 import os
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +49,8 @@ from tradewind.llm.words import text_buffers
 SHARD_BYTES = 32 << 20
 #: Whole texts of other vocabularies encoded at a time, in bytes.
 BATCH_BYTES = 1 << 20
+#: Distinct pieces whose ids a worker remembers, some 110 MB.
+KNOWN = 600_000
 #: Token ids read at a time.
 READ_TOKENS = 1 << 20
 
@@ -63,34 +65,58 @@ TWO_BYTES = np.zeros(256, bool)
 TWO_BYTES[0xC3:0xE0] = True
 
 
-def cuts(data: np.ndarray, low: int, high: int) -> np.ndarray:
-    """Places of single spaces between two visible characters: a piece of the pattern begins at each."""
-    part = data[low:high]
+def cuts(part: np.ndarray) -> np.ndarray:
+    """Which bytes are single spaces between two visible characters: a piece of the pattern begins at each."""
     before = VISIBLE[part]
     before[1:] |= TWO_BYTES[part[:-1]] & (part[1:] >= 0x80)
-    after = VISIBLE[part] | TWO_BYTES[part]
     here = part == 0x20
-    here[0] = False
-    here[1:] &= before[:-1]
-    here[:-1] &= after[1:]
-    here[-1] = False
-    return np.flatnonzero(here) + low
+    here[:1] = False
+    here[-1:] = False
+    here[1:-1] &= before[:-2] & (VISIBLE[part[2:]] | TWO_BYTES[part[2:]])
+    return here
 
 
-@dataclass
 class Encoder:
     """A vocabulary, what its ids are stored as, and whether texts may be cut at spaces."""
 
-    tokenizer: object
-    end_id: int
-    dtype: np.dtype
-    cuttable: bool
-
-    def ids(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, how many each has)."""
-        found = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter((i for x in found for i in x), self.dtype, int(lengths.sum())), lengths
+    def __init__(self, tokenizer, end_id: int, cuttable: bool) -> None:
+        self.tokenizer, self.end_id, self.cuttable = tokenizer, end_id, cuttable
+        vocabulary = tokenizer.get_vocab()
+        largest = max(end_id, *vocabulary.values())
+        self.dtype = np.dtype("<u2" if largest < 1 << 16 else "<u4")
+        # Byte-level tokens are written with one character for each byte.
+        self.bytes = np.zeros(largest + 1, np.int64)
+        self.bytes[list(vocabulary.values())] = [len(x) for x in vocabulary]
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.first, self.length, self.ids = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, self.dtype)
+
+    def encoded(self, pieces: list[bytes], joined: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all pieces, how many each has). The first ``joined`` may stand behind one another in one text."""
+        texts = [b"".join(pieces[:joined]), *pieces[joined:]]
+        found = [x.ids for x in self.tokenizer.encode_batch_fast([x.decode() for x in texts], add_special_tokens=False)]
+        one = np.array(found[0], np.int64)
+        ends = np.cumsum(np.fromiter(map(len, pieces[:joined]), np.int64, joined))
+        until = np.r_[0, np.searchsorted(np.cumsum(self.bytes[one]), ends) + 1] if joined else np.zeros(1, np.int64)
+        rest = [np.array(x, np.int64) for x in found[1:]]
+        length = np.r_[np.diff(until), np.fromiter(map(len, rest), np.int64, len(rest))]
+        return np.concatenate([one, *rest]).astype(self.dtype), length
+
+    def places(self, distinct: list[bytes], joinable: np.ndarray) -> np.ndarray:
+        """Where the ids of distinct pieces are among those known, the new ones being encoded."""
+        if len(self.known) > KNOWN or not self.cuttable:
+            self.forget()
+        new = np.array([k for k, x in enumerate(distinct) if x not in self.known], np.int64)
+        if len(new):
+            fit = joinable[new]
+            pieces = [distinct[k] for k in np.r_[new[fit], new[~fit]].tolist()]
+            ids, length = self.encoded(pieces, int(fit.sum()))
+            self.known.update(zip(pieces, range(len(self.known), len(self.known) + len(new)), strict=True))
+            self.first = np.r_[self.first, len(self.ids) + np.cumsum(length) - length]
+            self.length, self.ids = np.r_[self.length, length], np.r_[self.ids, ids]
+        return np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
 
     def stream(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """The texts in parts: (ids with the end id of each text that ends there, places right behind the end ids)."""
@@ -98,21 +124,26 @@ class Encoder:
         ended = 0
 
         def places(low: int, high: int) -> np.ndarray:
-            return cuts(data, low, high) if self.cuttable else np.empty(0, np.int64)
+            return np.flatnonzero(cuts(data[low:high])) + low if self.cuttable else np.empty(0, np.int64)
 
         for low, high in pieces(at, places, PIECE if self.cuttable else BATCH_BYTES):
-            starts = np.unique(np.r_[low, at[(at > low) & (at < high)], places(low, high)])
-            code, distinct = dictionary(binary(data[low:high], np.r_[starts, high] - low))
-            ids, lengths = self.ids(distinct.cast(pa.string()).to_pylist())
-            first = np.cumsum(lengths) - lengths
-            size = lengths[code]
+            cut = cuts(data[low:high]) if self.cuttable else np.zeros(high - low, bool)
+            begins = cut.copy()
+            begins[np.r_[low, at[(at > low) & (at < high)]] - low] = True
+            starts = np.flatnonzero(begins)
+            code, distinct = dictionary(binary(data[low:high], np.r_[starts, high - low]))
+            inner = cut[starts] & np.r_[cut[starts[1:]], False]
+            joinable = np.zeros(len(distinct), bool)
+            joinable[code[inner]] = True
+            known = self.places(distinct.to_pylist(), joinable)[code]
+            size = self.length[known]
             total = np.cumsum(size)
-            place = np.repeat(first[code] - (total - size), size) + np.arange(int(size.sum()))
+            place = np.repeat(self.first[known] - (total - size), size) + np.arange(int(size.sum()))
             # Texts that end here, empty ones included, get their end id behind their last piece.
             until = int(np.searchsorted(at[1:], high, "right"))
-            behind = np.r_[0, total][np.searchsorted(starts, at[ended + 1 : until + 1])]
+            behind = np.r_[0, total][np.searchsorted(starts, at[ended + 1 : until + 1] - low)]
             yield (
-                np.insert(ids[place], behind, self.dtype.type(self.end_id)),
+                np.insert(self.ids[place], behind, self.dtype.type(self.end_id)),
                 behind + np.arange(1, until - ended + 1),
             )
             ended = until
@@ -140,8 +171,7 @@ def encoder(vocabulary: str, end_id: int) -> Encoder:
         and said.get("normalizer") is None
         and all(x["special"] for x in said.get("added_tokens", []))
     )
-    largest = max(end_id, *tokenizer.get_vocab().values())
-    return Encoder(tokenizer, end_id, np.dtype("<u2" if largest < 1 << 16 else "<u4"), cuttable)
+    return Encoder(tokenizer, end_id, cuttable)
 
 
 def mapped(path: str, kind: str) -> np.ndarray:
