@@ -8,12 +8,16 @@ from pyspark.sql import types as T
 
 from ..schemas import raw_schema
 from .duplicates import lines_of
+from .records import read_records
 
 _BAD = "_malformed"
 
 
-def _parse(spark: SparkSession, path: str | list[str], schema: T.StructType, multi_line: bool) -> DataFrame:
+def _parse(spark: SparkSession, path: str | list[str], schema: T.StructType, multi_line: bool, repair: bool) -> DataFrame:
     with_bad = T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())])
+    if multi_line:
+        # Spark's own reader would need whole files per task.
+        return _parse_records(read_records(spark, path, repair), "record", with_bad)
     reader = (
         spark.read.schema(with_bad)
         .option("header", True)
@@ -26,10 +30,14 @@ def _parse(spark: SparkSession, path: str | list[str], schema: T.StructType, mul
         .option("columnPruning", False)
         .option("enforceSchema", True)
     )
-    # Newlines inside quotes need whole files per task; files without them
-    # stay splittable.
-    reader = reader.option("multiLine", True) if multi_line else reader.option("lineSep", "\n")
-    return reader.csv(path)
+    return reader.option("lineSep", "\n").csv(path)
+
+
+def _parse_records(records: DataFrame, column: str, schema: T.StructType, *kept: str) -> DataFrame:
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    options = {"escape": '"', "nullValue": "\\N", "columnNameOfCorruptRecord": _BAD, "multiLine": "true"}
+    text = F.regexp_replace(F.col(column), "\r\\z", "")
+    return records.select(*kept, F.from_csv(text, ddl, options).alias("r")).select(*kept, "r.*")
 
 
 def _split(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -61,36 +69,39 @@ def read_staging(
     path: str | list[str],
     table: str | T.StructType,
     multi_line: bool = False,
+    repair: bool = False,
 ) -> DataFrame:
     """Text columns of a headered, comma-separated, optionally quoted CSV.
 
     Values are not changed, except that a carriage return before the line end
     is not part of the last column. Lines with a wrong number of fields are
-    left to `read_malformed`.
+    left to `read_malformed`. ``multi_line`` takes line ends inside quotes as
+    part of a value, and ``repair`` then reads lines that are no UTF-8 as
+    `encoding.repair_text` does; files stay splittable either way.
     """
     schema = raw_schema(table) if isinstance(table, str) else table
-    parsed, _ = _split(_parse(spark, path, schema, multi_line))
+    parsed, _ = _split(_parse(spark, path, schema, multi_line, repair))
     last = schema.fieldNames()[-1]
     return parsed.select(*schema.fieldNames()[:-1], F.regexp_replace(last, "\r$", "").alias(last))
 
 
 def read_malformed(
-    spark: SparkSession, path: str | list[str], table: str | T.StructType, multi_line: bool = False
+    spark: SparkSession,
+    path: str | list[str],
+    table: str | T.StructType,
+    multi_line: bool = False,
+    repair: bool = False,
 ) -> DataFrame:
     """The lines `read_staging` leaves out, as text, with a reason."""
     schema = raw_schema(table) if isinstance(table, str) else table
-    _, bad = _split(_parse(spark, path, schema, multi_line))
+    _, bad = _split(_parse(spark, path, schema, multi_line, repair))
     return bad.select(F.col(_BAD).alias("line"), F.lit("wrong number of fields").alias("reject_reason"))
 
 
 def parse_lines(lines: DataFrame, column: str, table: str | T.StructType) -> tuple[DataFrame, DataFrame]:
-    """(rows, malformed) of single-line records that already are a column, such as repaired lines."""
+    """(rows, malformed) of records that already are a column, such as repaired lines or `records.read_records`."""
     schema = raw_schema(table) if isinstance(table, str) else table
-    with_bad = T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())])
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in with_bad)
-    options = {"escape": '"', "nullValue": "\\N", "columnNameOfCorruptRecord": _BAD}
-    text = F.regexp_replace(F.col(column), "\r$", "")
-    parsed = lines.select(F.from_csv(text, ddl, options).alias("r")).select("r.*")
+    parsed = _parse_records(lines, column, T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())]))
     good = parsed.filter(F.col(_BAD).isNull()).drop(_BAD)
     bad = parsed.filter(F.col(_BAD).isNotNull()).select(
         F.col(_BAD).alias("line"), F.lit("wrong number of fields").alias("reject_reason")
