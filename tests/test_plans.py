@@ -219,9 +219,9 @@ def test_market_basket_with_large_baskets(spark, seed):
     data = [(str(n), p, "s", 1) for n, b in enumerate(baskets) for p in b for _ in range(pick.choice([1, 1, 2]))]
     i = items(spark, *data)
     for n in (3, 10):
-        for block in (3, 1000):
-            got = [tuple(r) for r in joins.market_basket(i, n=n, block=block).collect()]
-            assert got == brute_baskets(baskets, n), (n, block)
+        for block, first in ((3, 256), (1000, 4)):
+            got = [tuple(r) for r in joins.market_basket(i, n=n, block=block, first=first).collect()]
+            assert got == brute_baskets(baskets, n), (n, block, first)
 
 
 def test_market_basket_does_not_pair_within_a_huge_basket(spark):
@@ -232,6 +232,35 @@ def test_market_basket_does_not_pair_within_a_huge_basket(spark):
     assert got == [("p1", "p2", 3), ("p5", "p7", 2)]
 
 
+def test_market_basket_pairs_only_products_that_can_be_in_the_list(spark):
+    """A few products are in most orders; a bound from them spares the pairs of all others, ties at the border included."""
+    pick = random.Random(3)
+    often, seldom = [f"a{n}" for n in range(12)], [f"z{n:03}" for n in range(400)]
+    baskets = [{*pick.sample(often, 5), *pick.sample(seldom, 6)} for _ in range(300)]
+    bought = spark.createDataFrame([(n, p) for n, b in enumerate(baskets) for p in b], "order_id long, product_id string")
+    products, kept, bound = joins.candidate_products(bought, 2, 20, first=16)
+    assert kept == products.count() == 12 and bound == brute_baskets(baskets, 20)[-1][2]
+    every = joins.basket_pairs(bought).count()
+    assert every == sum(len(b) * (len(b) - 1) // 2 for b in baskets)
+    assert joins.basket_pairs(bought.join(products, "product_id", "left_semi")).count() < every / 4
+    assert [tuple(r) for r in joins.market_basket(bought, n=20, first=16).collect()] == brute_baskets(baskets, 20)
+
+
+def test_market_basket_spreads_a_large_order(spark):
+    """Two orders of the same 3,000 products: no task makes more than a part of their pairs."""
+    wide = spark.range(3_000).crossJoin(spark.range(2).toDF("order_id")).select("order_id", F.col("id").alias("product_id"))
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        pairs = joins.basket_pairs(wide, block=200)
+        made = [r["n"] for r in pairs.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert sum(made) == 2 * 3000 * 2999 // 2 and len(made) == 4 and max(made) < sum(made) / 2
+    got = joins.market_basket(wide.where("product_id < 1000"), n=3, block=100).collect()
+    assert [tuple(r) for r in got] == [(0, 1, 2), (0, 2, 2), (0, 3, 2)]
+
+
 def test_market_basket_with_many_overlapping_baskets(spark):
     pick = random.Random(1)
     names = [f"p{n:03}" for n in range(60)]

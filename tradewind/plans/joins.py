@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from decimal import Decimal
 from functools import reduce
@@ -23,8 +24,11 @@ TOP_DELAYS = 50
 LATEST_ROWS = 100
 MIN_SUPPORT = 2
 
-# Products of a basket that meet in one block.
+# Products of a basket that meet in one block, products that the first bound of
+# the pair counts comes from, and the most that are broadcast (their ids only).
 BASKET_BLOCK = 1000
+FIRST_PRODUCTS = 256
+BROADCAST_PRODUCTS = 200_000
 
 
 def conflicting_identities(
@@ -229,26 +233,25 @@ def _most_frequent(pairs: DataFrame, min_support: int, n: int) -> DataFrame:
     )
 
 
-def market_basket(
-    order_items: DataFrame,
-    min_support: int = MIN_SUPPORT,
-    n: int = TOP_PAIRS,
-    block: int = BASKET_BLOCK,
-) -> DataFrame:
-    """The ``n`` pairs of products found together in the most orders.
+def basket_pairs(bought: DataFrame, block: int = BASKET_BLOCK, longest: int | None = None) -> DataFrame:
+    """(product_a, product_b) of every two products of an order, once for each order; (order_id, product_id) may repeat.
 
-    Products in fewer than ``min_support`` orders are in no pair that counts and
-    go first. A basket's products are dealt to blocks of about ``block``, and
-    each block meets each other one (and itself) under a key of its own, so a
-    large basket is spread over many tasks. The pairs of a basket are counted
-    one by one: their number is quadratic in its products with support.
+    Orders of up to ``block`` rows are paired as they stand. The products of
+    larger ones, where there are any, are dealt to blocks of about ``block``,
+    and each block meets each other one (and itself) under a key of its own, so
+    such an order is spread over many tasks. ``longest``: the products that an
+    order can have at most, if known.
     """
-    bought = order_items.select("order_id", "product_id").dropna().repartition("order_id").distinct()
-    supported = bought.groupBy("product_id").agg(F.count(F.lit(1)).alias("_orders")).filter(F.col("_orders") >= min_support)
-    bought = bought.join(supported.select("product_id"), "product_id", "left_semi")
-    size = F.count(F.lit(1)).over(Window.partitionBy("order_id"))
-    last = F.floor((size - 1) / block)
-    dealt = bought.withColumn("_last", last).withColumn("_block", F.pmod(F.xxhash64("product_id"), F.col("_last") + 1))
+    if longest is not None and longest <= block:
+        return _pairs_within(bought)
+    size = bought.groupBy("order_id").agg(F.count(F.lit(1)).alias("_size")).filter(F.col("_size") > block)
+    size = checkpointed(size)
+    if size.isEmpty():
+        return _pairs_within(bought)
+    regular = _pairs_within(bought.join(size.select("order_id"), "order_id", "left_anti"))
+    last = F.floor((F.col("_size") - 1) / block)
+    dealt = bought.join(size, "order_id").distinct().withColumn("_last", last)
+    dealt = dealt.withColumn("_block", F.pmod(F.xxhash64("product_id"), F.col("_last") + 1))
     low = dealt.select(
         "order_id", F.col("product_id").alias("_one"), F.col("_block").alias("_low"), F.explode(F.sequence("_block", "_last")).alias("_high")
     )
@@ -256,11 +259,75 @@ def market_basket(
         "order_id", F.col("product_id").alias("_two"), F.explode(F.sequence(F.lit(0).cast("bigint"), "_block")).alias("_low"),
         F.col("_block").alias("_high"),
     )
-    pairs = low.join(high, ["order_id", "_low", "_high"]).filter((F.col("_low") < F.col("_high")) | (F.col("_one") < F.col("_two")))
-    counted = pairs.groupBy(
-        F.least("_one", "_two").alias("product_a"), F.greatest("_one", "_two").alias("product_b")
-    ).agg(F.count(F.lit(1)).alias("orders"))
-    return _most_frequent(counted, min_support, n)
+    large = low.join(high, ["order_id", "_low", "_high"]).filter((F.col("_low") < F.col("_high")) | (F.col("_one") < F.col("_two")))
+    return regular.union(large.select(F.least("_one", "_two"), F.greatest("_one", "_two")))
+
+
+def _pairs_within(bought: DataFrame) -> DataFrame:
+    """Pairs of orders whose products fit a row."""
+    baskets = bought.groupBy("order_id").agg(F.array_sort(F.collect_set("product_id")).alias("_basket"))
+    placed = baskets.filter(F.size("_basket") > 1).select("_basket", F.posexplode("_basket").alias("_place", "product_a"))
+    rest = F.slice("_basket", F.col("_place") + 2, F.size("_basket"))
+    return placed.select("product_a", F.explode(rest).alias("product_b"))
+
+
+def pair_counts(bought: DataFrame, block: int = BASKET_BLOCK, longest: int | None = None) -> DataFrame:
+    return basket_pairs(bought, block, longest).groupBy("product_a", "product_b").agg(F.count(F.lit(1)).alias("orders"))
+
+
+def candidate_products(
+    bought: DataFrame, min_support: int, n: int, block: int = BASKET_BLOCK, first: int = FIRST_PRODUCTS
+) -> tuple[DataFrame, int, int]:
+    """(products, how many, bound): all that can be in one of the ``n`` most frequent pairs, which have ``bound`` orders at least.
+
+    A pair has no more orders than either product has rows. The n-th best pair
+    among the ``first`` most frequent products is a bound for the n-th best of
+    all, and products with fewer rows go. Where that leaves less than half, the
+    bound is raised with eight times as many products, until it stands still.
+    The search is spared where the most frequent products, bought
+    independently, would meet less than once.
+    """
+    rows = F.count(F.lit(1)).alias("_rows")
+    several = F.min("order_id") < F.max("order_id") if min_support > 1 else F.lit(True)
+    frequency = checkpointed(
+        bought.groupBy("product_id").agg(rows, several.alias("_several")).filter("_several").filter(F.col("_rows") >= min_support)
+    )
+    often = frequency.orderBy(F.col("_rows").desc()).limit(math.isqrt(2 * n) + 1).agg(F.min("_rows")).scalar()
+    kept, total, often = frequency.agg(F.count(F.lit(1)), F.sum("_rows"), F.max(often)).first()
+    bound = min_support
+    if not kept or often * often < total:
+        return frequency.select("product_id"), kept, bound
+    while kept > first:
+        most = frequency.orderBy(F.col("_rows").desc(), "product_id").limit(first).select("product_id")
+        found = pair_counts(bought.join(F.broadcast(most), "product_id", "left_semi"), block, first)
+        best = found.filter(F.col("orders") > bound).orderBy(F.col("orders").desc()).limit(n)
+        seen = best.agg(F.count(F.lit(1)).alias("n"), F.min("orders").alias("least")).first()
+        if seen["n"] < n:
+            break
+        bound, before = seen["least"], kept
+        kept = frequency.filter(F.col("_rows") >= bound).count()
+        if 2 * kept > before:
+            break
+        first *= 8
+    return frequency.filter(F.col("_rows") >= bound).select("product_id"), kept, bound
+
+
+def market_basket(
+    order_items: DataFrame,
+    min_support: int = MIN_SUPPORT,
+    n: int = TOP_PAIRS,
+    block: int = BASKET_BLOCK,
+    first: int = FIRST_PRODUCTS,
+) -> DataFrame:
+    """The ``n`` pairs of products found together in the most orders, ties by product.
+
+    Only products that `candidate_products` leaves are paired. No order is bound
+    to one task; a table laid out by order is paired without moving its rows.
+    """
+    bought = order_items.select("order_id", "product_id").dropna()
+    products, kept, bound = candidate_products(bought, min_support, n, block, first)
+    known = F.broadcast(products) if kept <= BROADCAST_PRODUCTS else products
+    return _most_frequent(pair_counts(bought.join(known, "product_id", "left_semi"), block, kept), bound, n)
 
 
 def shipping_delays(
