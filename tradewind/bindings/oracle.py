@@ -92,6 +92,43 @@ SELECT p_partkey AS product_id,
        CASE WHEN p_brand NOT IN ('Brand#4', 'Brand#5', 'Brand#11') THEN p_brand END AS category_id
 FROM part"""
 
+ORACLE["delete_over_references"] = """
+WITH gone AS (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P'),
+sizes AS (
+    SELECT (SELECT count(*) FROM customer) AS customers, (SELECT count(*) FROM orders) AS orders,
+           (SELECT count(*) FROM lineitem) AS order_items, (SELECT count(*) FROM labels) AS order_reviews,
+           (SELECT count(*) FROM part) AS products, (SELECT count(DISTINCT p_brand) FROM part) AS categories,
+           (SELECT count(*) FROM part WHERE p_brand IS NULL) AS without
+),
+every AS (
+    SELECT deleted, unnest([
+        {'t': 'customers', 's': 'left', 'n': customers}, {'t': 'orders', 's': 'left', 'n': orders},
+        {'t': 'order_items', 's': 'left', 'n': order_items}, {'t': 'order_payments', 's': 'left', 'n': orders},
+        {'t': 'order_reviews', 's': 'left', 'n': order_reviews}, {'t': 'products', 's': 'left', 'n': products},
+        {'t': 'product_category', 's': 'left', 'n': categories}, {'t': 'products', 's': 'without category', 'n': without}
+    ]) AS r
+    FROM sizes, (VALUES ('customers'), ('orders'), ('product_category')) d(deleted)
+),
+less AS (
+    SELECT 'orders' AS deleted, 'orders' AS t, 'left' AS s, (SELECT count(*) FROM gone) AS n
+    UNION ALL SELECT 'orders', 'order_payments', 'left', (SELECT count(*) FROM gone)
+    UNION ALL SELECT 'orders', 'order_items', 'left', (SELECT count(*) FROM lineitem WHERE l_orderkey IN (FROM gone))
+    UNION ALL SELECT 'orders', 'order_reviews', 'left', (SELECT count(*) FROM labels WHERE doc_id IN (FROM gone))
+    UNION ALL SELECT 'product_category', 'product_category', 'left',
+                     (SELECT count(DISTINCT p_brand) FROM part WHERE p_brand IN ('Brand#4', 'Brand#5', 'Brand#11'))
+    UNION ALL SELECT 'product_category', 'products', 'without category',
+                     -(SELECT count(*) FROM part WHERE p_brand IN ('Brand#4', 'Brand#5', 'Brand#11'))
+)
+SELECT deleted, r.t AS "table", r.s AS state, r.n - coalesce(less.n, 0) AS cnt
+FROM every LEFT JOIN less USING (deleted) WHERE (less.t = r.t AND less.s = r.s) OR less.t IS NULL
+UNION ALL
+SELECT deleted, r.t, r.s, r.n FROM every e
+WHERE EXISTS (FROM less WHERE less.deleted = e.deleted)
+  AND NOT EXISTS (FROM less WHERE less.deleted = e.deleted AND less.t = e.r.t AND less.s = e.r.s)
+UNION ALL
+SELECT 'customers', 'orders', 'blocked by customer_id', count(*)
+FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_nationkey = 3 HAVING count(*) > 0"""
+
 ORACLE["update_from_subquery"] = """
 SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name,
        CAST(CASE WHEN n_name IN ('NATION_3', 'NATION_4', 'NATION_5') THEN (SELECT max(n_nationkey) FROM nation)
@@ -118,6 +155,13 @@ SELECT row_number() OVER (ORDER BY c_name) AS id, c_name AS customer_unique_id F
 UNION ALL
 SELECT count(*), 'events:1:' || count(*) FROM events"""
 
+ORACLE["surrogate_key_over_loads"] = """
+WITH first AS (SELECT DISTINCT p_name FROM part WHERE p_partkey % 3 = 0),
+later AS (SELECT DISTINCT p_name FROM part WHERE p_name NOT IN (SELECT p_name FROM first))
+SELECT row_number() OVER (ORDER BY p_name) AS name_id, p_name FROM first
+UNION ALL
+SELECT (SELECT count(*) FROM first) + row_number() OVER (ORDER BY p_name), p_name FROM later"""
+
 ORACLE["dedup_keep_last"] = """
 SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_shipdate, l_partkey, l_suppkey FROM (
     SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber

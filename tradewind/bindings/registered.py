@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import blank_to_null
-from ..operators import changes, constraints
+from ..operators import changes, constraints, referential
 from ..operators.gated import gated_append, read_published
-from ..operators.keys import keep_last, with_surrogate_key
+from ..operators.keys import extend_key_map, keep_last, with_surrogate_key
 from ..plans import aggregates, cleaning, dictionary, discount, joins, quality, subqueries, windows
 from ..session import shared_dir, tune
 from ..sources import tables
@@ -254,6 +254,32 @@ def propagate_delete_set_null(d: Dirty) -> DataFrame:
     )
 
 
+@registered("delete_over_references")
+def delete_over_references(d: Dirty) -> DataFrame:
+    """Three deletes over all tables: customers (their orders stand in the way), orders, and categories."""
+    sold = {
+        "customers": d.customers, "orders": d.orders, "order_items": d.order_items, "order_payments": d.order_payments,
+        "order_reviews": d.order_reviews, "products": d.products(), "product_category": d.categories,
+    }
+    deletes = {
+        "customers": d.customers.filter(F.col("customer_state") == 3).select("customer_id"),
+        "orders": _deleted_orders(d).select("order_id"),
+        "product_category": d.categories.filter(F.col("category_name").isin(*NEVER)).select("category_id"),
+    }
+    results = []
+    for table, keys in deletes.items():
+        done = referential.delete_over_references(sold, table, keys)
+        ties = done.blockers.select("table", F.concat(F.lit("blocked by "), "column").alias("state"), F.col("blocking_rows").alias("cnt"))
+        left = [
+            df.agg(F.count(F.lit(1)).alias("cnt")).select(F.lit(name).alias("table"), F.lit("left").alias("state"), "cnt")
+            for name, df in done.tables.items()
+        ]
+        cleared = done.tables["products"].agg(F.count_if(F.col("category_id").isNull()).alias("cnt"))
+        left.append(cleared.select(F.lit("products").alias("table"), F.lit("without category").alias("state"), "cnt"))
+        results += [x.select(F.lit(table).alias("deleted"), "table", "state", "cnt") for x in (ties, *left)]
+    return reduce(DataFrame.unionByName, results)
+
+
 @registered("update_from_subquery")
 def update_from_subquery(d: Dirty) -> DataFrame:
     nation = d.raw("nation").select("n_nationkey", "n_name", "n_regionkey")
@@ -297,6 +323,16 @@ def surrogate_key(d: Dirty) -> DataFrame:
     )
 
 
+@registered("surrogate_key_over_loads")
+def surrogate_key_over_loads(d: Dirty) -> DataFrame:
+    """Part names numbered over two loads, the second one run twice; the second has all names, the first a third of the parts."""
+    root, parts = scratch(d.spark, "keys"), d.raw("part")
+    first = parts.filter(F.col("p_partkey") % 3 == 0)
+    for batch, rows in (("1", first), ("2", parts), ("2", parts)):
+        known = extend_key_map(rows, root, "part_name", batch, "p_name", "name_id")
+    return known
+
+
 @registered("dedup_keep_last")
 def dedup_keep_last(d: Dirty) -> DataFrame:
     lines = d.raw("lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey")

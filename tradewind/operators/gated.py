@@ -37,6 +37,20 @@ def read_published(spark: SparkSession, root: str, table: str) -> DataFrame:
     return rows.join(visible, "batch", "left_semi").drop("batch")
 
 
+def publish(spark: SparkSession, root: str, batch_id: str) -> None:
+    """Makes a written batch visible."""
+    row = spark.createDataFrame([(_label(batch_id),)], "batch string")
+    row.coalesce(1).write.mode("append").json(f"{root}/{_PUBLISHED}")
+
+
+def is_published(spark: SparkSession, root: str, batch_id: str) -> bool:
+    return not published_batches(spark, root).filter(F.col("batch") == _label(batch_id)).isEmpty()
+
+
+def batch_folder(root: str, table: str, batch_id: str) -> str:
+    return f"{root}/{table}/batch={_label(batch_id)}"
+
+
 def gated_append(
     batch: Mapping[str, DataFrame],
     existing: Mapping[str, DataFrame],
@@ -53,7 +67,7 @@ def gated_append(
     """
     stored = {}
     for name, df in batch.items():
-        folder = f"{root}/{name}/batch={_label(batch_id)}"
+        folder = batch_folder(root, name, batch_id)
         df.write.mode("overwrite").parquet(folder)
         stored[name] = df.sparkSession.read.schema(df.schema).parquet(folder)
     batch = stored
@@ -75,9 +89,7 @@ def gated_append(
     total = findings.agg(F.sum("violations").alias("n")).first()["n"]
     accepted = total == 0
     if accepted:
-        spark.createDataFrame([(_label(batch_id),)], "batch string").coalesce(1).write.mode("append").json(
-            f"{root}/{_PUBLISHED}"
-        )
+        publish(spark, root, batch_id)
     return findings.withColumn("accepted", F.lit(accepted))
 
 

@@ -28,7 +28,7 @@ from ..functions.text import blank_to_null, category_name, fold, has_text, lower
 from ..functions.times import DAY_FIRST, YEAR_FIRST, parse_timestamp
 from ..operators.changes import fill_defaults
 from ..operators.constraints import violates
-from ..operators.keys import with_surrogate_key
+from ..operators.keys import extend_key_map, with_surrogate_key
 from ..schemas import TABLES
 from ..session import checkpointed
 from ..sources.tables import write_table
@@ -147,9 +147,8 @@ def clean_category_lookup(stg_products: DataFrame) -> DataFrame:
     Names that differ only in case, accents or trailing blanks are one
     category, spelled as the first of them in sort order.
     """
-    name = category_name(F.col("product_category_name"))
     names = (
-        stg_products.select(name.alias("category_name"))
+        _category_names(stg_products)
         .groupBy(fold(F.col("category_name")).alias("folded"))
         .agg(F.min("category_name").alias("category_name"))
         .select("category_name")
@@ -159,6 +158,19 @@ def clean_category_lookup(stg_products: DataFrame) -> DataFrame:
     )
 
 
+def _category_names(stg_products: DataFrame) -> DataFrame:
+    return stg_products.select(category_name(F.col("product_category_name")).alias("category_name"))
+
+
+def stored_category_lookup(stg_products: DataFrame, root: str, batch_id: str) -> DataFrame:
+    """The lookup over all loads into ``root``: known categories keep their number, new ones follow.
+
+    Names are told apart as in `clean_category_lookup`, which numbers one load on its own."""
+    folded = fold(F.col("category_name"))
+    every = extend_key_map(_category_names(stg_products), root, "product_category", batch_id, "category_name", "category_id", folded)
+    return every.withColumn("category_id", F.col("category_id").cast("int"))
+
+
 def clean_products(
     stg_products: DataFrame, product_category: DataFrame, strict: bool = False, hold: Hold = _as_is
 ) -> Cleaned:
