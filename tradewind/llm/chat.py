@@ -10,7 +10,9 @@ number of tokens it expands to. Turns are joined in a template:
 Escaping: where a text has the first character of a control string, then any
 number of backslashes, then the rest of the string, it gets one backslash more;
 reading back takes one away. No other character changes, so every text returns
-exactly, and a formatted text has no control string but the template's.
+exactly. Neighbouring text parts are escaped as the one text that they make, so a
+formatted text has no control string but the template's, and reading back tells a
+placeholder from a text that spells one.
 
 The loss mask covers the contents of assistant turns. Null texts, roles and part
 lists are empty; a part of unknown kind counts as text. Turns that share a number
@@ -19,6 +21,8 @@ stand by role, then content; null turns come last. A conversation is one row.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,15 +61,36 @@ def text_part(text: Column) -> Column:
 
 
 def visit(part: Column) -> Column:
-    """One part as struct(content, kind, uri, tokens); kind is null for text."""
+    """One part as struct(text, placeholder, kind, uri, tokens); the last but one and two are null for text."""
     text = F.coalesce(part["text"], F.lit(""))
-    content, kind, tokens = escape(text), F.lit(None).cast("string"), F.regexp_count(text, F.lit(r"\S+")).cast("long")
+    kind, mark = (F.lit(None).cast("string") for _ in range(2))
+    tokens = F.regexp_count(text, F.lit(r"\S+")).cast("long")
     for name, placeholder in PLACEHOLDERS.items():
         here = part["kind"] == name
-        content = F.when(here, F.lit(placeholder)).otherwise(content)
+        mark = F.when(here, F.lit(placeholder)).otherwise(mark)
         kind = F.when(here, F.lit(name)).otherwise(kind)
         tokens = F.when(here, F.coalesce(part["units"], F.lit(0)) * EXPANSION[name]).otherwise(tokens)
-    return F.struct(content.alias("content"), kind.alias("kind"), part["uri"].alias("uri"), tokens.alias("tokens"))
+    text = F.when(mark.isNull(), text)
+    return F.struct(
+        text.alias("text"), mark.alias("placeholder"), kind.alias("kind"), part["uri"].alias("uri"), tokens.alias("tokens")
+    )
+
+
+def flattened(visited: Column) -> Column:
+    """The content of a message: each run of texts escaped as one, placeholders between them."""
+
+    def piece(text: Column, placeholder: Column) -> Column:
+        return F.array(F.struct(text.alias("text"), placeholder.alias("placeholder")))
+
+    def joined(pieces: Column, part: Column) -> Column:
+        last = F.try_element_at(pieces, F.lit(-1))
+        longer = piece(F.concat(last["text"], part["text"]), F.lit(None).cast("string"))
+        return F.when(
+            last["text"].isNotNull() & part["text"].isNotNull(), F.concat(F.slice(pieces, F.lit(1), F.size(pieces) - 1), longer)
+        ).otherwise(F.concat(pieces, piece(part["text"], part["placeholder"])))
+
+    pieces = F.aggregate(visited, F.array().cast("array<struct<text:string,placeholder:string>>"), joined)
+    return F.array_join(F.transform(pieces, lambda x: F.coalesce(x["placeholder"], escape(x["text"]))), "")
 
 
 def format_conversations(messages: DataFrame) -> DataFrame:
@@ -79,7 +104,7 @@ def format_conversations(messages: DataFrame) -> DataFrame:
         "conv_id",
         "turn",
         "role",
-        F.array_join(F.transform("visited", lambda x: x["content"]), "").alias("content"),
+        flattened(F.col("visited")).alias("content"),
         F.transform(
             F.filter("visited", lambda x: x["kind"].isNotNull()),
             lambda x: F.struct(x["kind"].alias("kind"), x["uri"].alias("uri"), x["tokens"].alias("tokens")),
@@ -105,19 +130,36 @@ def format_conversations(messages: DataFrame) -> DataFrame:
     )
 
 
-def turns_of(formatted: Column) -> Column:
-    """The turns read back: array of struct(role, text). Placeholders stay in the text."""
+def turns_of(formatted: Column, read: Callable[[Column], Column] = unescape) -> Column:
+    """The turns read back: array of struct(role, text). ``read``: how a content is, with placeholders in the text as they
+    stand, or as `parts_of`."""
 
     def turn(piece: Column) -> Column:
         role = F.substring_index(piece, "\n", 1)
         skip = F.length(role) + 1
         text = F.substring(piece, skip + 1, F.length(piece) - skip - len(END))
-        return F.struct(unescape_role(role).alias("role"), unescape(text).alias("text"))
+        return F.struct(unescape_role(role).alias("role"), read(text).alias("text"))
 
     pieces = F.split(formatted, TURN.replace("|", r"\|"))
     return F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), turn)
 
 
+def parts_of(content: Column) -> Column:
+    """A content read back as array of struct(kind, text): texts, neighbours as one and empty ones left out, and the other
+    parts in their places."""
+    mark = r"<\|(" + "|".join(PLACEHOLDERS) + r")\|>"
+    kinds = F.regexp_extract_all(content, F.lit(mark))
+
+    def around(text: Column, place: Column) -> Column:
+        none = F.lit(None).cast("string")
+        return F.array(
+            F.struct(F.try_element_at(kinds, F.when(place > 0, place)).alias("kind"), none.alias("text")),
+            F.struct(F.when(F.length(text) > 0, F.lit("text")).alias("kind"), unescape(text).alias("text")),
+        )
+
+    return F.filter(F.flatten(F.transform(F.split(content, mark), around)), lambda x: x["kind"].isNotNull())
+
+
 def loss_texts(formatted: Column, spans: Column) -> Column:
     """The texts under the loss mask, unescaped."""
 
