@@ -135,6 +135,12 @@ SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name,
                  ELSE n_regionkey END AS BIGINT) AS n_regionkey
 FROM nation"""
 
+ORACLE["rewrite_touched_files"] = """
+SELECT o_orderkey AS order_id,
+       CASE WHEN o_orderkey BETWEEN 300 AND 700 AND o_orderstatus = 'O' THEN 'X' ELSE o_orderstatus END AS order_status,
+       CASE WHEN o_orderkey BETWEEN 300 AND 700 AND o_orderstatus = 'O' THEN -o_custkey ELSE o_custkey END AS customer_id
+FROM orders WHERE NOT (o_orderstatus = 'P' AND o_orderkey < 500)"""
+
 ORACLE["add_nullable_column"] = """
 SELECT count(*) AS row_count, CAST(0 AS BIGINT) AS filled, max(n_name) AS last_name FROM nation"""
 

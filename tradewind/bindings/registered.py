@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import blank_to_null
-from ..operators import changes, constraints, referential
-from ..operators.gated import gated_append, read_published
+from ..operators import changes, constraints, referential, rewrites
+from ..operators.gated import batch_folder, gated_append, publish, read_published
 from ..operators.keys import extend_key_map, keep_last, with_surrogate_key
 from ..plans import aggregates, cleaning, dictionary, discount, joins, quality, subqueries, windows
 from ..session import shared_dir, tune
@@ -287,6 +287,19 @@ def update_from_subquery(d: Dirty) -> DataFrame:
     return changes.update_where_in(nation, "n_regionkey", root.scalar(), "n_name", ["NATION_3", "NATION_4", "NATION_5"])
 
 
+@registered("rewrite_touched_files")
+def rewrite_touched_files(d: Dirty) -> DataFrame:
+    """Orders stored in ranges of their ids: a delete and an update, each of which writes one or two of the eight files."""
+    root, orders = scratch(d.spark, "published"), d.orders.select("order_id", "order_status", "customer_id")
+    tables.clustered(orders, ["order_id"], 8).write.parquet(batch_folder(root, "orders", "load"))
+    publish(d.spark, root, "load")
+    gone = _deleted_orders(d).filter(F.col("order_id") < 500).select("order_id")
+    rewrites.delete_published(d.spark, root, "orders", "delete", "order_id", gone)
+    early = F.col("order_id").between(300, 700) & (F.col("order_status") == "O")
+    rewrites.update_published(d.spark, root, "orders", "update", early, {"order_status": F.lit("X"), "customer_id": -F.col("customer_id")})
+    return read_published(d.spark, root, "orders")
+
+
 @registered("add_nullable_column")
 def add_nullable_column(d: Dirty) -> DataFrame:
     added = changes.add_nullable_column(d.raw("nation"), "parent_category_id", "int")

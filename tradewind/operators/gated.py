@@ -8,7 +8,7 @@ reader looks at.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +19,7 @@ from ..schemas import TABLES
 from .constraints import validate_table
 
 _PUBLISHED = "_published"
+_RETIRED = "_retired"
 
 
 def published_batches(spark: SparkSession, root: str) -> DataFrame:
@@ -30,11 +31,39 @@ def published_batches(spark: SparkSession, root: str) -> DataFrame:
         return spark.createDataFrame([], "batch string")
 
 
+def retired_folder(root: str, batch_id: str) -> str:
+    """Where a batch lists (table, file) of the files that it replaces."""
+    return f"{root}/{_RETIRED}/batch={_label(batch_id)}"
+
+
+def _retired_files(spark: SparkSession, root: str, table: str) -> list[str]:
+    """Names of the files that published batches have replaced; the driver holds the listing that they are in anyway."""
+    try:
+        listed = spark.read.schema("`table` string, file string, batch string").parquet(f"{root}/{_RETIRED}")
+    except AnalysisException as fault:
+        if fault.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    replaced = listed.filter(F.col("table") == table).join(published_batches(spark, root).distinct(), "batch", "left_semi")
+    return [r["file"] for r in replaced.select("file").collect()]
+
+
+def published_files(spark: SparkSession, root: str, table: str, files: Sequence[str] | None = None) -> DataFrame:
+    """Rows of all published batches of a table, or of some of its files, with the file's name in ``_file``.
+
+    Replaced files are left out of the listing, not read and filtered."""
+    path = F.col("_metadata.file_path")
+    rows = spark.read.option("basePath", f"{root}/{table}").parquet(f"{root}/{table}").withColumn("_file", path)
+    if files is not None:
+        return rows.filter(path.isin(list(files))).drop("batch")
+    retired = _retired_files(spark, root, table)
+    rows = rows.filter(~path.isin(retired)) if retired else rows
+    return rows.join(published_batches(spark, root).distinct(), "batch", "left_semi").drop("batch")
+
+
 def read_published(spark: SparkSession, root: str, table: str) -> DataFrame:
     """Rows of all published batches of a table."""
-    rows = spark.read.option("basePath", f"{root}/{table}").parquet(f"{root}/{table}")
-    visible = published_batches(spark, root).distinct()
-    return rows.join(visible, "batch", "left_semi").drop("batch")
+    return published_files(spark, root, table).drop("_file")
 
 
 def publish(spark: SparkSession, root: str, batch_id: str) -> None:
