@@ -450,6 +450,18 @@ SELECT 'review_comment_title is filler' AS "check",
 UNION ALL
 SELECT 'review_comment_message is filler', count(*) FILTER (WHERE trim(text) = 'A') FROM documents"""
 
+ORACLE["dq_fillers_found"] = """
+WITH texts AS (
+    SELECT 'review_comment_title' AS "check",
+           trim(CASE WHEN doc_id % 4 = 0 THEN 'A' WHEN doc_id % 3 = 0 THEN ' ' ELSE source END) AS value FROM documents
+    UNION ALL
+    SELECT 'review_comment_message', trim(text) FROM documents
+)
+SELECT "check", value, n AS rows_affected
+FROM (SELECT "check", value, count(*) AS n FROM texts WHERE value <> '' GROUP BY ALL) t
+JOIN (SELECT "check", count(*) AS filled FROM texts WHERE value <> '' GROUP BY ALL) u USING ("check")
+WHERE length(value) <= 3 AND n >= 0.01 * filled"""
+
 ORACLE["dq_missing_category"] = """
 SELECT 'category missing' AS "check", count(*) FILTER (WHERE p_partkey % 11 = 0) AS rows_affected FROM part"""
 
@@ -513,6 +525,10 @@ ORACLE["q05_data_dictionary"] = "\nUNION ALL\n".join(
     for i, (column, kind) in enumerate((c.split(":") for c in columns.split()), 1)
 )
 ORACLE["sink_dictionary_csv"] = ORACLE["q05_data_dictionary"]
+ORACLE["q05_profile_by_sketches"] = f"""
+SELECT table_name, position, column_name, column_type, row_count, null_count, key_candidate,
+       CASE WHEN key_candidate = 1 THEN distinct_count END AS distinct_count
+FROM ({ORACLE["q05_data_dictionary"]})"""
 
 # The exported columns of the loaded tables (type, nullable, key), typed out apart from the schemas under test.
 _EXPORTED = {

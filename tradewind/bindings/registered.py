@@ -614,6 +614,11 @@ def dq_placeholder_text(d: Dirty) -> DataFrame:
     return quality.placeholder_text(d.stg_order_reviews, ["review_comment_title", "review_comment_message"])
 
 
+@registered("dq_fillers_found")
+def dq_fillers_found(d: Dirty) -> DataFrame:
+    return quality.found_fillers(d.stg_order_reviews, ["review_comment_title", "review_comment_message"])
+
+
 @registered("dq_missing_category")
 def dq_missing_category(d: Dirty) -> DataFrame:
     return quality.missing_category(d.stg_products)
@@ -663,6 +668,17 @@ def q05_data_dictionary(d: Dirty) -> DataFrame:
     return dictionary.column_profile(_profiled(d))
 
 
+@registered("q05_profile_by_sketches")
+def q05_profile_by_sketches(d: Dirty) -> DataFrame:
+    """Distinct values are given where they are exact: of the columns that may be keys."""
+    measured = dictionary.sketch_profile(_profiled(d))
+    exact = F.when(~F.col("estimated"), F.col("distinct_count"))
+    return measured.select(
+        "table_name", "position", "column_name", "column_type", "row_count", "null_count", "key_candidate",
+        F.when(F.col("key_candidate"), exact).alias("distinct_count"),
+    )
+
+
 @registered("q05_declared_dictionary")
 def q05_declared_dictionary(d: Dirty) -> DataFrame:
     """The declared columns with what the loaded tables hold in them."""

@@ -19,6 +19,13 @@ from .joins import payment_mismatch
 # a finished order.
 BOX = {"lat": (-35, 6), "lng": (-75, -33)}
 FILLER = "A"
+
+# Texts that may be fillers have at most so many characters and fill this share
+# of the rows with text; so many are counted, out of so many tracked.
+SHORT = 3
+FILLER_SHARE = 0.01
+FILLERS = 100
+TRACKED = 10_000
 FINISHED = "delivered"
 
 
@@ -76,6 +83,40 @@ def placeholder_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _counts(flagged, {f"{c} is filler": F.col(f"{c}_is_filler") for c in columns})
 
 
+def found_fillers(
+    df: DataFrame, columns: Sequence[str], longest: int = SHORT, share: float = FILLER_SHARE, most: int = FILLERS
+) -> DataFrame:
+    """(check, value, rows_affected): short texts that fill a share of a column's rows with text, found in the data.
+
+    One pass keeps the frequent short texts of every column in sketches of
+    bounded size, which lose no text above the share as long as that is more
+    than 1 / TRACKED; the ``most`` best of each column are then counted exactly.
+    """
+    texts = {c: F.trim(F.col(c)) for c in columns}
+    seen = df.agg(
+        *[
+            F.call_function(
+                "approx_top_k", F.when(F.length(t).between(1, longest), t), F.lit(most), F.lit(TRACKED)
+            ).alias(f"_top_{i}")
+            for i, t in enumerate(texts.values())
+        ],
+        *[F.count_if(t != "").alias(f"_n_{i}") for i, t in enumerate(texts.values())],
+    )
+    found = F.array(
+        *[F.struct(F.lit(c).alias("check"), F.col(f"_n_{i}").alias("n"), F.col(f"_top_{i}").alias("top")) for i, c in enumerate(columns)]
+    )
+    likely = seen.select(F.inline(found)).select("check", "n", F.explode("top.item").alias("value")).dropna()
+    unpivoted = F.array(*[F.struct(F.lit(c).alias("check"), t.alias("value")) for c, t in texts.items()])
+    return (
+        df.select(F.inline(unpivoted))
+        .join(F.broadcast(likely), ["check", "value"])
+        .groupBy("check", "value", "n")
+        .agg(F.count(F.lit(1)).alias("rows_affected"))
+        .filter(F.col("rows_affected") >= F.col("n") * share)
+        .select("check", "value", "rows_affected")
+    )
+
+
 def missing_category(stg_products: DataFrame) -> DataFrame:
     return _counts(stg_products, {"category missing": ~has_text(F.col("product_category_name"))})
 
