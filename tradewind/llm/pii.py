@@ -19,7 +19,10 @@ Repeated rows are worked on each.
 from __future__ import annotations
 
 import re
+from array import array
+from bisect import bisect_left
 from collections.abc import Iterator, Sequence
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +38,15 @@ PATTERNS = {
     "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
     "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
 }
+# The same matches in time that grows with the text: a run that can't begin a match is looked at once, not from each
+# of its characters.
+LOCAL, DOMAIN = re.compile(r"[A-Za-z0-9._%+-]++@"), re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+LOCAL_BEGINS = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@")
+LINEAR = {
+    "ip": re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}"),
+    "card": re.compile(r"[0-9](?:[\x20-]?[0-9])++"),
+    "phone": PATTERNS["phone"],
+}
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 TELLING = re.compile(r"[0-9@]")
 DIGIT = re.compile(r"[0-9]")
@@ -93,10 +105,10 @@ CUES = {
 }
 
 TAGS = ("O", *(f"{x}-{k}" for k in KINDS for x in "BI"))
-#: Steps and ridge of the training, and stretches decoded together.
+#: Steps and ridge of the training, and words decoded together, padding of shorter stretches included.
 STEPS = 300
 RIDGE = 0.02
-BATCH = 4096
+CELLS = 1 << 17
 
 
 def allowed() -> np.ndarray:
@@ -252,8 +264,12 @@ def viterbi(field: Field, stretches: Sequence[np.ndarray], bounds: Sequence[tupl
     where it does not, the word beyond is outside."""
     out: list[np.ndarray] = [np.empty(0, int)] * len(stretches)
     order = sorted(range(len(stretches)), key=lambda k: len(stretches[k]))
-    for low in range(0, len(order), BATCH):
-        own = order[low : low + BATCH]
+    high = 0
+    while high < len(order):
+        low, high = high, high + 1
+        while high < len(order) and (high + 1 - low) * len(stretches[order[high]]) <= CELLS:
+            high += 1
+        own = order[low:high]
         lengths = np.array([len(stretches[k]) for k in own])
         longest = lengths.max()
         e = np.zeros((len(own), longest, len(TAGS)))
@@ -307,28 +323,70 @@ def tagged_holds(kind: str, text: str) -> bool:
     return re.fullmatch(r"[+(]?[0-9][0-9().\x20/-]*[0-9]", text) is not None and 7 <= len(DIGIT.findall(text)) <= 15
 
 
+def emails(text: str) -> Iterator[tuple[int, int]]:
+    """The matches of the email pattern, from one sign to the next."""
+    at = 0
+    while True:
+        # Behind a match its own run may go on.
+        local = LOCAL.match(text, at) or LOCAL_BEGINS.search(text, at)
+        if local is None:
+            return
+        domain = DOMAIN.match(text, local.end())
+        at = domain.end() if domain else local.end()
+        if domain:
+            yield local.start(), at
+
+
+def pattern_spans(kind: str, text: str) -> Iterator[tuple[int, int]]:
+    """Start and end of the leftmost matches of a kind's pattern that do not overlap."""
+    return emails(text) if kind == "email" else (m.span() for m in LINEAR[kind].finditer(text))
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(kind, start, end) by the patterns, in order."""
     found = []
     has_digit, has_at = DIGIT.search(text), "@" in text
     for k, kind in enumerate(KINDS):
         if (has_at if kind == "email" else has_digit) and not (kind == "phone" and "+" not in text):
-            found += [(k, m.start(), m.end()) for m in PATTERNS[kind].finditer(text) if holds(kind, m[0])]
+            found += [(k, a, b) for a, b in pattern_spans(kind, text) if holds(kind, text[a:b])]
     return found
 
 
+class Taken:
+    """Spans that others may not meet."""
+
+    def __init__(self, spans: Sequence[tuple[int, int, int]]) -> None:
+        ordered = sorted((s, e) for _, s, e in spans)
+        self.starts = [s for s, _ in ordered]
+        self.reached = list(accumulate((e for _, e in ordered), max))
+
+    def meets(self, start: int, end: int) -> bool:
+        before = bisect_left(self.starts, end)
+        return before > 0 and self.reached[before - 1] > start
+
+
 class Tagger:
     def __init__(self, field: Field) -> None:
         self.field = field
         self.plain = field.scores([["plain"]])[0]
 
-    def stretches(self, text: str) -> Iterator[tuple[list, np.ndarray, tuple[bool, bool]]]:
-        """(words, emission scores, bounds) of the stretches to decode."""
-        words = list(WORD.finditer(text))
-        if not words:
+    def stretches(self, text: str) -> Iterator[tuple[array, array, np.ndarray, tuple[bool, bool]]]:
+        """(begins and ends of words, emission scores, bounds) of the stretches to decode."""
+        starts, ends, telling = array("q"), array("q"), []
+        for k, m in enumerate(WORD.finditer(text)):
+            starts.append(m.start())
+            ends.append(m.end())
+            if TELLING.search(text, m.start(), m.end()):
+                telling.append(k)
+        n = len(starts)
+        if not n:
             return
-        telling = [k for k, w in enumerate(words) if TELLING.search(w[0])]
+
+        def word(k: int) -> str:
+            return text[starts[k] : ends[k]] if 0 <= k < n else ""
+
         reach = self.field.reach
+        tells = set(telling)
         if reach is None and not telling:
             telling = [0]
         k = 0
@@ -337,27 +395,33 @@ class Tagger:
             while k < len(telling) and (reach is None or telling[k] - last <= 2 * reach + 2):
                 last = telling[k]
                 k += 1
-            low, high = (0, len(words)) if reach is None else (max(0, first - reach), min(len(words), last + reach + 1))
-            own = words[low:high]
-            scores = np.tile(self.plain, (len(own), 1))
-            for t in range(first - low, last - low + 1):
-                if TELLING.search(own[t][0]):
-                    before = words[low + t - 1][0] if low + t else ""
-                    after = words[low + t + 1][0] if low + t + 1 < len(words) else ""
-                    scores[t] = self.field.scores([word_features(before, own[t][0], after)])[0]
-            yield own, scores, (low == 0, high == len(words))
+            low, high = (0, n) if reach is None else (max(0, first - reach), min(n, last + reach + 1))
+            scores = np.tile(self.plain, (high - low, 1))
+            for t in range(first, last + 1):
+                if t in tells:
+                    scores[t - low] = self.field.scores([word_features(word(t - 1), word(t), word(t + 1))])[0]
+            yield starts[low:high], ends[low:high], scores, (low == 0, high == n)
 
     def added(self, texts: Sequence[str], base: Sequence[list]) -> list[list[tuple[int, int, int]]]:
-        """The tagged spans of each text that meet no base span."""
-        owners, jobs = [], []
+        """The tagged spans of each text that meet no base span; some stretches at a time."""
+        out: list[list] = [[] for _ in texts]
+        taken = [Taken(x) if x else None for x in base]
+        owners, jobs, size = [], [], 0
         for n, text in enumerate(texts):
             if self.field.reach is None or TELLING.search(text):
                 for job in self.stretches(text):
                     owners.append(n)
                     jobs.append(job)
-        out: list[list] = [[] for _ in texts]
-        paths = viterbi(self.field, [x[1] for x in jobs], [x[2] for x in jobs]) if jobs else []
-        for n, (words, _, _), path in zip(owners, jobs, paths, strict=True):
+                    size += len(job[0])
+                    if size >= CELLS:
+                        self.decode(texts, taken, owners, jobs, out)
+                        owners, jobs, size = [], [], 0
+        self.decode(texts, taken, owners, jobs, out)
+        return out
+
+    def decode(self, texts: Sequence[str], taken: Sequence, owners: list[int], jobs: list[tuple], out: list[list]) -> None:
+        paths = viterbi(self.field, [x[2] for x in jobs], [x[3] for x in jobs]) if jobs else []
+        for n, (starts, ends, _, _), path in zip(owners, jobs, paths, strict=True):
             t = 0
             while t < len(path):
                 tag = TAGS[path[t]]
@@ -365,16 +429,15 @@ class Tagger:
                 if tag[0] == "B":
                     while last + 1 < len(path) and TAGS[path[last + 1]] == f"I-{tag[2:]}":
                         last += 1
-                    start, end = words[t].start(), words[last].end()
+                    start, end = starts[t], ends[last]
                     raw = texts[n][start:end]
                     core = raw.rstrip(".,;:!?\"'").lstrip("\"'<")
                     start += len(raw) - len(raw.lstrip("\"'<"))
                     end = start + len(core)
                     kind = tag[2:]
-                    if tagged_holds(kind, core) and not any(s < end and start < e for _, s, e in base[n]):
+                    if tagged_holds(kind, core) and not (taken[n] and taken[n].meets(start, end)):
                         out[n].append((KINDS.index(kind), start, end))
                 t = last + 1
-        return out
 
 
 SPAN_LIST = "array<struct<kind:string,start:long,end:long>>"
