@@ -204,6 +204,20 @@ def test_best_product_per_seller_breaks_ties_by_id(spark, rows):
     assert rows(got) == [("s", "x", "a", 5.0), ("t", "x", "b", 2.0)]
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_conflict_classes_are_those_of_the_pairs(spark, seed):
+    pick = random.Random(seed)
+    data = [(f"c{n}", pick.choice(["u1", "u2", "u3", "u4", None]), pick.choice(["x", "y", None]), pick.choice(["A", None])) for n in range(25)]
+    df = spark.createDataFrame(data, "customer_id string, customer_unique_id string, customer_city string, customer_state string")
+    pairs = {r["customer_unique_id"] for r in joins.conflicting_identities(df).collect()}
+    classes = joins.conflict_classes(df).collect()
+    assert {r["customer_unique_id"] for r in classes} == pairs
+    members = Counter((u, c, s) for _, u, c, s in data if u in pairs)
+    first = {key: min(i for i, *rest in data if tuple(rest) == key) for key in members}
+    assert {(r["customer_unique_id"], r["city"], r["state"]): (r["first_id"], r["members"]) for r in classes} == {
+        key: (first[key], n) for key, n in members.items()}
+
+
 def brute_baskets(baskets, n, least=2):
     pairs = Counter(p for b in baskets for p in itertools.combinations(sorted(b), 2))
     ranked = sorted(((-c, *p) for p, c in pairs.items() if c >= least))

@@ -626,6 +626,15 @@ FROM lineitem a JOIN lineitem b
   ON a.l_orderkey = b.l_orderkey AND a.l_linenumber = b.l_linenumber AND a.l_partkey < b.l_partkey
 WHERE a.l_suppkey <> b.l_suppkey OR a.l_returnflag <> b.l_returnflag"""
 
+ORACLE["q07_conflict_classes"] = """
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_suppkey AS supplier, l_returnflag AS flag,
+       min(l_partkey) AS first_id, count(l_partkey) AS members
+FROM lineitem
+WHERE (l_orderkey, l_linenumber) IN (
+    SELECT (l_orderkey, l_linenumber) FROM lineitem GROUP BY l_orderkey, l_linenumber
+    HAVING min(l_suppkey) < max(l_suppkey) OR min(l_returnflag) < max(l_returnflag))
+GROUP BY l_orderkey, l_linenumber, l_suppkey, l_returnflag"""
+
 ORACLE["q08_orphans_staging"] = """
 SELECT 'orphan_order' AS issue, count(*) AS cnt FROM lineitem WHERE l_orderkey % 41 = 0 OR l_orderkey % 101 = 0
 UNION ALL

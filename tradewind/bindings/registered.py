@@ -699,6 +699,16 @@ def q07_conflicting_identity(d: Dirty) -> DataFrame:
     )
 
 
+@registered("q07_conflict_classes")
+def q07_conflict_classes(d: Dirty) -> DataFrame:
+    return joins.conflict_classes(
+        d.raw("lineitem"),
+        identity=["l_orderkey", "l_linenumber"],
+        id_column="l_partkey",
+        attributes={"l_suppkey": "supplier", "l_returnflag": "flag"},
+    )
+
+
 @registered("q08_orphans_staging")
 def q08_orphans_staging(d: Dirty) -> DataFrame:
     items = d.stg_order_items.select(F.trim("order_id").alias("order_id"), F.trim("product_id").alias("product_id"))

@@ -73,6 +73,34 @@ def conflicting_identities(
     )
 
 
+def conflict_classes(
+    customers: DataFrame,
+    identity: Sequence[str] = ("customer_unique_id",),
+    id_column: str = "customer_id",
+    attributes: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """One row for each different set of attribute values of an identity that has conflicting ones: the identity, the
+    values, ``first_id`` and ``members``.
+
+    What `conflicting_identities` lists in pairs, in as many rows as there are
+    different values: an identity with very many rows is added up in every task
+    and joined with nothing but its own classes. An identity conflicts when an
+    attribute has two values that are not NULL.
+    """
+    attributes = attributes or {"customer_city": "city", "customer_state": "state"}
+    keys, shorts = list(identity), list(attributes.values())
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    classes = (
+        customers.filter(known)
+        .groupBy(*keys, *[F.col(c).alias(short) for c, short in attributes.items()])
+        .agg(F.min(id_column).alias("first_id"), F.count(id_column).alias("members"))
+    )
+    several = [F.min(c).alias(f"_least_{c}") for c in shorts] + [F.max(c).alias(f"_most_{c}") for c in shorts]
+    conflict = reduce(lambda a, b: a | b, [F.col(f"_least_{c}") < F.col(f"_most_{c}") for c in shorts])
+    conflicting = classes.groupBy(*keys).agg(*several).filter(conflict).select(*keys)
+    return classes.join(conflicting, keys, "left_semi").select(*keys, *shorts, "first_id", "members")
+
+
 def orphans(
     order_items: DataFrame, parents: Mapping[str, tuple[str, DataFrame, str]]
 ) -> DataFrame:
