@@ -878,3 +878,7 @@ ORACLE["q30_layout_order_gap"] = ORACLE["q26_order_gap"]
 
 for _name in ("products", "sellers", "order_items", "order_payments", "order_reviews", "geolocation"):
     ORACLE[f"csv_clean_{_name}"] = ORACLE[f"clean_{_name}"]
+
+ORACLE["q30_lookup_by_second_column"] = """
+SELECT l_orderkey AS order_id, CAST(l_linenumber AS BIGINT) AS order_item_id, l_partkey AS product_id, l_extendedprice AS price
+FROM lineitem WHERE l_partkey <= 3"""

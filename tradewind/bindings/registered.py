@@ -17,7 +17,7 @@ from ..operators.gated import batch_folder, gated_append, publish, read_publishe
 from ..operators.keys import extend_key_map, keep_last, with_surrogate_key
 from ..plans import aggregates, cleaning, dictionary, discount, joins, quality, subqueries, windows
 from ..session import shared_dir, tune
-from ..sources import tables
+from ..sources import sidecars, tables
 from ..sources.duplicates import lines_of, without_duplicate_files
 from ..sources.encoding import read_repaired_lines
 from ..sources.staging import parse_lines, read_staging
@@ -931,3 +931,14 @@ def q30_layout_top_products(d: Dirty) -> DataFrame:
 @registered("q30_layout_order_gap")
 def q30_layout_order_gap(d: Dirty) -> DataFrame:
     return windows.order_gaps(_laid_out(d, "orders_customer_purchase", d.orders, "orders", tables.write_clustered))
+
+
+@registered("q30_lookup_by_second_column")
+def q30_lookup_by_second_column(d: Dirty) -> DataFrame:
+    """The items of a few products from a table laid out by order: only files that may hold them are read."""
+    path, side = scratch(d.spark, "items"), scratch(d.spark, "items_files")
+    items = d.order_items.select("order_id", "order_item_id", "product_id", "price")
+    tables.clustered(items, tables.LAYOUTS["items_order_product"], 64).write.parquet(path)
+    sidecars.write_sidecar(d.spark, path, side, tables.LAYOUTS["items_order_product"][1:])
+    wanted = d.products().filter(F.col("product_id") <= 3).select("product_id")
+    return sidecars.read_matching(d.spark, path, side, "product_id", wanted)
