@@ -112,6 +112,45 @@ def test_toxicity(spark, docs):
         assert 0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3)
 
 
+def test_toxicity_by_brute_force(spark):
+    """The learned weights from counts of texts, and every score word by word, without an automaton."""
+    folder = FOLDER.replace("sf0.001", "sf0.01")
+    documents, labels = (spark.read.parquet(f"{folder}/{x}.parquet") for x in ("documents", "labels"))
+    model = toxicity.train(documents, labels, toxicity.learned_rows())
+    texts = {r["doc_id"]: r["text"] or "" for r in documents.collect()}
+    learned: dict = {}
+    for r in labels.collect():
+        if r["toxic"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2 and r["doc_id"] in texts:
+            text = texts[r["doc_id"]]
+            learned[text] = max(learned.get(text, 0), int(r["toxic"] != 0))
+    words = {t: toxicity.fold(t).split() for t in {*learned, *texts.values()}}
+
+    def shows(entry, word):
+        return word == entry.strip() if entry.endswith(" ") else word.startswith(entry[1:])
+
+    sizes = Counter(learned.values())
+    for entry, weight in model.entries[:60]:
+        # A beginning is learned from longer words.
+        least = max(3, len(entry) if entry[-1] != " " else 0)
+        t, c = (
+            0.5 + sum(k == toxic and any(len(w) >= least and shows(entry, w) for w in words[x]) for x, k in learned.items())
+            for toxic in (1, 0)
+        )
+        odds = math.log(t / (sizes[1] + 1)) - math.log(c / (sizes[0] + 1))
+        assert weight == pytest.approx(odds - math.sqrt(1 / t + 1 / c))
+
+    excuses = [toxicity.fold(x).split() for x in model.exceptions]
+    got = {r["doc_id"]: r for r in QUERIES["op6_toxicity"](spark, folder).collect()}
+    for i, text in texts.items():
+        own = words[text]
+        excused = {k + j for x in excuses for k in range(len(own) - len(x) + 1) if own[k : k + len(x)] == x for j in range(len(x))}
+        best = [max((v for e, v in model.entries if shows(e, w)), default=None) for w in own]
+        found = [v for k, v in enumerate(best) if v is not None and k not in excused]
+        x = (1, math.log1p(sum(found)), math.log1p(100 * sum(found) / (len(own) + toxicity.PRIOR_WORDS)))
+        score = 1 / (1 + math.exp(-sum(a * b for a, b in zip(x, model.coefficients, strict=True))))
+        assert (got[i]["n_hits"], got[i]["score"]) == (len(found), pytest.approx(score))
+
+
 def test_toxicity_of_rows_not_learned_from(spark):
     folder = FOLDER.replace("sf0.001", "sf0.01")
     got = {r["doc_id"]: r for r in QUERIES["op6_toxicity"](spark, folder).collect()}
