@@ -5,12 +5,18 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.session import shared_dir, tune
 
 ROW_KEY = "__tw_row_key"
+#: Settings while a table is written: shuffle files go at the end, and texts reach Python some megabytes at a time.
+WRITING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+}
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -21,10 +27,30 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: computed once, and still there when an executor is lost."""
-    path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df`` as a Parquet table in the shared folder: computed once, and still there when an executor is lost.
+
+    The shuffles that made it go when it is written, so a job of many steps holds the files of one."""
+    spark = df.sparkSession
+    path = new_folder(spark, name)
+    before = {key: spark.conf.get(key, None) for key in WRITING}
+    for key, value in WRITING.items():
+        spark.conf.set(key, value)
+    try:
+        df.write.parquet(path)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def released(*tables: DataFrame) -> None:
+    """Deletes tables of `written` that nothing reads any more."""
+    for df in tables:
+        folders = {name.rsplit("/", 1)[0] for name in df.inputFiles()}
+        for folder in folders:
+            if df.sparkSession.sparkContext.applicationId in folder:
+                system, place = fs.FileSystem.from_uri(folder)
+                system.delete_dir(place)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

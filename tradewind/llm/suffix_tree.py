@@ -17,8 +17,10 @@ A score is a sum over the sequences that end at each token. A retained context
 gives the log of its rest; a word listed in it gives what it has above that rest
 and the shorter context's prediction. So the tree is a table of sequences and
 gains, and no task needs all of it: occurrences meet the table in buckets of
-bounded size, and only sums return to the documents. The most frequent sequences
-(P_MIN), of bounded number, are broadcast to keep their occurrences at home.
+bounded size, and only sums return to the documents. The HEAD most frequent
+sequences of each length are broadcast to keep their occurrences at home.
+
+Contexts have up to DEPTH words, fewer if no longer sequence occurs LEAST times.
 
 A sequence is known by a 64-bit number, made of those of its prefix and its
 suffix. Null and empty texts are one end. A null id counts as held out. Without
@@ -35,15 +37,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.shared import ROW_KEY, keyed, written
+from tradewind.llm.shared import ROW_KEY, keyed, released, written
 from tradewind.llm.words import BASE, WHITESPACE, byte_values, mixed, slices, words
 
 #: Least count of a context and of a listed continuation.
 LEAST = 4
-#: Least share of the training tokens of a sequence that is broadcast: at most 1 / P_MIN of each length.
-P_MIN = 1e-6
+#: Sequences of each length that are broadcast, at most: 16 bytes each.
+HEAD = 1 << 18
+#: Steps by which frequencies are told apart to find them, for each doubling.
+FINENESS = 16
 #: Words of the longest context.
-DEPTH = 2
+DEPTH = 5
 #: Nats by which a context must improve on its suffix, for each continuation it lists.
 DIVERGENCE = 2.0
 DISCOUNT = 0.5
@@ -51,10 +55,12 @@ ADDED = 0.1
 #: Tokens worked on at a time, and entries of a bucket.
 SLICE = 1 << 21
 #: Tokens whose longer sequences are worked on at a time.
-PIECE = 1 << 19
+PIECE = 1 << 18
+#: Occurrences counted in a task before they are sent.
+HELD = 1 << 20
 BUCKET = 4_000_000
-#: Bits of the filter of sequences that may be there; its size does not grow with the corpus.
-FILTER_BITS = 1 << 26
+#: Bits for each sequence in the filter of those that may be there, and the most bits it has: beyond, more pass it.
+FILTER_SHARE, FILTER_MOST = 16, 1 << 28
 BITS = 1 << 15
 
 #: Numbers of the two marks; words are 64-bit mixtures.
@@ -103,15 +109,19 @@ def places_in_texts(tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def filter_bits(keys: DataFrame) -> np.ndarray:
-    """A bit map of the low bits of ``key``, 8 bits a byte: 8 MB, whatever the number of rows."""
-    place = F.pmod("key", F.lit(FILTER_BITS))
+    """A bit map of the low bits of ``key``, 8 bits a byte: sized by the number of rows, up to 32 MB."""
+    size = BITS
+    rows = keys.count()
+    while size < min(FILTER_SHARE * rows, FILTER_MOST):
+        size *= 2
+    place = F.pmod("key", F.lit(size))
     found = (
         keys.select((place / BITS).cast("int").alias("part"), (place % BITS).alias("bit"))
         .groupBy("part")
         .agg(F.bitmap_construct_agg("bit").alias("bits"))
         .collect()
     )
-    bits = np.zeros(FILTER_BITS // 8, np.uint8)
+    bits = np.zeros(size // 8, np.uint8)
     for part, blob in found:
         bits[part * BITS // 8 : (part + 1) * BITS // 8] = np.frombuffer(blob, np.uint8)
     return bits
@@ -182,7 +192,7 @@ def sequences(training: DataFrame, shorter: DataFrame, length: int, buckets: int
                 use = (at >= length - 1) & passed & np.r_[False, passed[:-1]]
                 if use.any():
                     held.append((np.r_[np.uint64(0), numbers[:-1]][use], numbers[use]))
-                if sum(len(x) for x, _ in held) > 2 * PIECE:
+                if sum(len(x) for x, _ in held) > HELD:
                     yield out(held)
                     held = []
         if held:
@@ -241,37 +251,66 @@ def continued(found: DataFrame, shorter: DataFrame, length: int) -> tuple[DataFr
         F.when(there, F.log10("own")).otherwise(F.col("shorter")).alias("log_p"),
         F.when(there, F.log10("own") - F.col("shorter") - F.col("rest")).otherwise(0.0).alias("gain"),
     )
-    return written(longer, f"continuations-{length}"), retained
+    longer = written(longer, f"continuations-{length}")
+    released(found, listed)
+    return longer, retained
 
 
 def tree(training: DataFrame, counts: DataFrame, total: int, distinct: int, depth: int, buckets: int) -> DataFrame:
     """(key, length, n, gain): the frequent words, and the longer sequences with a gain."""
     log_p = F.log10((F.col("n") + ADDED) / (total + ADDED * (distinct + 1)))
     level = counts.where(F.col("n") >= LEAST).select(F.col("token").alias("key"), "n", log_p.alias("log_p"), F.lit(0.0).alias("gain"))
-    model = None
+    model, held = None, []
     for length in range(1, depth + 2):
         of = level.select("key", F.lit(length).alias("length"), "n", "gain")
-        if length <= depth:
-            found = sequences(training, level, length + 1, buckets)
+        found = sequences(training, level, length + 1, buckets) if length <= depth else None
+        last = found is None or found.isEmpty()
+        if not last:
             level, retained = continued(found, level, length + 1)
+            held += [level, retained]
             rest = retained.withColumnRenamed("context", "key")
             of = of.join(rest, "key", "left").select(
                 "key", "length", "n", (F.col("gain") + F.coalesce("rest", F.lit(0.0))).alias("gain")
             )
         model = of if model is None else model.union(of)
-    return written(model.where("length = 1 or gain <> 0"), "suffix-tree")
+        if last:
+            break
+    model = written(model.where("length = 1 or gain <> 0"), "suffix-tree")
+    released(*held)
+    return model
+
+
+def head_counts(model: DataFrame, most: int) -> dict[int, int]:
+    """For each length the least count of its ``most`` most frequent sequences, by a histogram of the counts."""
+    step = F.floor(F.log2("n") * FINENESS).cast("int")
+    steps = model.groupBy("length", step.alias("step")).agg(F.min("n").alias("n"), F.count("*").alias("rows")).collect()
+    least = {}
+    for length in {r["length"] for r in steps}:
+        held, least[length] = 0, 1 << 62
+        for r in sorted((r for r in steps if r["length"] == length), key=lambda r: -r["step"]):
+            held += r["rows"]
+            if held > most:
+                break
+            least[length] = r["n"]
+    return least
+
+
+def in_head(least: dict[int, int]) -> Column:
+    frequent = (F.col("key") == int(START)) & (F.col("length") == 1)
+    for length, n in least.items():
+        frequent |= (F.col("length") == length) & (F.col("n") >= n)
+    return frequent
 
 
 class Head:
     """The most frequent sequences, length by length, and a filter of all longer than a word."""
 
-    def __init__(self, model: DataFrame, least: int, depth: int, total: int, distinct: int) -> None:
-        frequent = (F.col("n") >= least) | ((F.col("key") == int(START)) & (F.col("length") == 1))
-        rows = model.where(frequent).toArrow()  # at most 1 / P_MIN rows of each length
+    def __init__(self, model: DataFrame, least: dict[int, int], total: int, distinct: int) -> None:
+        rows = model.where(in_head(least)).toArrow()  # HEAD rows of each length at most
         key, length, n, gain = (rows.column(x).to_numpy() for x in ("key", "length", "n", "gain"))
         key = key.view(np.uint64)
         order = np.argsort(key)
-        places = [order[length[order] == k] for k in range(1, depth + 2)]
+        places = [order[length[order] == k] for k in range(1, max(least, default=1) + 1)]
         self.keys, self.gains = [key[x] for x in places], [np.r_[gain[x], 0.0] for x in places]
         self.root = np.r_[np.log10((n[places[0]] + ADDED) / (total + ADDED * (distinct + 1))), 0.0]
         self.bits = filter_bits(model.where("length > 1"))
@@ -293,14 +332,20 @@ class Head:
         return root, gain, rare, np.concatenate(ends), np.concatenate(elsewhere)
 
 
+DOCUMENT = pa.struct(
+    [("doc_id", pa.int64()), (ROW_KEY, pa.int64()), ("held_out", pa.bool_()), ("place", pa.int64()), ("n_tokens", pa.int64()),
+     ("n_frequent", pa.int64()), ("root", pa.float64()), ("gain", pa.float64())]
+)
 SCORED = (
-    f"doc_id long, {ROW_KEY} long, held_out boolean, place long, n_tokens long, n_frequent long, "
-    "root double, gain double, rare binary, longer binary"
+    "bucket int, words boolean, keys binary, counts binary, places binary, block long, "
+    f"documents array<struct<doc_id:long, {ROW_KEY}:long, held_out:boolean, place:long, n_tokens:long, n_frequent:long, "
+    "root:double, gain:double>>"
 )
 
 
-def frequent_scores(documents: DataFrame, head: Head) -> DataFrame:
-    """Per document row: the sums over the most frequent sequences, its other words, and its other sequences."""
+def frequent_scores(documents: DataFrame, head: Head, buckets: int) -> DataFrame:
+    """For each slice of documents a row without a bucket, with their sums over the most frequent sequences; and rows for
+    the buckets that their other words, and their other sequences, belong to: those of each document in turn."""
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -313,65 +358,43 @@ def frequent_scores(documents: DataFrame, head: Head) -> DataFrame:
                 root, gain, rare, end, number = head.score(tokens, first)
                 predicted = np.ones(len(tokens), bool)
                 predicted[first] = False
-                order = np.argsort(owner[end], kind="stable")
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id")[low:high],
-                        batch.column(ROW_KEY)[low:high],
-                        batch.column("held_out")[low:high],
-                        pa.array(place + np.arange(n)),
-                        pa.array(np.bincount(owner[predicted], minlength=n)),
-                        pa.array(np.bincount(owner[predicted & ~rare], minlength=n)),
-                        pa.array(np.bincount(owner[predicted], root[predicted], n)),
-                        pa.array(np.bincount(owner, gain, n)),
-                        blobs(tokens[rare], owner[rare], n),
-                        blobs(number[order], owner[end][order], n),
-                    ],
-                    ["doc_id", ROW_KEY, "held_out", "place", "n_tokens", "n_frequent", "root", "gain", "rare", "longer"],
-                )
+                columns = [
+                    *(batch.column(x)[low:high] for x in ("doc_id", ROW_KEY, "held_out")),
+                    pa.array(place + np.arange(n)),
+                    pa.array(np.bincount(owner[predicted], minlength=n)),
+                    pa.array(np.bincount(owner[predicted & ~rare], minlength=n)),
+                    pa.array(np.bincount(owner[predicted], root[predicted], n)),
+                    pa.array(np.bincount(owner, gain, n)),
+                ]
+                own = pa.ListArray.from_arrays([0, n], pa.StructArray.from_arrays(columns, fields=list(DOCUMENT)))
+                none = [pa.nulls(1, x) for x in (pa.int32(), pa.bool_(), *[pa.binary()] * 3)]
+                names = ["bucket", "words", "keys", "counts", "places", "block", "documents"]
+                yield pa.RecordBatch.from_arrays([*none, pa.array([place], pa.int64()), own], names)
+
+                for key, of, word in ((tokens[rare], owner[rare], True), (number, owner[end], False)):
+                    bucket = (key % np.uint64(buckets)).astype(np.int64)
+                    order = np.argsort(bucket * n + of, kind="stable")
+                    key, of, bucket = key[order], of[order], bucket[order]
+                    cuts = np.r_[np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket)]
+                    out = []
+                    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                        who, many = np.unique(of[a:b], return_counts=True)
+                        out.append((word, *(x.tobytes() for x in (key[a:b], many.astype("<u4"), place + who))))
+                    if out:
+                        kinds = pa.bool_(), *[pa.binary()] * 3
+                        columns = [pa.array(x, kind) for x, kind in zip(zip(*out, strict=True), kinds, strict=True)]
+                        rest = [pa.array([place] * len(out), pa.int64()), pa.nulls(len(out), pa.list_(DOCUMENT))]
+                        yield pa.RecordBatch.from_arrays([pa.array(bucket[cuts[:-1]], pa.int32()), *columns, *rest], names)
                 place += n
 
     return written(documents.mapInArrow(scored, SCORED), "frequent-scores")
 
 
-def blobs(numbers: np.ndarray, owner: np.ndarray, n: int) -> pa.Array:
-    """The numbers of each of n owners, which they are sorted by."""
-    ends = np.cumsum(np.bincount(owner, minlength=n))
-    blob = numbers.tobytes()
-    return pa.array([blob[8 * a : 8 * b] for a, b in zip(np.r_[0, ends[:-1]], ends, strict=True)], pa.binary())
-
-
-def rare_scores(scored: DataFrame, known: DataFrame, total: int, distinct: int, buckets: int) -> DataFrame:
+def rare_scores(blocks: DataFrame, known: DataFrame, total: int, distinct: int, buckets: int) -> DataFrame:
     """(place, rare_root, rare_gain, n_rare): the sums over the sequences that are not broadcast, and how many words are known.
 
     ``known``: their (key, n, gain), n being 0 for more than a word."""
 
-    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts = []
-            for name in ("rare", "longer"):
-                column = [x.as_py() for x in batch.column(name)]
-                owner = np.repeat(np.arange(len(column)), [len(x) // 8 for x in column])
-                parts.append((np.frombuffer(b"".join(column), np.uint64), owner, np.full(len(owner), name == "rare")))
-            key, owner, word = (np.concatenate(x) for x in zip(*parts, strict=True))
-            if not len(key):
-                continue
-            place = batch.column("place").to_numpy()
-            bucket = (key % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")  # words before longer sequences
-            key, owner, word, bucket = key[order], owner[order], word[order], bucket[order]
-            cuts = np.r_[np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]), len(bucket)]
-            out = []
-            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                own, local = np.unique(owner[a:b], return_inverse=True)
-                blobs = key[a:b], local.astype("<u4"), place[own]
-                out.append((int(bucket[a]), int(word[a:b].sum()), *(x.tobytes() for x in blobs), place[0]))
-            kinds = pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int64()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x, t) for x, t in zip(zip(*out, strict=True), kinds, strict=True)],
-                ["bucket", "words", "keys", "owners", "places", "block"],
-            )
-
     def met(blocks: pa.Table, known: pa.Table) -> pa.Table:
         table = known.column("key").to_numpy().view(np.uint64)
         order = np.argsort(table)
@@ -379,15 +402,16 @@ def rare_scores(scored: DataFrame, known: DataFrame, total: int, distinct: int,
         n, gain = (np.r_[known.column(x).to_numpy()[order], 0] for x in ("n", "gain"))
         out = []
         for k in range(len(blocks)):
-            row = {x: blocks.column(x)[k].as_py() for x in blocks.column_names}
-            own = np.frombuffer(row["places"], np.int64)
-            owner = np.frombuffer(row["owners"], "<u4")
+            row = {x: blocks.column(x)[k].as_py() for x in ("words", "keys", "counts", "places", "block")}
+            many = np.frombuffer(row["counts"], "<u4")
+            owner = np.repeat(np.arange(len(many)), many)
             at = find(table, np.frombuffer(row["keys"], np.uint64))
-            words = slice(0, row["words"])
-            count = n[at[words]]
-            root = np.bincount(owner[words], np.log10((count + ADDED) / (total + ADDED * (distinct + 1))), len(own))
-            found = np.bincount(owner[words][count > 0], minlength=len(own)).astype("<u4")
-            sums = root, np.bincount(owner, gain[at], len(own)), found
+            root, found = np.zeros(len(many)), np.zeros(len(many), "<u4")
+            if row["words"]:
+                count = n[at]
+                root = np.bincount(owner, np.log10((count + ADDED) / (total + ADDED * (distinct + 1))), len(many))
+                found = np.bincount(owner[count > 0], minlength=len(many)).astype("<u4")
+            sums = root, np.bincount(owner, gain[at], len(many)), found
             out.append((row["block"], row["places"], *(x.tobytes() for x in sums)))
         kinds = pa.int64(), *[pa.binary()] * 4
         columns = zip(*out, strict=True) if out else [[]] * 5
@@ -406,9 +430,6 @@ def rare_scores(scored: DataFrame, known: DataFrame, total: int, distinct: int,
             {"place": own, "rare_root": np.bincount(owner, root), "rare_gain": np.bincount(owner, gain), "n_rare": n_rare}
         )
 
-    blocks = scored.select("place", "rare", "longer").mapInArrow(
-        packed, "bucket int, words int, keys binary, owners binary, places binary, block long"
-    )
     replies = (
         blocks.groupBy("bucket")
         .cogroup(known.withColumn("bucket", bucket_of("key", buckets)).groupBy("bucket"))
@@ -417,30 +438,28 @@ def rare_scores(scored: DataFrame, known: DataFrame, total: int, distinct: int,
     return replies.groupBy("block").applyInArrow(summed, "place long, rare_root double, rare_gain double, n_rare long")
 
 
-def score_documents(
-    documents: DataFrame, held_out, p_min: float = P_MIN, depth: int = DEPTH
-) -> DataFrame:
+def score_documents(documents: DataFrame, held_out, head: int = HEAD, depth: int = DEPTH) -> DataFrame:
     """Per document row: doc_id, row key, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     ``held_out``: a condition on the documents; its rows are scored, not learned
-    from. Scores are log10 probabilities of the whole text. ``p_min`` decides what
+    from. Scores are log10 probabilities of the whole text. ``head`` decides what
     is broadcast, not what is learned."""
     flagged = keyed(documents).withColumn("held_out", F.coalesce(held_out, F.lit(True)))
     training = flagged.where(~F.col("held_out"))
     counts = word_counts(training)
     predicted = counts.where(F.col("token") != int(START))
     total, distinct = predicted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    least = max(LEAST, math.ceil(p_min * total))
     buckets = max(1, -(-total // BUCKET))
 
     model = tree(training, counts, total, distinct, depth, buckets)
-    scored = frequent_scores(flagged, Head(model, least, depth, total, distinct))
-    elsewhere = model.where((F.col("n") < least) & ((F.col("length") > 1) | (F.col("key") != int(START))))
+    least = head_counts(model, head)
+    scored = frequent_scores(flagged, Head(model, least, total, distinct), buckets)
     seldom = predicted.where(F.col("n") < LEAST).select(F.col("token").alias("key"), "n", F.lit(0.0).alias("gain"))
-    known = elsewhere.select("key", F.when(F.col("length") == 1, F.col("n")).otherwise(0).alias("n"), "gain").union(seldom)
-    rare = rare_scores(scored, known, total, distinct, buckets)
+    n = F.when(F.col("length") == 1, F.col("n")).otherwise(0)
+    known = model.where(~in_head(least)).select("key", n.alias("n"), "gain").union(seldom)
+    rare = rare_scores(scored.where("bucket IS NOT NULL").drop("documents"), known, total, distinct, buckets)
     base = F.col("root") + F.coalesce("rare_root", F.lit(0.0))
-    return scored.join(rare, "place", "left").select(
+    return scored.where("bucket IS NULL").select(F.inline("documents")).join(rare, "place", "left").select(
         "doc_id",
         ROW_KEY,
         "held_out",
@@ -449,4 +468,4 @@ def score_documents(
         F.lit(total).cast("long").alias("train_tokens"),
         base.alias("base_score"),
         (base + F.col("gain") + F.coalesce("rare_gain", F.lit(0.0))).alias("score"),
-    )
+    )
