@@ -938,7 +938,7 @@ def q30_lookup_by_second_column(d: Dirty) -> DataFrame:
     """The items of a few products from a table laid out by order: only files that may hold them are read."""
     path, side = scratch(d.spark, "items"), scratch(d.spark, "items_files")
     items = d.order_items.select("order_id", "order_item_id", "product_id", "price")
-    tables.clustered(items, tables.LAYOUTS["items_order_product"], 64).write.parquet(path)
+    tables.clustered(items, tables.LAYOUTS["items_order_product"], 16).write.parquet(path)
     sidecars.write_sidecar(d.spark, path, side, tables.LAYOUTS["items_order_product"][1:])
     wanted = d.products().filter(F.col("product_id") <= 3).select("product_id")
     return sidecars.read_matching(d.spark, path, side, "product_id", wanted)
