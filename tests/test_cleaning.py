@@ -160,6 +160,22 @@ def test_order_items(spark, orders, customers, rows):
     }
 
 
+def test_rows_stay_where_they_are_when_few_lack_a_parent(spark):
+    base = {"payment_sequential": "1", "payment_type": "card", "payment_installments": "1", "payment_value": "5"}
+    ids = [*range(1000), 1 << 20, None]
+    stg = raw(spark, "order_payments", *[{**base, "order_id": None if i is None else f" {i}"} for i in ids])
+    known = spark.range(20_000).select(F.col("id").cast("string").alias("order_id"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10k")
+    try:
+        cleaned = cleaning.clean_order_payments(stg, known)
+        plan = cleaned.accepted._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+        assert cleaned.accepted.count() == 1000 and reasons(cleaned) == {"unknown order_id": 1, "no order_id": 1}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_payments(spark, orders, customers, rows):
     known = cleaning.clean_orders(orders, customers).accepted
     base = {"order_id": "o1", "payment_sequential": "1", "payment_type": " CARD ", "payment_installments": "2.9", "payment_value": "5"}

@@ -8,7 +8,9 @@ parent is unknown. With ``strict`` unreadable text fails the job instead; review
 scores and coordinates are filtered by pattern before they are read, so bad ones
 are set aside in either mode.
 
-All reasons are worked out in one pass over the raw rows. ``hold`` is applied to
+All reasons are worked out in one pass over the raw rows; only their keys are read
+before, to find those that a parent lacks, so a raw table must not change
+meanwhile. That search runs when the job is built. ``hold`` is applied to
 the marked rows before they are split (`load_production` passes a reliable
 checkpoint), so that accepted and rejected rows come from one reading.
 """
@@ -31,7 +33,7 @@ from ..operators.constraints import violates
 from ..operators.keys import extend_key_map, with_surrogate_key
 from ..schemas import TABLES
 from ..session import checkpointed
-from ..sources.tables import write_table
+from ..sources.tables import stored, write_table
 
 REASON = "reject_reason"
 
@@ -98,12 +100,20 @@ def _sift(
     return typed.withColumn(REASON, F.coalesce(*found))
 
 
-def _with_parent(marked: DataFrame, key: str, parent: DataFrame, parent_key: str, reason: str) -> DataFrame:
-    """Marks rows whose typed key is not in ``parent``."""
-    known = parent.select(F.col(parent_key).alias("_parent")).distinct()
-    joined = marked.join(known, F.col(_TYPED + key) == F.col("_parent"), "left")
-    orphan = F.when(F.col("_parent").isNull(), F.lit(reason))
-    return joined.withColumn(REASON, F.coalesce(REASON, orphan)).drop("_parent")
+def _with_parent(
+    marked: DataFrame, raw: DataFrame, values: Mapping[str, Value], key: str, parent: DataFrame, reason: str
+) -> DataFrame:
+    """Marks rows whose typed key is not in the column of that name of ``parent``.
+
+    Only the distinct keys meet the parent. Those it lacks are stored, so that the planner knows their size: the
+    rows travel only where there are too many of them to broadcast.
+    """
+    keys = raw.select(values[key].value.alias("_unknown")).filter(F.col("_unknown").isNotNull()).distinct()
+    known = parent.select(F.col(key).alias("_parent"))
+    unknown = stored(keys.join(known, F.col("_unknown") == F.col("_parent"), "left_anti"), f"unknown_{key}")
+    joined = marked.join(unknown, F.col(_TYPED + key) == F.col("_unknown"), "left")
+    orphan = F.when(F.col(_TYPED + key).isNull() | F.col("_unknown").isNotNull(), F.lit(reason))
+    return joined.withColumn(REASON, F.coalesce(REASON, orphan)).drop("_unknown")
 
 
 def _split(marked: DataFrame, raw: DataFrame, values: Mapping[str, Value], hold: Hold, *others: str) -> Cleaned:
@@ -219,7 +229,7 @@ def clean_orders(
     times = [c.name for c in TABLES["orders"].columns if c.declared == "datetime"]
     values |= {c: Value(c, parse_timestamp(F.col(c), YEAR_FIRST, strict)) for c in times}
     sifted = _sift(stg_orders, "orders", values, {"no order_id": _missing("order_id")}, strict)
-    sifted = _with_parent(sifted, "customer_id", customers, "customer_id", "unknown customer_id")
+    sifted = _with_parent(sifted, stg_orders, values, "customer_id", customers, "unknown customer_id")
     return _split(sifted, stg_orders, values, hold)
 
 
@@ -243,9 +253,9 @@ def clean_order_items(
         "freight_value": Value("freight_value", to_decimal(F.col("freight_value"), 10, 2, strict)),
     }
     sifted = _sift(stg_order_items, "order_items", values, {}, strict)
-    sifted = _with_parent(sifted, "order_id", orders, "order_id", "unknown order_id")
-    sifted = _with_parent(sifted, "product_id", products, "product_id", "unknown product_id")
-    sifted = _with_parent(sifted, "seller_id", sellers, "seller_id", "unknown seller_id")
+    sifted = _with_parent(sifted, stg_order_items, values, "order_id", orders, "unknown order_id")
+    sifted = _with_parent(sifted, stg_order_items, values, "product_id", products, "unknown product_id")
+    sifted = _with_parent(sifted, stg_order_items, values, "seller_id", sellers, "unknown seller_id")
     return _split(sifted, stg_order_items, values, hold)
 
 
@@ -260,7 +270,7 @@ def clean_order_payments(
         "payment_value": Value("payment_value", to_decimal(F.col("payment_value"), 10, 2, strict)),
     }
     sifted = _sift(stg_order_payments, "order_payments", values, {}, strict)
-    sifted = _with_parent(sifted, "order_id", orders, "order_id", "unknown order_id")
+    sifted = _with_parent(sifted, stg_order_payments, values, "order_id", orders, "unknown order_id")
     return _split(sifted, stg_order_payments, values, hold)
 
 
@@ -279,7 +289,7 @@ def clean_order_reviews(
     values |= {c: Value(c, parse_timestamp(F.col(c), DAY_FIRST, strict)) for c in times}
     reasons = {"score not 1 to 5": ~F.coalesce(score.between(*SCORES), F.lit(False))}
     sifted = _sift(stg_order_reviews, "order_reviews", values, reasons, strict)
-    sifted = _with_parent(sifted, "order_id", orders, "order_id", "unknown order_id")
+    sifted = _with_parent(sifted, stg_order_reviews, values, "order_id", orders, "unknown order_id")
     return _split(sifted, stg_order_reviews, values, hold)
 
 
@@ -336,8 +346,8 @@ def load_production(
 ) -> dict[str, DataFrame]:
     """Writes all typed tables to ``folder``, parents first, and returns them read back.
 
-    Every raw table is read once and its marked rows are held by a reliable
-    checkpoint; its children join the written table. A load
+    Every raw table is read once, apart from its keys, and its marked rows are held by a
+    reliable checkpoint; its children's keys join the written table. A load
     that is run again replaces what an earlier one wrote. Rejected rows go to
     ``folder/_rejects/<table>``. Customers are not deduplicated here (`keep_last`
     does that as a job of its own): on data with repeat buyers it would also

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
 
 # The column orders the source database indexes for its three
 # slowest queries.
@@ -26,6 +28,13 @@ def write_table(df: DataFrame, folder: str, name: str, mode: str = "append") ->
     df.write.mode(mode).parquet(f"{folder}/{name}")
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The frame written to a new folder in the place all executors share, and read back: its size is known."""
+    path = f"{shared_dir(df.sparkSession)}/tradewind/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Headered CSV with doubled quotes and unchanged blanks, the form `read_staging` reads."""
     (
