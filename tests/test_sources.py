@@ -62,6 +62,20 @@ def test_every_cp1252_character(spark, tmp_path):
     assert read_repaired_lines(spark, path).first().line == text
 
 
+def test_lines_of_a_file_do_not_meet_in_one_task(spark, tmp_path):
+    for name, last in (("a", "x"), ("b", "x"), ("c", "y")):
+        (tmp_path / f"{name}.txt").write_text("\n".join(f"line {i}" for i in range(20_000)) + f"\n{last}\n")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")
+    try:
+        found = duplicate_files(lines_of(spark, str(tmp_path)))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(_file" not in plan and "BroadcastHashJoin [_file" in plan
+        assert [(r.keep[-5:], r.file[-5:], r.lines) for r in found.collect()] == [("a.txt", "b.txt", 20_001)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_duplicate_files(spark, tmp_path, rows):
     write(tmp_path / "a.csv", "h\n1\n2\n2\n")
     write(tmp_path / "a - Copy.csv", "h\n1\n2\n2\n")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .tables import stored
+
 
 def lines_of(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(file, bytes, block, row, line) of text files; ``line`` is not decoded.
@@ -66,32 +68,26 @@ def duplicate_files(lines: DataFrame) -> DataFrame:
     """(keep, file, lines) of every file that repeats another one.
 
     ``keep`` is the first file name of the group. Files with the same lines in
-    another order are not copies. Files with the same fingerprint are then compared line by line: a file whose count of any line
+    another order are not copies. Files with the same fingerprint are then compared line by line, when the job is built: a file whose count of any line
     differs from the kept file's is not reported.
     """
     same = Window.partitionBy("bytes", "lines", "xor_a", "xor_b", "total")
     grouped = fingerprints(lines).withColumn("keep", F.min("file").over(same))
     candidates = grouped.filter(F.col("file") != F.col("keep")).select("keep", "file", "lines")
-    copies = _line_counts(lines, candidates, "file")
-    kept = _line_counts(lines, candidates, "keep")
-    key = ["keep", "file", "line"]
+    # Stored, so that the planner knows how few rows they are: lines then meet them where they are read, and no
+    # task gets all lines of a file.
+    candidates = stored(candidates.withColumn("_pair", F.monotonically_increasing_id()), "same_fingerprint")
+    sides = [candidates.select("_pair", F.col(side).alias("_file"), F.lit(n).alias("_n")) for side, n in (("file", 1), ("keep", -1))]
     differing = (
-        copies.unionByName(kept.withColumn("n", -F.col("n")))
-        .groupBy(*key)
-        .agg(F.sum("n").alias("n"))
+        lines.select(F.col("file").alias("_file"), "line")
+        .join(sides[0].unionByName(sides[1]), "_file")
+        .groupBy("_pair", "line")
+        .agg(F.sum("_n").alias("n"))
         .filter(F.col("n") != 0)
-        .select("keep", "file")
+        .select("_pair")
         .distinct()
     )
-    return candidates.join(differing, ["keep", "file"], "left_anti")
-
-
-def _line_counts(lines: DataFrame, pairs: DataFrame, side: str) -> DataFrame:
-    """Occurrences of each line of one side of the (keep, file) pairs; other files are not counted."""
-    of_pairs = lines.select(F.col("file").alias("_file"), "line").join(
-        pairs.select("keep", "file"), F.col("_file") == F.col(side)
-    )
-    return of_pairs.groupBy("keep", "file", "line").agg(F.count(F.lit(1)).alias("n"))
+    return candidates.join(differing, "_pair", "left_anti").drop("_pair")
 
 
 def without_duplicate_files(lines: DataFrame) -> DataFrame:
