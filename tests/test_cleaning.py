@@ -176,6 +176,35 @@ def test_rows_stay_where_they_are_when_few_lack_a_parent(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+@pytest.fixture
+def small_broadcasts(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10k")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_accepted_and_rejected_items_are_not_sorted_by_parents(spark, small_broadcasts):
+    many = spark.range(20_000).select(F.col("id").cast("string").alias("k"))
+    parents = [many.withColumnRenamed("k", key) for key in ("order_id", "product_id", "seller_id")]
+    base = {"order_item_id": "1", "shipping_limit_date": TS, "price": "1", "freight_value": "0"}
+    ids = [("1", "2", "3"), ("x", "2", "3"), ("1", "x", "3"), ("1", "2", "x")]
+    stg = raw(spark, "order_items", *[{**base, "order_id": o, "product_id": p, "seller_id": s} for o, p, s in ids])
+    cleaned = cleaning.clean_order_items(stg, *parents)
+    every = cleaned.accepted.select(F.lit(1)).union(cleaned.rejected.select(F.lit(1)))
+    assert "Sort" not in every._jdf.queryExecution().executedPlan().toString()
+    assert every.count() == 4 and cleaned.accepted.count() == 1
+
+
+def test_loaded_parents_do_not_move_the_rows(spark, tmp_path, small_broadcasts):
+    many = spark.range(20_000).select(F.col("id").cast("string").alias("order_id"))
+    many.write.parquet(f"{tmp_path}/orders")
+    stg = raw(spark, "order_reviews", *[{"review_id": "r", "order_id": o, "review_score": "5"} for o in ("7", "x")])
+    cleaned = cleaning.clean_order_reviews(stg, spark.read.parquet(f"{tmp_path}/orders"))
+    assert "Exchange hashpartitioning" not in cleaned.accepted._jdf.queryExecution().executedPlan().toString()
+    assert cleaned.accepted.count() == 1 and reasons(cleaned) == {"unknown order_id": 1}
+
+
 def test_payments(spark, orders, customers, rows):
     known = cleaning.clean_orders(orders, customers).accepted
     base = {"order_id": "o1", "payment_sequential": "1", "payment_type": " CARD ", "payment_installments": "2.9", "payment_value": "5"}
