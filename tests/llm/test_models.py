@@ -302,3 +302,13 @@ def test_nothing_to_learn(documents):
 def test_marks_surround_each_text():
     tokens, first = suffix_tree.marked(np.array([7, 8, 9], np.uint64), np.array([2, 0, 1]))
     assert tokens.tolist() == [1, 7, 8, 2, 1, 2, 1, 9, 2] and first.tolist() == [0, 4, 6]
+
+
+def test_numbers_are_counted_and_found_as_numpy_does():
+    numbers = np.random.default_rng(7).integers(0, 500, 5000).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    key, place, n = suffix_tree.distinct(numbers)
+    assert (key == np.unique(numbers)).all() and (numbers[place] == key).all() and n.sum() == len(numbers)
+    assert (n == np.unique(numbers, return_counts=True)[1]).all()
+    assert [len(x) for x in suffix_tree.distinct(numbers[:0])] == [0, 0, 0]
+    at = suffix_tree.find(key[::2], numbers)
+    assert (at >= 0).tolist() == np.isin(numbers, key[::2]).tolist() and (key[::2][at[at >= 0]] == numbers[at >= 0]).all()
