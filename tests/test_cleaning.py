@@ -196,6 +196,22 @@ def test_accepted_and_rejected_items_are_not_sorted_by_parents(spark, small_broa
     assert every.count() == 4 and cleaned.accepted.count() == 1
 
 
+def test_rows_that_travel_to_many_unknown_keys_are_not_sorted(spark, small_broadcasts):
+    ids = spark.range(1_000_200).select(F.concat(F.lit(" "), F.col("id").cast("string")).alias("order_id"))
+    hot = spark.range(5_000).select(F.lit("unknown").alias("order_id"))
+    base = {"payment_sequential": "1", "payment_type": "card", "payment_installments": "1", "payment_value": "5"}
+    stg = ids.union(hot).union(spark.sql("SELECT CAST(NULL AS string)")).select(
+        "order_id", *[F.lit(v).alias(name) for name, v in base.items()]
+    )
+    known = spark.range(100).select(F.col("id").cast("string").alias("order_id"))
+    cleaned = cleaning.clean_order_payments(stg, known)
+    every = cleaned.accepted.select(F.lit(1)).union(cleaned.rejected.select(F.lit(1)))
+    plan = every._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "BroadcastHashJoin" not in plan and "ShuffledHashJoin" in plan
+    assert cleaned.accepted.count() == 100
+    assert reasons(cleaned) == {"unknown order_id": 1_005_100, "no order_id": 1}
+
+
 def test_loaded_parents_do_not_move_the_rows(spark, tmp_path, small_broadcasts):
     many = spark.range(20_000).select(F.col("id").cast("string").alias("order_id"))
     many.write.parquet(f"{tmp_path}/orders")

@@ -44,6 +44,10 @@ SCORES = (1, 5)
 LATITUDES = (-90, 90)
 LONGITUDES = (-180, 180)
 
+# More unknown keys than this are never broadcast: the rows travel to them and meet a hash table, unsorted,
+# unless they are to be written, which is smaller in the order of a key.
+MANY_KEYS = 1_000_000
+
 
 Hold = Callable[[DataFrame], DataFrame]
 
@@ -101,16 +105,21 @@ def _sift(
 
 
 def _with_parent(
-    marked: DataFrame, raw: DataFrame, values: Mapping[str, Value], key: str, parent: DataFrame, reason: str
+    marked: DataFrame, raw: DataFrame, values: Mapping[str, Value], key: str, parent: DataFrame, reason: str,
+    ordered: bool = False,
 ) -> DataFrame:
     """Marks rows whose typed key is not in the column of that name of ``parent``.
 
     Only the distinct keys meet the parent. Those it lacks are stored, so that the planner knows their size: the
-    rows travel only where there are too many of them to broadcast.
+    rows travel only where there are too many of them to broadcast. Keys are distinct, so a task's hash table holds
+    an even share of them, and however many rows have one key, they only stream by it. With ``ordered`` rows that
+    travel are sorted by the key, as files of them are smaller then.
     """
     keys = raw.select(values[key].value.alias("_unknown")).filter(F.col("_unknown").isNotNull()).distinct()
     known = parent.select(F.col(key).alias("_parent"))
     unknown = stored(keys.join(known, F.col("_unknown") == F.col("_parent"), "left_anti"), f"unknown_{key}")
+    if not ordered and unknown.count() > MANY_KEYS:
+        unknown = unknown.hint("shuffle_hash")
     joined = marked.join(unknown, F.col(_TYPED + key) == F.col("_unknown"), "left")
     orphan = F.when(F.col(_TYPED + key).isNull() | F.col("_unknown").isNotNull(), F.lit(reason))
     return joined.withColumn(REASON, F.coalesce(REASON, orphan)).drop("_unknown")
@@ -219,7 +228,7 @@ def clean_sellers(stg_sellers: DataFrame, hold: Hold = _as_is) -> Cleaned:
 
 
 def clean_orders(
-    stg_orders: DataFrame, customers: DataFrame, strict: bool = False, hold: Hold = _as_is
+    stg_orders: DataFrame, customers: DataFrame, strict: bool = False, hold: Hold = _as_is, ordered: bool = False
 ) -> Cleaned:
     values = {
         "order_id": _trimmed("order_id"),
@@ -229,7 +238,7 @@ def clean_orders(
     times = [c.name for c in TABLES["orders"].columns if c.declared == "datetime"]
     values |= {c: Value(c, parse_timestamp(F.col(c), YEAR_FIRST, strict)) for c in times}
     sifted = _sift(stg_orders, "orders", values, {"no order_id": _missing("order_id")}, strict)
-    sifted = _with_parent(sifted, stg_orders, values, "customer_id", customers, "unknown customer_id")
+    sifted = _with_parent(sifted, stg_orders, values, "customer_id", customers, "unknown customer_id", ordered)
     return _split(sifted, stg_orders, values, hold)
 
 
@@ -240,6 +249,7 @@ def clean_order_items(
     sellers: DataFrame,
     strict: bool = False,
     hold: Hold = _as_is,
+    ordered: bool = False,
 ) -> Cleaned:
     values = {
         "order_id": _trimmed("order_id"),
@@ -253,14 +263,14 @@ def clean_order_items(
         "freight_value": Value("freight_value", to_decimal(F.col("freight_value"), 10, 2, strict)),
     }
     sifted = _sift(stg_order_items, "order_items", values, {}, strict)
-    sifted = _with_parent(sifted, stg_order_items, values, "order_id", orders, "unknown order_id")
-    sifted = _with_parent(sifted, stg_order_items, values, "product_id", products, "unknown product_id")
-    sifted = _with_parent(sifted, stg_order_items, values, "seller_id", sellers, "unknown seller_id")
+    sifted = _with_parent(sifted, stg_order_items, values, "order_id", orders, "unknown order_id", ordered)
+    sifted = _with_parent(sifted, stg_order_items, values, "product_id", products, "unknown product_id", ordered)
+    sifted = _with_parent(sifted, stg_order_items, values, "seller_id", sellers, "unknown seller_id", ordered)
     return _split(sifted, stg_order_items, values, hold)
 
 
 def clean_order_payments(
-    stg_order_payments: DataFrame, orders: DataFrame, strict: bool = False, hold: Hold = _as_is
+    stg_order_payments: DataFrame, orders: DataFrame, strict: bool = False, hold: Hold = _as_is, ordered: bool = False
 ) -> Cleaned:
     values = {
         "order_id": _trimmed("order_id"),
@@ -270,12 +280,12 @@ def clean_order_payments(
         "payment_value": Value("payment_value", to_decimal(F.col("payment_value"), 10, 2, strict)),
     }
     sifted = _sift(stg_order_payments, "order_payments", values, {}, strict)
-    sifted = _with_parent(sifted, stg_order_payments, values, "order_id", orders, "unknown order_id")
+    sifted = _with_parent(sifted, stg_order_payments, values, "order_id", orders, "unknown order_id", ordered)
     return _split(sifted, stg_order_payments, values, hold)
 
 
 def clean_order_reviews(
-    stg_order_reviews: DataFrame, orders: DataFrame, strict: bool = False, hold: Hold = _as_is
+    stg_order_reviews: DataFrame, orders: DataFrame, strict: bool = False, hold: Hold = _as_is, ordered: bool = False
 ) -> Cleaned:
     score = F.when(F.col("review_score").rlike(WHOLE_NUMBER), F.col("review_score")).try_cast("int")
     values = {
@@ -289,7 +299,7 @@ def clean_order_reviews(
     values |= {c: Value(c, parse_timestamp(F.col(c), DAY_FIRST, strict)) for c in times}
     reasons = {"score not 1 to 5": ~F.coalesce(score.between(*SCORES), F.lit(False))}
     sifted = _sift(stg_order_reviews, "order_reviews", values, reasons, strict)
-    sifted = _with_parent(sifted, stg_order_reviews, values, "order_id", orders, "unknown order_id")
+    sifted = _with_parent(sifted, stg_order_reviews, values, "order_id", orders, "unknown order_id", ordered)
     return _split(sifted, stg_order_reviews, values, hold)
 
 
@@ -368,6 +378,7 @@ def load_production(
     mode = {"strict": strict, "hold": checkpointed if keep_rejects else _as_is}
     load("products", *clean_products(staging["products"], loaded["product_category"], **mode))
     load("sellers", *clean_sellers(staging["sellers"], mode["hold"]))
+    mode["ordered"] = True
     load("orders", *clean_orders(staging["orders"], loaded["customers"], **mode))
     load(
         "order_items",
